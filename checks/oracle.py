@@ -1,0 +1,549 @@
+"""The expected answer of every registered query as DuckDB SQL over the raw test tables.
+
+Written apart from the Spark code: same definitions, no shared expressions. The star
+schema is put in front of each query as common table expressions. Money comes out as
+double and dates as ISO text, as in :func:`checks.registry.comparable`.
+"""
+
+from __future__ import annotations
+
+import re
+
+from ledgerline import rules
+
+AS_OF = "DATE '2024-12-31'"
+
+
+def _money(pence: str) -> str:
+    return f"cast(cast({pence} as decimal(18,0)) * cast(0.01 as decimal(3,2)) as decimal(18,2))"
+
+
+def _pence(column: str) -> str:
+    return f"cast(round({column} * 100) as bigint)"
+
+
+def _case(pairs: list[tuple[str, str]], otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, v in pairs) + f" ELSE '{otherwise}' END"
+
+
+def _rounded(num: str, den: str, digits: int) -> str:
+    """num / den (whole numbers) rounded half away from zero, as a decimal."""
+    n, d = f"({num})::hugeint", f"nullif(({den})::hugeint, 0)"
+    whole = f"sign({n}) * sign({d}) * ((2 * abs({n}) * {10**digits} + abs({d})) // (2 * abs({d})))"
+    unit = f"{10 ** -digits:.{digits}f}"
+    return f"(cast({whole} as decimal(28,0)) * cast({unit} as decimal({digits + 1},{digits})))"
+
+
+_ID = "lpad(k::varchar, greatest(8, length(k::varchar))::int, '0')"
+
+STAR = {
+    "dim_customers": f"""
+        SELECT 'CUST' || {_ID} AS customer_id, region, customer_since, date_of_birth,
+               CASE WHEN a BETWEEN 18 AND 24 THEN '18-24' WHEN a BETWEEN 25 AND 34 THEN '25-34'
+                    WHEN a BETWEEN 35 AND 44 THEN '35-44' WHEN a BETWEEN 45 AND 54 THEN '45-54'
+                    WHEN a BETWEEN 55 AND 64 THEN '55-64' ELSE '65+' END AS age_band,
+               CASE WHEN (k * 11) % 100 < 60 THEN 'Retail' WHEN (k * 11) % 100 < 85 THEN 'Premier'
+                    ELSE 'Private' END AS customer_segment,
+               CASE WHEN (k * 29) % 20 = 0 THEN 'Pending' ELSE 'Verified' END AS kyc_status,
+               CASE WHEN (k * 13) % 100 < 75 THEN 'Low' WHEN (k * 13) % 100 < 93 THEN 'Medium'
+                    ELSE 'High' END AS risk_rating,
+               (k * 23) % 201 - 100 AS nps_score,
+               2024 - year(customer_since) AS tenure_years
+        FROM (SELECT *, 2024 - year(date_of_birth) AS a
+              FROM (SELECT c_custkey AS k, r_name AS region,
+                           {AS_OF} - (6570 + (c_custkey * 7919) % 20000)::int AS date_of_birth,
+                           {AS_OF} - (30 + (c_custkey * 104729) % 5400)::int AS customer_since
+                    FROM customer JOIN nation ON c_nationkey = n_nationkey
+                    JOIN region ON n_regionkey = r_regionkey))""",
+    "dim_products": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{p[0]}', '{p[1]}', '{p[2]}', '{p[3]}', '{p[4]}', {p[5]}::decimal(18,2), {p[6]}::decimal(18,2), "
+        f"{p[7] or 'NULL'}::decimal(18,2), true, DATE '{p[8]}')" for p in rules.PRODUCT_CATALOGUE
+    ) + ") v(product_id, product_code, product_name, product_type, product_family, interest_rate, fee_monthly, "
+        "credit_limit_max, is_active, launch_date)",
+    "fact_transactions": f"""
+        SELECT 'TXN' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || d
+                   AS transaction_id,
+               'CUST' || {_ID} AS customer_id,
+               'ACC' || {_ID} || '-' || lpad((o_orderkey % 11 + 1)::varchar, 2, '0') AS account_id,
+               'PRD' || lpad((o_orderkey % 11 + 1)::varchar, 3, '0') AS product_id,
+               {AS_OF} - age::int AS transaction_date,
+               CASE WHEN k % 50 = 49 THEN 'Transfer'
+                    ELSE (['Debit', 'Debit', 'Debit', 'Credit', 'Transfer', 'ATM'])[1 + (l_partkey + l_linenumber) % 6]
+                    END AS transaction_type,
+               CASE WHEN k % 15 = 2 THEN 'International' WHEN k % 6 = 1 THEN 'Mortgage/Rent'
+                    ELSE (['Groceries', 'Utilities', 'Transport', 'Entertainment', 'Mortgage/Rent', 'FX'])[1 + l_partkey % 6]
+                    END AS transaction_category,
+               'Merchant_' || (l_suppkey % 50) AS merchant_name,
+               lpad((5000 + l_partkey % 12)::varchar, 4, '0') AS merchant_category_code,
+               CASE WHEN l_suppkey % 10 = 0 THEN 'FR' ELSE 'GB' END AS merchant_country,
+               {_money(f'''CASE WHEN planted THEN 100000 * (1 + (k // 25) % 9)
+                                WHEN k % 20 = 1 AND age > 7 THEN {_pence('l_extendedprice')} // 200
+                                ELSE {_pence('l_extendedprice')} // 10 END''')} AS amount_gbp,
+               (['Mobile', 'Online', 'Branch', 'ATM', 'POS'])[1 + l_partkey % 5] AS channel,
+               l_suppkey % 10 = 0 AS is_international,
+               l_suppkey % 20 = 7 AND l_linenumber = 7 AS is_flagged
+        FROM (SELECT *, CASE WHEN planted THEN d % 31 ELSE d % 365 END AS age
+              FROM (SELECT *, o_custkey AS k, o_custkey % 25 = 0 AND l_linenumber <= 4 AS planted,
+                           date_diff('day', DATE '1995-01-01', l_shipdate::date) AS d
+                    FROM lineitem JOIN orders ON l_orderkey = o_orderkey))""",
+    "fact_accounts": f"""
+        SELECT 'ACC' || {_ID} || '-' || lpad((pr + 1)::varchar, 2, '0') AS account_id,
+               'CUST' || {_ID} AS customer_id,
+               'PRD' || lpad((pr + 1)::varchar, 3, '0') AS product_id,
+               (DATE '2024-01-01' + to_months(m::int))::date AS snapshot_month,
+               status AS account_status,
+               {_money(f"CASE WHEN status = 'Overdrawn' THEN -100 * (h % 500) ELSE {_pence('c_acctbal')} + (h % 97) * 15000 END")}
+                   AS balance_gbp,
+               CASE WHEN pr IN (5, 6) THEN {_money('100 * (h % 101)')} END AS utilisation_pct,
+               CASE WHEN h % 13 = 0 THEN 30 + h % 60 ELSE 0 END AS days_in_arrears,
+               CASE WHEN h % 17 = 0 THEN 1 + h % 3 ELSE 0 END AS missed_payments_3m,
+               CASE WHEN pr >= 5 THEN {_money('(h % 97) * 325')} ELSE 0 END AS interest_charged_gbp,
+               CASE WHEN pr BETWEEN 2 AND 4 THEN {_money('(h % 89) * 115')} ELSE 0 END AS interest_earned_gbp,
+               CASE WHEN h % 4 = 0 THEN 12.95::decimal(18,2) ELSE 0 END AS fees_charged_gbp,
+               CASE WHEN status = 'Closed' THEN {AS_OF} + (k % 120)::int END AS closed_date
+        FROM (SELECT *, CASE WHEN m = 11 AND (k * 7 + pr * 3) % 20 = 0 THEN 'Closed'
+                             WHEN h % 20 = 0 THEN 'Dormant' WHEN h % 20 = 1 THEN 'Overdrawn'
+                             ELSE 'Active' END AS status
+              FROM (SELECT k, pr, m, c_acctbal, k * 31 + pr * 17 + m AS h
+                    FROM (SELECT DISTINCT o_custkey AS k, o_orderkey % 11 AS pr FROM orders
+                          WHERE o_orderkey % 11 < 2 OR o_orderkey % 2 = 0)
+                    JOIN customer ON c_custkey = k CROSS JOIN range(12) months(m)))""",
+    "ref_merchant_categories": """
+        SELECT DISTINCT lpad((5000 + p_partkey % 12)::varchar, 4, '0') AS mcc_code,
+               'Merchant category ' || (5000 + p_partkey % 12) AS mcc_description,
+               (['Groceries', 'Utilities', 'Transport', 'Entertainment', 'Mortgage/Rent', 'FX'])[1 + p_partkey % 12 % 6]
+                   AS spending_category,
+               p_partkey % 12 % 6 = 5 AS is_high_risk
+        FROM part""",
+}
+
+# steps shared by several expected answers; each may use the tables above and earlier steps
+STEPS = {
+    "rfm_raw": f"""
+        SELECT customer_id,
+               date_diff('day', max(transaction_date), {AS_OF} - 1) AS recency_days,
+               count(DISTINCT strftime(transaction_date, '%Y-%m')) AS frequency_months,
+               sum(amount_gbp * (transaction_type = 'Debit')::int) AS monetary_gbp,
+               count(*) AS total_transactions, count(DISTINCT merchant_name) AS unique_merchants,
+               max(transaction_date) AS last_transaction_date, min(transaction_date) AS first_transaction_date
+        FROM fact_transactions WHERE transaction_date >= DATE '2023-12-31' AND NOT is_flagged GROUP BY customer_id""",
+    "rfm_scored": """
+        SELECT *, 6 - ntile(5) OVER (ORDER BY recency_days, customer_id) AS r_score,
+               ntile(5) OVER (ORDER BY frequency_months, customer_id) AS f_score,
+               ntile(5) OVER (ORDER BY monetary_gbp, customer_id) AS m_score
+        FROM rfm_raw""",
+    "rfm_segments": f"""
+        SELECT s.*, {_case([(f"r_score BETWEEN {r[0]} AND {r[1]} AND f_score BETWEEN {f[0]} AND {f[1]} "
+                             f"AND m_score BETWEEN {m[0]} AND {m[1]}", label)
+                            for label, r, f, m in rules.RFM_SEGMENTS], rules.RFM_OTHER)} AS rfm_segment,
+               round((r_score + f_score + m_score) / 3.0, 2) AS rfm_composite_score,
+               customer_segment, region, age_band, risk_rating, customer_since, tenure_years,
+               CASE WHEN r_score + f_score + m_score >= 12 THEN 'High Value'
+                    WHEN r_score + f_score + m_score >= 8 THEN 'Mid Value' ELSE 'Low Value' END AS clv_tier,
+               CASE WHEN greatest(r_score, f_score) <= 2 THEN 'High' WHEN r_score < 4 THEN 'Medium' ELSE 'Low' END AS churn_risk
+        FROM rfm_scored s LEFT JOIN dim_customers USING (customer_id)""",
+    "structuring_daily": """
+        SELECT customer_id, transaction_date, count(*) AS txn_count, sum(amount_gbp) AS daily_total_gbp,
+               max(amount_gbp) AS largest_txn_gbp, min(amount_gbp) AS smallest_txn_gbp
+        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp >= 7500 AND amount_gbp <= 9999
+        GROUP BY ALL""",
+    "rolling_rows": """
+        SELECT *, sum(daily_total_gbp) OVER w AS rolling_total, sum(txn_count) OVER w AS rolling_count
+        FROM structuring_daily
+        WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_date ROWS 6 PRECEDING)""",
+    "rolling_days": """
+        SELECT *, sum(daily_total_gbp) OVER w AS rolling_total, sum(txn_count) OVER w AS rolling_count
+        FROM structuring_daily
+        WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_date RANGE INTERVAL 6 DAYS PRECEDING)""",
+    "spend_days": f"""
+        SELECT customer_id, transaction_date, sum(amount_gbp) AS daily_spend, count(*) AS txn_count
+        FROM fact_transactions WHERE transaction_type = 'Debit' AND transaction_date >= {AS_OF} - 90
+        AND transaction_date <= {AS_OF} GROUP BY ALL""",
+    "baseline": f"""
+        SELECT customer_id, sum(daily_spend) AS past_total, count(*) AS past_days,
+               sum(daily_spend)::double / count(*) AS avg_spend, stddev_samp(daily_spend::double) AS sd_spend,
+               quantile_disc(daily_spend, 0.75) AS p75, quantile_disc(daily_spend, 0.95) AS p95
+        FROM spend_days WHERE transaction_date <= {AS_OF} - 8 GROUP BY customer_id""",
+    "velocity": f"""
+        SELECT customer_id, transaction_date, daily_spend, past_total, past_days, p95, txn_count,
+               round((daily_spend::double - avg_spend) / nullif(sd_spend, 0), 2) AS z_score,
+               {_rounded('daily_spend * 100 * past_days', 'past_total * 100', 1)} AS spend_multiplier,
+               daily_spend::double / avg_spend AS ratio
+        FROM spend_days JOIN baseline USING (customer_id)
+        WHERE transaction_date >= {AS_OF} - 7 AND daily_spend > p95 AND daily_spend::double > 3 * avg_spend AND avg_spend > 0""",
+    "round_groups": f"""
+        SELECT customer_id, amount_gbp, count(*) AS n, min(transaction_date) AS first_seen, max(transaction_date) AS last_seen,
+               sum(amount_gbp) AS total, count(DISTINCT merchant_name) AS merchants
+        FROM fact_transactions
+        WHERE transaction_date >= {AS_OF} - 30 AND amount_gbp >= 500 AND amount_gbp < 10000
+          AND round(amount_gbp, 0)::bigint % 100 = 0
+        GROUP BY customer_id, amount_gbp HAVING count(*) >= 5""",
+    "exposure": f"""
+        SELECT customer_id, count(*) FILTER (abroad) AS foreign_txns,
+               coalesce(sum(amount_gbp) FILTER (abroad), 0) AS foreign_gbp,
+               count(*) FILTER (risky) AS high_risk_category_txns,
+               coalesce(sum(amount_gbp) FILTER (risky), 0) AS high_risk_category_gbp,
+               count(*) FILTER (abroad AND risky) AS foreign_high_risk_txns
+        FROM (SELECT *, merchant_country <> 'GB' AS abroad, coalesce(is_high_risk, false) AS risky
+              FROM fact_transactions LEFT JOIN ref_merchant_categories ON mcc_code = merchant_category_code
+              WHERE transaction_date >= {AS_OF} - 30)
+        WHERE abroad OR risky GROUP BY customer_id""",
+    "holdings": """
+        SELECT customer_id, string_agg(DISTINCT product_type, ',' ORDER BY product_type) AS held_products,
+               bool_or(product_type = 'Current Account') AS has_current_account,
+               bool_or(product_type = 'Savings') AS has_savings, bool_or(product_type = 'Credit Card') AS has_credit_card,
+               bool_or(product_type = 'Mortgage') AS has_mortgage, bool_or(product_type = 'Loan') AS has_loan,
+               count(DISTINCT product_type) AS product_count, sum(abs(balance_gbp)) AS total_balance_gbp
+        FROM fact_accounts JOIN dim_products USING (product_id)
+        WHERE account_status = 'Active' AND snapshot_month = DATE '2024-12-01' GROUP BY customer_id""",
+    "behaviour": """
+        SELECT customer_id, sum(amount_gbp) AS total_spend_6m, sum(amount_gbp)::double / count(amount_gbp) AS avg_txn_amount,
+               count(*) FILTER (transaction_category = 'Mortgage/Rent') AS rent_payments,
+               count(*) FILTER (transaction_category IN ('International', 'FX')) AS intl_transactions,
+               count(*) FILTER (merchant_country <> 'GB') AS foreign_txns, count(*) AS total_txns
+        FROM fact_transactions
+        WHERE transaction_date >= DATE '2024-06-30' AND transaction_type = 'Debit' AND NOT is_flagged GROUP BY customer_id""",
+    "eligible": """
+        SELECT c.customer_id, customer_segment, age_band, region, risk_rating, tenure_years, h.* EXCLUDE (customer_id),
+               total_spend_6m, avg_txn_amount, rent_payments, intl_transactions, foreign_txns, total_txns
+        FROM dim_customers c JOIN holdings h USING (customer_id) LEFT JOIN behaviour USING (customer_id)
+        WHERE kyc_status = 'Verified' AND risk_rating <> 'High' AND has_current_account""",
+    "opportunities": """
+        SELECT *, NOT has_savings AND total_balance_gbp > 2000 AND customer_segment <> 'Private' AS s,
+               coalesce(NOT has_credit_card AND total_spend_6m > 1500 AND tenure_years >= 1 AND age_band <> '18-24'
+                        AND risk_rating = 'Low', false) AS c,
+               coalesce(NOT has_mortgage AND rent_payments >= 4 AND age_band IN ('25-34', '35-44')
+                        AND customer_segment <> 'Retail' AND total_balance_gbp > 10000, false) AS m,
+               coalesce(intl_transactions > 10 AND NOT has_credit_card, false) AS t
+        FROM eligible""",
+    "account_rows": """
+        SELECT a.*, product_type, product_family, region, customer_segment
+        FROM fact_accounts a JOIN dim_products USING (product_id) JOIN dim_customers USING (customer_id)""",
+    "interest": """
+        SELECT snapshot_month, product_type, product_family, region, customer_segment,
+               sum(interest_charged_gbp) AS income, sum(interest_earned_gbp) AS cost
+        FROM account_rows GROUP BY ALL""",
+    "fees": """
+        SELECT date_trunc('month', transaction_date)::date AS snapshot_month, product_type, product_family, region,
+               customer_segment, sum(fees_charged_gbp) AS fee
+        FROM account_rows a JOIN fact_transactions t ON t.customer_id = a.customer_id
+         AND t.transaction_date >= a.snapshot_month AND t.transaction_date <= last_day(a.snapshot_month)
+        GROUP BY ALL""",
+    "counts": """
+        SELECT snapshot_month, product_type, region, customer_segment, count(DISTINCT account_id) AS accounts,
+               count(DISTINCT customer_id) AS customers, count(*) FILTER (days_in_arrears > 0) AS arrears,
+               sum(balance_gbp) AS balance, count(balance_gbp) AS balances, sum(abs(balance_gbp)) AS book
+        FROM account_rows WHERE account_status = 'Active' GROUP BY ALL""",
+    "pnl": f"""
+        SELECT *, coalesce(fee, 0) AS fee0, income - cost AS net, income - cost + coalesce(fee, 0) AS revenue,
+               {_rounded('(income - cost) * 120000', 'book * 100', 3)} AS nim,
+               {_rounded('arrears * 100', 'accounts', 2)} AS arrears_rate
+        FROM interest LEFT JOIN fees USING (snapshot_month, product_type, product_family, region, customer_segment)
+        LEFT JOIN counts USING (snapshot_month, product_type, region, customer_segment)""",
+    "txn_features": """
+        SELECT customer_id, count(*) AS n, sum(amount_gbp) AS spend, sum(amount_gbp)::double / count(amount_gbp) AS mean,
+               stddev_samp(amount_gbp::double) AS sd, count(DISTINCT transaction_category) AS categories,
+               count(DISTINCT merchant_name) AS merchants, count(DISTINCT date_trunc('month', transaction_date)) AS months,
+               count(*) FILTER (channel = 'Mobile') AS mobile, count(*) FILTER (channel = 'Branch') AS branch,
+               count(*) FILTER (channel = 'ATM') AS atm, count(*) FILTER (is_international) AS intl,
+               date_diff('day', max(transaction_date), DATE '2024-12-31') AS gap,
+               coalesce(sum(amount_gbp) FILTER (transaction_date >= DATE '2024-09-30'), 0) AS late,
+               coalesce(sum(amount_gbp) FILTER (transaction_date < DATE '2024-09-30'), 0) AS early
+        FROM fact_transactions
+        WHERE transaction_date >= DATE '2024-06-30' AND transaction_type = 'Debit' AND NOT is_flagged GROUP BY customer_id""",
+    "account_features": """
+        SELECT customer_id, count(DISTINCT account_id) AS products, sum(utilisation_pct)::double / nullif(count(utilisation_pct), 0) AS utilisation,
+               max(days_in_arrears) AS worst, sum(missed_payments_3m) AS missed, sum(fees_charged_gbp) AS fees,
+               sum(balance_gbp)::double / count(balance_gbp) AS balance,
+               count(*) FILTER (account_status = 'Overdrawn') AS overdrawn, count(*) FILTER (account_status = 'Dormant') AS dormant
+        FROM fact_accounts WHERE snapshot_month >= DATE '2024-06-30' AND account_status <> 'Closed' GROUP BY customer_id""",
+    "labels_any": """
+        SELECT customer_id, max((account_status = 'Closed' AND coalesce(closed_date BETWEEN DATE '2024-12-31' AND DATE '2025-03-31', false))::int)
+               AS churned
+        FROM fact_accounts GROUP BY customer_id""",
+    "features": """
+        SELECT customer_id, 2024 - year(date_of_birth) AS age, tenure_years, customer_segment, region, risk_rating,
+               coalesce(n, 0) AS txn_count_6m, coalesce(spend, 0)::double AS total_spend_6m,
+               coalesce(mean, 0) AS avg_txn_amount_6m, coalesce(categories, 0) AS unique_categories,
+               coalesce(merchants, 0) AS unique_merchants, coalesce(months, 0) AS active_months_6m,
+               coalesce(gap, 999) AS days_since_last_txn, coalesce(mobile, 0) AS mobile_txns,
+               coalesce(branch, 0) AS branch_txns, coalesce(intl, 0) AS intl_txns,
+               coalesce((late - early)::double / nullif(early, 0)::double, 0) AS spend_trend_pct,
+               coalesce(products, 0) AS product_count, coalesce(utilisation, 0) AS avg_credit_utilisation,
+               coalesce(worst, 0) AS max_days_in_arrears, coalesce(missed, 0)::bigint AS total_missed_payments_3m,
+               coalesce(fees, 0)::double AS total_fees_charged_6m, coalesce(balance, 0) AS avg_balance,
+               coalesce(overdrawn, 0) AS overdrawn_accounts, coalesce(dormant, 0) AS dormant_accounts,
+               nps_score, coalesce(churned, 0)::bigint AS churned
+        FROM dim_customers LEFT JOIN txn_features USING (customer_id) LEFT JOIN account_features USING (customer_id)
+        LEFT JOIN labels_any USING (customer_id)
+        WHERE kyc_status = 'Verified'""",
+}
+
+
+def _sql(body: str) -> str:
+    """Put the steps and tables the query needs in front of it, in definition order."""
+    needed: set[str] = set()
+    parts = {**STAR, **STEPS}
+
+    def visit(text: str) -> None:
+        words = set(re.findall(r"[a-z_0-9]+", text))
+        for name, definition in parts.items():
+            if name in words and name not in needed:
+                needed.add(name)
+                visit(definition)
+
+    visit(body)
+    ctes = ", ".join(f"{name} AS ({text})" for name, text in parts.items() if name in needed)
+    return f"WITH {ctes} {body}" if ctes else body
+
+
+_RFM_DATES = "recency_days, frequency_months, monetary_gbp::double AS monetary_gbp, total_transactions, unique_merchants, " \
+             "last_transaction_date::varchar AS last_transaction_date, first_transaction_date::varchar AS first_transaction_date"
+
+_SEGMENTS = f"""SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score, rfm_composite_score::double AS rfm_composite_score,
+    rfm_segment, customer_segment, region, age_band, risk_rating, customer_since::varchar AS customer_since, tenure_years,
+    clv_tier, churn_risk FROM rfm_segments"""
+
+
+def _structuring(step: str) -> str:
+    severity = _case([(f"rolling_count >= {n} AND rolling_total > {t}", s) for n, t, s in rules.STRUCTURING_SEVERITY], "Low")
+    return f"""SELECT customer_id, customer_segment, risk_rating, region, transaction_date::varchar AS transaction_date,
+        txn_count, daily_total_gbp::double AS daily_total_gbp, rolling_total::double AS rolling_7d_total_gbp,
+        rolling_count::bigint AS rolling_7d_txn_count, {severity} AS alert_severity, '{rules.STRUCTURING_ALERT}' AS alert_type
+        FROM {step} JOIN dim_customers USING (customer_id) WHERE rolling_count >= 2 AND rolling_total > 10000"""
+
+
+def _round_amount(extra: str) -> str:
+    severity = _case([(f"n >= {n} AND total > {t}", s) for n, t, s in rules.ROUND_SEVERITY], "Low")
+    return f"""SELECT customer_id, amount_gbp::double AS amount_gbp, n AS frequency_30d, first_seen::varchar AS first_seen,
+        last_seen::varchar AS last_seen, total::double AS total_exposure_gbp, merchants AS distinct_merchants,
+        '{rules.ROUND_ALERT}' AS alert_type, {severity} AS alert_severity FROM round_groups {extra}"""
+
+
+_GROUP = "snapshot_month::varchar AS snapshot_month, product_type, product_family, region, customer_segment"
+
+_PNL = f"""SELECT {_GROUP}, accounts AS active_accounts, customers AS active_customers,
+    round(book, 0)::double AS total_book_gbp, {_rounded('balance * 100', 'balances * 100', 2)}::double AS avg_balance_gbp,
+    round(net, 0)::double AS net_interest_income_gbp, round(income, 0)::double AS gross_interest_income_gbp,
+    round(cost, 0)::double AS interest_cost_gbp, round(fee0, 0)::double AS fee_income_gbp,
+    round(revenue, 0)::double AS total_revenue_gbp, arrears AS accounts_in_arrears, arrears_rate::double AS arrears_rate_pct,
+    nim::double AS nim_annualised_pct,
+    round(revenue - lag(revenue) OVER (PARTITION BY product_type, region, customer_segment ORDER BY snapshot_month), 0)::double
+        AS mom_revenue_delta_gbp
+    FROM pnl"""
+
+_EXEC = f"""SELECT '2024-12-31' AS report_month, sum(round(revenue, 0))::double AS total_revenue_gbp,
+    sum(round(net, 0))::double AS total_nii_gbp, sum(round(fee0, 0))::double AS total_fee_income_gbp,
+    sum(customers)::bigint AS total_active_customers, sum(accounts)::bigint AS total_active_accounts,
+    sum(round(book, 0))::double AS total_book_gbp, sum(nim)::double / count(nim) AS avg_nim_pct,
+    sum(arrears_rate)::double / count(arrears_rate) AS avg_arrears_rate_pct
+    FROM pnl WHERE snapshot_month = DATE '2024-12-01'"""
+
+
+def _bucket(text: str, size: int) -> str:
+    return f"(('0x' || substr(md5(({text})::varchar), 1, 15))::bigint % {size})"
+
+
+def _generated_customers() -> str:
+    regions = ", ".join(f"{{'region': '{r}', 'postcode': '{p}'}}" for r, p in rules.GEN_REGIONS)
+    return f"""
+    SELECT 'CUST' || {_ID} AS customer_id, 'First' || k AS first_name, 'Last' || k AS last_name,
+           dob::varchar AS date_of_birth,
+           {_case([(f"years BETWEEN {a} AND {b}", s) for a, b, s in rules.GEN_AGE_BANDS], rules.GEN_AGE_OTHER)} AS age_band,
+           CASE {_bucket('k * 17', 2)} WHEN 0 THEN 'M' ELSE 'F' END AS gender,
+           place.postcode AS postcode_district, place.region AS region, 'GB' AS country, since::varchar AS customer_since,
+           {_case([(f"seg < {b}", s) for b, s in rules.GEN_SEGMENTS], rules.GEN_SEGMENT_OTHER)} AS customer_segment,
+           seg < 15 AS is_student, false AS is_business, 'Verified' AS kyc_status,
+           {_case([(f"risk < {b}", s) for b, s in rules.GEN_RISKS], rules.GEN_RISK_OTHER)} AS risk_rating,
+           'RM_' || lpad((k % 500)::varchar, 4, '0') AS relationship_mgr,
+           {_bucket('k * 23', 201)} - 100 AS nps_score
+    FROM (SELECT k, ([{regions}])[1 + {_bucket('k * 7', 8)}] AS place, {_bucket('k * 11', 100)} AS seg,
+                 {_bucket('k * 13', 100)} AS risk, 20 + {_bucket('k', 45)} AS years,
+                 ({AS_OF} - to_years((20 + {_bucket('k', 45)})::int))::date AS dob,
+                 ({AS_OF} - to_years((1 + {_bucket('k * 3', 15)})::int))::date AS since
+          FROM (SELECT c_custkey AS k FROM customer))"""
+
+
+_HOLIDAYS = ", ".join(f"DATE '{d}'" for d in rules.UK_BANK_HOLIDAYS)
+
+QUERIES = {
+    # ---- tables
+    "dim_date": f"""
+        SELECT d::varchar AS date_id, year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
+               weekofyear(d) AS week_of_year, dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name,
+               dayofweek(d) IN (0, 6) AS is_weekend, d IN ({_HOLIDAYS}) AS is_uk_bank_holiday, year(d) AS fiscal_year,
+               'FY' || year(d) || '-Q' || quarter(d) AS fiscal_quarter
+        FROM (SELECT unnest(generate_series(min(transaction_date), max(transaction_date), INTERVAL 1 DAY))::date AS d
+              FROM fact_transactions)""",
+    "dim_products": """
+        SELECT product_id, product_code, product_name, product_type, product_family, interest_rate::double AS interest_rate,
+               fee_monthly::double AS fee_monthly, credit_limit_max::double AS credit_limit_max, is_active,
+               launch_date::varchar AS launch_date, count(DISTINCT account_id) AS accounts
+        FROM dim_products JOIN fact_accounts USING (product_id) GROUP BY ALL""",
+    "dim_customers": _generated_customers(),
+    "star_customers": """
+        SELECT customer_id, date_of_birth::varchar AS date_of_birth, age_band, region, customer_since::varchar AS customer_since,
+               customer_segment, kyc_status, risk_rating, nps_score FROM dim_customers""",
+    "star_transactions": """
+        SELECT transaction_id, customer_id, account_id, product_id, transaction_date::varchar AS transaction_date, transaction_type,
+               transaction_category, merchant_name, merchant_category_code, merchant_country, amount_gbp::double AS amount_gbp,
+               channel, is_international, is_flagged FROM fact_transactions""",
+    "star_accounts": """
+        SELECT account_id, customer_id, product_id, snapshot_month::varchar AS snapshot_month, account_status,
+               balance_gbp::double AS balance_gbp, utilisation_pct::double AS utilisation_pct, days_in_arrears, missed_payments_3m,
+               interest_charged_gbp::double AS interest_charged_gbp, interest_earned_gbp::double AS interest_earned_gbp,
+               fees_charged_gbp::double AS fees_charged_gbp, closed_date::varchar AS closed_date FROM fact_accounts""",
+    # ---- segmentation
+    "rfm_raw": f"SELECT customer_id, {_RFM_DATES} FROM rfm_raw",
+    "rfm_scored": f"SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score FROM rfm_scored",
+    "rfm_segments": _SEGMENTS,
+    "mv_customer_rfm": _SEGMENTS,
+    "rfm_segment_summary": """
+        SELECT rfm_segment, sum(n)::bigint AS customers, sum(spend)::double / sum(n) AS avg_monetary_gbp,
+               arg_min(churn_risk, (-n, churn_risk)) AS churn_risk
+        FROM (SELECT rfm_segment, churn_risk, count(*) AS n, sum(monetary_gbp) AS spend FROM rfm_segments GROUP BY ALL)
+        GROUP BY rfm_segment""",
+    # ---- churn
+    "churn_labels": "SELECT customer_id, churned::bigint AS churned FROM labels_any",
+    "churn_labels_all_closed": """
+        SELECT customer_id, min(closing)::bigint AS churned
+        FROM (SELECT customer_id, account_id, max((account_status = 'Closed' AND
+                     coalesce(closed_date BETWEEN DATE '2024-12-31' AND DATE '2025-03-31', false))::int) AS closing
+              FROM fact_accounts GROUP BY ALL) GROUP BY customer_id""",
+    "churn_txn_features": """
+        SELECT customer_id, n AS txn_count_6m, spend::double AS total_spend_6m, mean AS avg_txn_amount_6m,
+               round(sd, 4) AS stddev_txn_amount, categories AS unique_categories, merchants AS unique_merchants,
+               months AS active_months, mobile AS mobile_txns, branch AS branch_txns, atm AS atm_txns, intl AS intl_txns,
+               gap AS days_since_last_txn, late::double AS spend_last_3m, early::double AS spend_prior_3m FROM txn_features""",
+    "churn_account_features": """
+        SELECT customer_id, products AS product_count, utilisation AS avg_credit_utilisation, worst AS max_days_in_arrears,
+               missed::bigint AS total_missed_payments_3m, fees::double AS total_fees_charged_6m, balance AS avg_balance,
+               overdrawn AS overdrawn_accounts, dormant AS dormant_accounts FROM account_features""",
+    "ml_churn_features": "SELECT * FROM features",
+    "churn_training_set": f"""
+        SELECT customer_id, churned, held_out, total::double / (2 * class_size) AS class_weight
+        FROM (SELECT customer_id, churned, {_bucket('customer_id', 1000)} < 200 AS held_out,
+                     count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER () AS total,
+                     count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER (PARTITION BY churned) AS class_size
+              FROM features)""",
+    # ---- cross-sell
+    "product_holdings": """
+        SELECT customer_id, held_products, has_current_account, has_savings, has_credit_card, has_mortgage, has_loan,
+               product_count, total_balance_gbp::double AS total_balance_gbp FROM holdings""",
+    "cross_sell_behaviour": """
+        SELECT customer_id, total_spend_6m::double AS total_spend_6m, avg_txn_amount, rent_payments, intl_transactions,
+               foreign_txns, total_txns FROM behaviour""",
+    "cross_sell_eligible": """
+        SELECT * REPLACE (total_balance_gbp::double AS total_balance_gbp, total_spend_6m::double AS total_spend_6m)
+        FROM eligible""",
+    "cross_sell": f"""
+        SELECT customer_id, customer_segment, region, age_band, risk_rating, product_count,
+               round(total_balance_gbp, 0)::double AS total_balance_gbp, round(total_spend_6m, 0)::double AS total_spend_6m,
+               s AS opportunity_savings, c AS opportunity_credit_card, m AS opportunity_mortgage, t AS opportunity_travel_card,
+               (s::int + c::int + m::int + t::int)::bigint AS opportunity_count,
+               {_case([('m', 'Residential Mortgage'), ('c', 'Cashback Credit Card'), ('s', 'Fixed Rate Bond 12M')],
+                      'Platinum Credit Card')} AS recommended_product
+        FROM opportunities WHERE s OR c OR m OR t""",
+    # ---- money laundering
+    "structuring_daily": """
+        SELECT customer_id, transaction_date::varchar AS transaction_date, txn_count, daily_total_gbp::double AS daily_total_gbp,
+               largest_txn_gbp::double AS largest_txn_gbp, smallest_txn_gbp::double AS smallest_txn_gbp FROM structuring_daily""",
+    "structuring_transaction_ids": """
+        SELECT customer_id, transaction_date::varchar AS transaction_date, 0::bigint AS chunk,
+               string_agg(transaction_id, ',' ORDER BY transaction_id) AS transaction_ids
+        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp >= 7500 AND amount_gbp <= 9999
+        GROUP BY ALL""",
+    "rolling_7d_sum": """
+        SELECT customer_id, transaction_date::varchar AS transaction_date, rolling_total::double AS rolling_7d_total_gbp,
+               rolling_count::bigint AS rolling_7d_txn_count FROM rolling_rows""",
+    "aml_structuring_alerts": _structuring("rolling_rows"),
+    "aml_structuring_calendar": _structuring("rolling_days"),
+    "velocity_baseline": """
+        SELECT customer_id, avg_spend AS avg_daily_spend, round(sd_spend, 4) AS stddev_daily_spend,
+               p75::double AS p75_daily_spend, p95::double AS p95_daily_spend FROM baseline""",
+    "aml_velocity_alerts": f"""
+        SELECT customer_id, transaction_date::varchar AS transaction_date, daily_spend::double AS todays_spend_gbp,
+               {_rounded('past_total * 100', 'past_days * 100', 2)}::double AS avg_daily_spend_gbp,
+               p95::double AS p95_daily_spend_gbp, txn_count, z_score, spend_multiplier::double AS spend_multiplier,
+               {_case([(f"ratio > {x}", s) for x, s in rules.VELOCITY_SEVERITY], 'Low')} AS alert_severity,
+               '{rules.VELOCITY_ALERT}' AS alert_type FROM velocity""",
+    "aml_round_amount_alerts": _round_amount(""),
+    "aml_round_amount_exact": _round_amount("WHERE amount_gbp % 100 = 0"),
+    "aml_high_risk_exposure": """
+        SELECT * REPLACE (foreign_gbp::double AS foreign_gbp, high_risk_category_gbp::double AS high_risk_category_gbp)
+        FROM exposure""",
+    "aml_flag_summary": f"""
+        SELECT alert_type, count(*) AS alerts, sum(n)::bigint AS transactions, sum(value)::double AS value_gbp
+        FROM (SELECT '{rules.STRUCTURING_ALERT}' AS alert_type, txn_count AS n, daily_total_gbp AS value
+              FROM rolling_rows JOIN dim_customers USING (customer_id)
+              WHERE rolling_count >= 2 AND rolling_total > 10000 AND transaction_date >= {AS_OF} - 30
+              UNION ALL SELECT '{rules.VELOCITY_ALERT}', txn_count, daily_spend FROM velocity
+              UNION ALL SELECT '{rules.ROUND_ALERT}', n, total FROM round_groups
+              UNION ALL SELECT 'Geographic anomaly', foreign_txns, foreign_gbp FROM exposure WHERE foreign_txns > 0)
+        GROUP BY alert_type""",
+    # ---- profit and loss
+    "pnl_net_interest": f"""
+        SELECT {_GROUP}, income::double AS interest_income_gbp, cost::double AS interest_cost_gbp,
+               (income - cost)::double AS net_interest_gbp FROM interest""",
+    "pnl_fee_income": f"SELECT {_GROUP}, fee::double AS fee_income_gbp FROM fees",
+    "pnl_fee_income_dedup": f"""
+        SELECT {_GROUP}, sum(fees_charged_gbp)::double AS fee_income_gbp FROM account_rows
+        WHERE (customer_id, snapshot_month) IN
+              (SELECT (customer_id, date_trunc('month', transaction_date)::date) FROM fact_transactions) GROUP BY ALL""",
+    "pnl_account_counts": """
+        SELECT snapshot_month::varchar AS snapshot_month, product_type, region, customer_segment, accounts AS active_accounts,
+               customers AS active_customers, arrears AS accounts_in_arrears, balance::double / balances AS avg_balance_gbp,
+               book::double AS total_book_gbp FROM counts""",
+    "v_monthly_pnl": _PNL,
+    "monthly_pnl_one_month": f"SELECT * FROM ({_PNL}) WHERE snapshot_month = '2024-11-01'",
+    "monthly_executive_summary": _EXEC,
+    "executive_summary_from_base": f"""
+        SELECT '2024-12-31' AS report_month, round(net + fee, 0)::double AS total_revenue_gbp, round(net, 0)::double AS total_nii_gbp,
+               round(fee, 0)::double AS total_fee_income_gbp, customers AS total_active_customers, accounts AS total_active_accounts,
+               round(book, 0)::double AS total_book_gbp, {_rounded('net * 120000', 'book * 100', 3)}::double AS nim_pct,
+               {_rounded('arrears * 100', 'accounts', 2)}::double AS arrears_rate_pct
+        FROM (SELECT sum(interest_charged_gbp) - sum(interest_earned_gbp) AS net,
+                     coalesce(sum(fees_charged_gbp) FILTER (customer_id IN (SELECT customer_id FROM fact_transactions
+                              WHERE date_trunc('month', transaction_date) = DATE '2024-12-01')), 0) AS fee,
+                     count(DISTINCT customer_id) FILTER (account_status = 'Active') AS customers,
+                     count(DISTINCT account_id) FILTER (account_status = 'Active') AS accounts,
+                     sum(abs(balance_gbp)) FILTER (account_status = 'Active') AS book,
+                     count(*) FILTER (account_status = 'Active' AND days_in_arrears > 0) AS arrears
+              FROM account_rows WHERE snapshot_month = DATE '2024-12-01')""",
+    # ---- staging and storage
+    "customers_upsert": """
+        SELECT customer_id, region, customer_segment,
+               CASE WHEN o_orderkey IS NOT NULL THEN 'RM_' || lpad((o_orderkey % 500)::varchar, 4, '0') END AS relationship_mgr,
+               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS updated_at
+        FROM dim_customers LEFT JOIN
+             (SELECT * FROM orders QUALIFY row_number() OVER
+                 (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey % 500 DESC) = 1)
+             ON customer_id = 'CUST' || lpad(o_custkey::varchar, greatest(8, length(o_custkey::varchar))::int, '0')""",
+    "mcc_category": """
+        SELECT spending_category AS transaction_category, count(*) AS transactions, sum(amount_gbp)::double AS amount_gbp
+        FROM fact_transactions JOIN ref_merchant_categories ON mcc_code = merchant_category_code GROUP BY ALL""",
+    "approx_distinct_merchants": """
+        SELECT channel, count(DISTINCT merchant_name) AS exact_merchants, true AS within_error
+        FROM fact_transactions GROUP BY channel""",
+    "staging_validate": """
+        SELECT 'not_null:' || c AS rule, 0::bigint AS violations
+        FROM (SELECT unnest(['transaction_id', 'customer_id', 'account_id', 'transaction_date', 'transaction_timestamp',
+                             'amount_gbp']) AS c)
+        UNION ALL SELECT 'enum:transaction_type', count(*) FILTER (transaction_type NOT IN ('Debit', 'Credit', 'Transfer', 'ATM'))
+        FROM fact_transactions
+        UNION ALL SELECT 'enum:channel', count(*) FILTER (channel NOT IN ('Mobile', 'Online', 'Branch', 'ATM', 'POS'))
+        FROM fact_transactions
+        UNION ALL SELECT 'check:amount_positive', count(*) FILTER (amount_gbp <= 0) FROM fact_transactions
+        UNION ALL SELECT 'unique:transaction_id', count(*) - count(DISTINCT (l_orderkey, l_linenumber))
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "storage_accounts": """
+        SELECT snapshot_month::varchar AS snapshot_month, count(*) AS accounts, sum(balance_gbp)::double AS balance_gbp
+        FROM fact_accounts WHERE snapshot_month >= DATE '2024-10-01' GROUP BY ALL""",
+    "retention_transactions": """
+        SELECT transaction_date::varchar AS transaction_date, count(*) AS transactions
+        FROM fact_transactions WHERE transaction_date >= DATE '2029-06-30' - 1825 GROUP BY ALL""",
+}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: _sql(body) for name, body in QUERIES.items()}

@@ -1,0 +1,245 @@
+"""Every query by name, over a folder of the raw test tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerline import schemas
+from ledgerline.operators.groups import latest_per_key
+from ledgerline.plans import aml, churn, churn_model, cross_sell, pnl, rfm
+from ledgerline.session import materialise, scratch_path
+from ledgerline.sources import dimensions, order_star, staging, storage
+from ledgerline.sources.order_star import AS_OF, Star
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Types two engines print the same way: money as double, dates as ISO text, counts as bigint."""
+    out = []
+    for f in df.schema:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("string")
+        elif isinstance(f.dataType, T.IntegerType):
+            c = c.cast("bigint")
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(c, ",")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def _on_star(query: Callable[[Star], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(query(order_star.load(spark, sf_dir)))
+
+    return run
+
+
+def _rounded(df: DataFrame, column: str, digits: int) -> DataFrame:
+    return df.withColumn(column, F.round(column, digits))
+
+
+def _features(s: Star) -> DataFrame:
+    return churn.churn_features(s.customers, s.transactions, s.accounts, AS_OF)
+
+
+def _pnl(s: Star, **kw) -> DataFrame:
+    return pnl.monthly_pnl(s.accounts, s.products, s.customers, s.transactions, **kw)
+
+
+def _mv_customer_rfm(s: Star) -> DataFrame:
+    spark = s.customers.sparkSession
+    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(spark, "mv_customer_rfm"))
+
+
+def _rfm_scored(s: Star) -> DataFrame:
+    return rfm.rfm_scored(materialise(rfm.rfm_raw(s.transactions, AS_OF), "rfm_raw"))
+
+
+def _dim_products(s: Star) -> DataFrame:
+    held = s.accounts.groupBy("product_id").agg(F.count_distinct("account_id").alias("accounts"))
+    return s.products.drop("retired_date").join(held, "product_id")
+
+
+def _executive_summary(s: Star) -> DataFrame:
+    path = scratch_path(s.customers.sparkSession, "monthly_executive_summary")
+    stamp = F.lit(AS_OF).cast("timestamp")
+    return pnl.append_executive_summary(_pnl(s), AS_OF, path, stamp).drop("inserted_at")
+
+
+def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order stands for a change record of its customer."""
+    customers = order_star.customers(spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "concat('CUST', lpad(cast(o_custkey as string), greatest(8, length(cast(o_custkey as string))), '0')) as customer_id",
+        "concat('RM_', lpad(cast(o_orderkey % 500 as string), 4, '0')) as relationship_mgr",
+        "cast(o_orderdate as timestamp) as updated_at")
+    # reduce the records to the newest of each customer before attaching the other columns
+    newest = latest_per_key(orders, ["customer_id"], ["updated_at"])
+    changes = schemas.CUSTOMERS.conform(
+        customers.drop("relationship_mgr", "updated_at").join(newest, "customer_id"))
+    merged = staging.upsert_latest(customers, changes, schemas.CUSTOMERS)
+    return comparable(merged.select(
+        "customer_id", "region", "customer_segment", "relationship_mgr",
+        F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at")))
+
+
+def _mcc_category(s: Star) -> DataFrame:
+    return staging.with_mcc_category(s.transactions, s.merchant_categories).groupBy("transaction_category").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("amount_gbp").alias("amount_gbp"))
+
+
+def _approx_distinct_merchants(s: Star) -> DataFrame:
+    error = 0.01
+    exact, approx = F.col("exact_merchants"), F.col("approx_merchants")
+    return s.transactions.groupBy("channel").agg(
+        F.count_distinct("merchant_name").alias("exact_merchants"),
+        F.approx_count_distinct("merchant_name", error).alias("approx_merchants"),
+    ).select("channel", "exact_merchants", (F.abs(approx - exact) <= exact * 3 * error).alias("within_error"))
+
+
+def _staging_validate(s: Star) -> DataFrame:
+    """The landed rows keyed by order and line number only, which the test data repeats."""
+    landed = s.transactions.withColumn("transaction_id", F.substring_index("transaction_id", "-", 2))
+    return staging.validate(landed, schemas.TRANSACTIONS)
+
+
+def _storage_accounts(s: Star) -> DataFrame:
+    path = scratch_path(s.customers.sparkSession, "fact_accounts")
+    stored = storage.write_table(s.accounts, schemas.ACCOUNTS, path)
+    return stored.filter("snapshot_month >= DATE '2024-10-01'").groupBy("snapshot_month").agg(
+        F.count(F.lit(1)).alias("accounts"), F.sum("balance_gbp").alias("balance_gbp"))
+
+
+def _retention(s: Star) -> DataFrame:
+    from datetime import date
+
+    kept = storage.retained(s.transactions, schemas.TRANSACTIONS, date(2029, 6, 30))
+    return kept.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("transactions"))
+
+
+_models: dict[tuple[str, str], tuple] = {}
+
+
+def _model(spark: SparkSession, sf_dir: str):
+    """Feature snapshot and stored model, made once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        features = materialise(_features(order_star.load(spark, sf_dir)), "ml_churn_features")
+        path = scratch_path(spark, "mdl_churn_logistic")
+        churn_model.save_model(churn_model.train_churn(features), path)
+        _models[key] = features, path
+    features, path = _models[key]
+    return features, churn_model.load_model(path)
+
+
+def _churn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trains a model of its own and reports the size and effort of the fit."""
+    features = materialise(_features(order_star.load(spark, sf_dir)), "ml_churn_features")
+    fitted = churn_model.train_churn(features).stages[-1]
+    return spark.createDataFrame(
+        [(fitted.numFeatures, fitted.summary.totalIterations, float(fitted.summary.objectiveHistory[-1]))],
+        "inputs bigint, iterations bigint, final_loss double")
+
+
+def _churn_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features, model = _model(spark, sf_dir)
+    return churn_model.evaluate_churn(model, features)
+
+
+def _churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features, model = _model(spark, sf_dir)
+    return churn_model.score_churn(model, features)
+
+
+def _churn_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn_model.churn_weights(_model(spark, sf_dir)[1])
+
+
+def queries() -> dict[str, Query]:
+    q: dict[str, Callable[[Star], DataFrame]] = {
+        # tables
+        "dim_date": lambda s: dimensions.calendar_for(s.transactions, "transaction_date"),
+        "dim_products": _dim_products,
+        "star_customers": lambda s: s.customers.select(
+            "customer_id", "date_of_birth", "age_band", "region", "customer_since", "customer_segment",
+            "kyc_status", "risk_rating", "nps_score"),
+        "star_transactions": lambda s: s.transactions.select(
+            "transaction_id", "customer_id", "account_id", "product_id", "transaction_date", "transaction_type",
+            "transaction_category", "merchant_name", "merchant_category_code", "merchant_country", "amount_gbp",
+            "channel", "is_international", "is_flagged"),
+        "star_accounts": lambda s: s.accounts.select(
+            "account_id", "customer_id", "product_id", "snapshot_month", "account_status", "balance_gbp",
+            "utilisation_pct", "days_in_arrears", "missed_payments_3m", "interest_charged_gbp",
+            "interest_earned_gbp", "fees_charged_gbp", "closed_date"),
+        # segmentation
+        "rfm_raw": lambda s: rfm.rfm_raw(s.transactions, AS_OF),
+        "rfm_scored": _rfm_scored,
+        "rfm_segments": lambda s: rfm.rfm_segments(s.transactions, s.customers, AS_OF),
+        "mv_customer_rfm": _mv_customer_rfm,
+        "rfm_segment_summary": lambda s: rfm.rfm_segment_summary(
+            rfm.rfm_segments(s.transactions, s.customers, AS_OF, sort=False)),
+        # churn
+        "churn_labels": lambda s: churn.churn_labels(s.accounts, AS_OF),
+        "churn_labels_all_closed": lambda s: churn.churn_labels_all_closed(s.accounts, AS_OF),
+        "churn_txn_features": lambda s: _rounded(churn.churn_txn_features(s.transactions, AS_OF), "stddev_txn_amount", 4),
+        "churn_account_features": lambda s: churn.churn_account_features(s.accounts, AS_OF),
+        "ml_churn_features": _features,
+        "churn_training_set": lambda s: churn_model.training_set(materialise(_features(s), "ml_churn_features")).select(
+            "customer_id", "churned", "held_out", "class_weight"),
+        # cross-sell
+        "product_holdings": lambda s: cross_sell.product_holdings(s.accounts, s.products, AS_OF),
+        "cross_sell_behaviour": lambda s: cross_sell.behaviour(s.transactions, AS_OF),
+        "cross_sell_eligible": lambda s: cross_sell.eligible_customers(
+            s.customers, s.accounts, s.products, s.transactions, AS_OF),
+        "cross_sell": lambda s: cross_sell.cross_sell(s.customers, s.accounts, s.products, s.transactions, AS_OF),
+        # money laundering
+        "structuring_daily": lambda s: aml.structuring_daily(s.transactions),
+        "structuring_transaction_ids": lambda s: aml.structuring_transaction_ids(s.transactions),
+        "rolling_7d_sum": lambda s: aml.structuring_rolling(s.transactions).select(
+            "customer_id", "transaction_date", "rolling_7d_total_gbp", "rolling_7d_txn_count"),
+        "aml_structuring_alerts": lambda s: aml.aml_structuring(s.transactions, s.customers),
+        "aml_structuring_calendar": lambda s: aml.aml_structuring(s.transactions, s.customers, calendar=True),
+        "velocity_baseline": lambda s: _rounded(aml.velocity_baseline(s.transactions, AS_OF), "stddev_daily_spend", 4),
+        "aml_velocity_alerts": lambda s: aml.aml_velocity(s.transactions, AS_OF),
+        "aml_round_amount_alerts": lambda s: aml.aml_round_amount(s.transactions, AS_OF),
+        "aml_round_amount_exact": lambda s: aml.aml_round_amount(s.transactions, AS_OF, exact=True),
+        "aml_high_risk_exposure": lambda s: aml.high_risk_exposure(s.transactions, s.merchant_categories, AS_OF),
+        "aml_flag_summary": lambda s: aml.aml_flag_summary(s.transactions, s.customers, s.merchant_categories, AS_OF),
+        # profit and loss
+        "pnl_net_interest": lambda s: pnl.net_interest(s.accounts, s.products, s.customers),
+        "pnl_fee_income": lambda s: pnl.fee_income(s.accounts, s.products, s.customers, s.transactions),
+        "pnl_fee_income_dedup": lambda s: pnl.fee_income(
+            s.accounts, s.products, s.customers, s.transactions, per_transaction=False),
+        "pnl_account_counts": lambda s: pnl.account_counts(s.accounts, s.products, s.customers).drop(
+            "balance_total_gbp", "balance_count"),
+        "v_monthly_pnl": _pnl,
+        "monthly_pnl_one_month": lambda s: _pnl(s, report_month=AS_OF.replace(month=11, day=1)),
+        "monthly_executive_summary": _executive_summary,
+        "executive_summary_from_base": lambda s: pnl.executive_summary_from_base(
+            s.accounts, s.products, s.customers, s.transactions, AS_OF),
+        # staging and storage
+        "mcc_category": _mcc_category,
+        "approx_distinct_merchants": _approx_distinct_merchants,
+        "staging_validate": _staging_validate,
+        "storage_accounts": _storage_accounts,
+        "retention_transactions": _retention,
+    }
+    out = {name: _on_star(query) for name, query in q.items()}
+    out["dim_customers"] = lambda spark, sf_dir: comparable(dimensions.build_customers(
+        spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("id")), AS_OF,
+    ).drop("created_at", "updated_at"))
+    out["customers_upsert"] = _customers_upsert
+    # fitted by iteration, so there is no SQL to compare these with
+    out["churn_train"] = _churn_train
+    out["churn_evaluate"] = _churn_evaluate
+    out["churn_scores"] = _churn_scores
+    out["churn_weights"] = _churn_weights
+    return out
