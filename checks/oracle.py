@@ -280,10 +280,10 @@ STEPS = {
 }
 
 
-def _sql(body: str) -> str:
+def _sql(body: str, star_given: bool = False) -> str:
     """Put the steps and tables the query needs in front of it, in definition order."""
     needed: set[str] = set()
-    parts = {**STAR, **STEPS}
+    parts = STEPS if star_given else {**STAR, **STEPS}
 
     def visit(text: str) -> None:
         words = set(re.findall(r"[a-z_0-9]+", text))
@@ -545,5 +545,6 @@ QUERIES = {
 }
 
 
-def oracle_sql() -> dict[str, str]:
-    return {name: _sql(body) for name, body in QUERIES.items()}
+def oracle_sql(star_given: bool = False) -> dict[str, str]:
+    """With ``star_given`` the star tables are expected to exist and are not derived."""
+    return {name: _sql(body, star_given) for name, body in QUERIES.items()}

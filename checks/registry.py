@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +56,7 @@ def _pnl(s: Star, **kw) -> DataFrame:
 
 
 def _mv_customer_rfm(s: Star) -> DataFrame:
-    spark = s.customers.sparkSession
-    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(spark, "mv_customer_rfm"))
+    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(s.spark, "mv_customer_rfm"))
 
 
 def _rfm_scored(s: Star) -> DataFrame:
@@ -69,7 +69,7 @@ def _dim_products(s: Star) -> DataFrame:
 
 
 def _executive_summary(s: Star) -> DataFrame:
-    path = scratch_path(s.customers.sparkSession, "monthly_executive_summary")
+    path = scratch_path(s.spark, "monthly_executive_summary")
     stamp = F.lit(AS_OF).cast("timestamp")
     return pnl.append_executive_summary(_pnl(s), AS_OF, path, stamp).drop("inserted_at")
 
@@ -77,7 +77,7 @@ def _executive_summary(s: Star) -> DataFrame:
 def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order stands for a change record of its customer."""
     customers = order_star.customers(spark, sf_dir)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    orders = order_star.raw_table(spark, sf_dir, "orders").selectExpr(
         "concat('CUST', lpad(cast(o_custkey as string), greatest(8, length(cast(o_custkey as string))), '0')) as customer_id",
         "concat('RM_', lpad(cast(o_orderkey % 500 as string), 4, '0')) as relationship_mgr",
         "cast(o_orderdate as timestamp) as updated_at")
@@ -112,15 +112,13 @@ def _staging_validate(s: Star) -> DataFrame:
 
 
 def _storage_accounts(s: Star) -> DataFrame:
-    path = scratch_path(s.customers.sparkSession, "fact_accounts")
+    path = scratch_path(s.spark, "fact_accounts")
     stored = storage.write_table(s.accounts, schemas.ACCOUNTS, path)
     return stored.filter("snapshot_month >= DATE '2024-10-01'").groupBy("snapshot_month").agg(
         F.count(F.lit(1)).alias("accounts"), F.sum("balance_gbp").alias("balance_gbp"))
 
 
 def _retention(s: Star) -> DataFrame:
-    from datetime import date
-
     kept = storage.retained(s.transactions, schemas.TRANSACTIONS, date(2029, 6, 30))
     return kept.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("transactions"))
 
@@ -163,8 +161,9 @@ def _churn_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn_model.churn_weights(_model(spark, sf_dir)[1])
 
 
-def queries() -> dict[str, Query]:
-    q: dict[str, Callable[[Star], DataFrame]] = {
+def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
+    """The queries that read nothing but the star tables."""
+    return {
         # tables
         "dim_date": lambda s: dimensions.calendar_for(s.transactions, "transaction_date"),
         "dim_products": _dim_products,
@@ -232,9 +231,12 @@ def queries() -> dict[str, Query]:
         "storage_accounts": _storage_accounts,
         "retention_transactions": _retention,
     }
-    out = {name: _on_star(query) for name, query in q.items()}
+
+
+def queries() -> dict[str, Query]:
+    out = {name: _on_star(query) for name, query in star_queries().items()}
     out["dim_customers"] = lambda spark, sf_dir: comparable(dimensions.build_customers(
-        spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("id")), AS_OF,
+        order_star.raw_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), AS_OF,
     ).drop("created_at", "updated_at"))
     out["customers_upsert"] = _customers_upsert
     # fitted by iteration, so there is no SQL to compare these with

@@ -72,34 +72,51 @@ class _Finder:
             cond = cond & ~self.after(r.column, r.high)
         return cond
 
+    def tagged(self, ranges: list[_Range], keep=None, **extra) -> DataFrame:
+        """Each row once per range it lies in: range number ``i``, value, tie and extra literals.
+
+        One pass serves ranges of several columns; a column's value stands in its own
+        field ``v<n>`` and the other value fields stay NULL.
+        """
+        columns = self.columns(ranges)
+        entries = []
+        for i, r in enumerate(ranges):
+            cond = self.inside(r)
+            if keep is not None:
+                cond = cond & keep(i, r)
+            values = [
+                (F.col(c) if c == r.column else F.lit(None).cast(self.kinds[c])).alias(f"v{n}")
+                for n, c in enumerate(columns)
+            ]
+            literals = [F.lit(get(r)).cast("bigint").alias(name) for name, get in extra.items()]
+            entries.append(F.when(cond, F.struct(
+                F.lit(i).alias("i"), *values, F.col(self.tie).alias("t"), *literals)))
+        return self.df.select(F.inline(F.array_compact(F.array(*entries))))
+
+    @staticmethod
+    def columns(ranges: list[_Range]) -> list[str]:
+        return list(dict.fromkeys(r.column for r in ranges))
+
+    def read_keys(self, df: DataFrame, ranges: list[_Range]) -> list[tuple[int, Key]]:
+        field = {c: f"v{n}" for n, c in enumerate(self.columns(ranges))}
+        return [(row.i, (row[field[ranges[row.i].column]], row.t)) for row in df.collect()]
+
     def narrow(self, ranges: list[_Range], seed: int) -> None:
-        """One sampling and one counting pass over the ranges of a single column."""
-        column = ranges[0].column
-        tagged = F.array_compact(F.array(*[
-            F.when(
-                self.inside(r) & (F.rand(seed + i) < min(1.0, self.sample_rows / r.rows)),
-                F.struct(F.lit(i).alias("i"), F.col(column).alias("v"), F.col(self.tie).alias("t")),
-            )
-            for i, r in enumerate(ranges)
-        ]))
-        drawn: dict[int, list[Key]] = {i: [] for i in range(len(ranges))}
-        for row in self.df.select(F.inline(tagged)).collect():
-            drawn[row.i].append((row.v, row.t))
+        """One sampling pass and one counting pass over all ranges that are still wide."""
+        drawn: list[list[Key]] = [[] for _ in ranges]
+        sample = self.tagged(ranges, lambda i, r: F.rand(seed + i) < min(1.0, self.sample_rows / r.rows))
+        for i, key in self.read_keys(sample, ranges):
+            drawn[i].append(key)
 
         tries: list[tuple[_Range, list[Key]]] = []
-        for i, r in enumerate(ranges):
-            keys = sorted(drawn[i], key=_order)
-            if not keys:
-                continue
+        for r, keys in zip(ranges, drawn, strict=True):
+            keys.sort(key=_order)
             at = (r.rank / r.rows) * len(keys)
             slack = 3 * math.sqrt(len(keys)) / 2 + 1
             low, high = math.floor(at - slack), math.ceil(at + slack)
-            picks = [keys[low]] if low >= 0 else []
-            if high < len(keys) and (not picks or keys[high] != picks[0]):
-                picks.append(keys[high])
-            tries.append((r, picks))
+            tries.append((r, [keys[n] for n in (low, high) if 0 <= n < len(keys)]))
         counts = [
-            F.count_if(self.inside(r) & ~self.after(column, key)) for r, picks in tries for key in picks
+            F.count_if(self.inside(r) & ~self.after(r.column, key)) for r, picks in tries for key in picks
         ]
         if not counts:
             return
@@ -116,26 +133,10 @@ class _Finder:
 
     def pick(self, ranges: list[_Range]) -> list[Key]:
         """Sort each (now small) range in its own task and read off the wanted row."""
-        parts = []
-        columns = list(dict.fromkeys(r.column for r in ranges))
-        for column in columns:
-            mine = [(i, r) for i, r in enumerate(ranges) if r.column == column]
-            tags = F.array_compact(F.array(*[
-                F.when(self.inside(r), F.struct(F.lit(i).alias("i"), F.lit(r.rank).cast("bigint").alias("want")))
-                for i, r in mine
-            ]))
-            rows = self.df.select(F.col(column), F.col(self.tie), F.inline(tags))
-            nth = F.row_number().over(W.partitionBy("i").orderBy(F.col(column).asc_nulls_first(), self.tie))
-            parts.append(
-                rows.withColumn("n", nth).filter(F.col("n") == F.col("want"))
-                .select("i", F.col(column).alias(f"v{columns.index(column)}"), F.col(self.tie).alias("t"))
-            )
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        found = {
-            row.i: (row[f"v{columns.index(ranges[row.i].column)}"], row.t) for row in out.collect()
-        }
+        order = [F.col(f"v{n}").asc_nulls_first() for n in range(len(self.columns(ranges)))]
+        nth = F.row_number().over(W.partitionBy("i").orderBy(*order, "t"))
+        wanted = self.tagged(ranges, want=lambda r: r.rank).withColumn("n", nth).filter(F.col("n") == F.col("want"))
+        found = dict(self.read_keys(wanted, ranges))
         return [found[i] for i in range(len(ranges))]
 
 
@@ -159,10 +160,7 @@ def tile_end_keys(
     ]
     seed = 0
     while any(r.rows > sort_limit for r in ranges):
-        for c in columns:
-            wide = [r for r in ranges if r.column == c and r.rows > sort_limit]
-            if wide:
-                finder.narrow(wide, seed)
+        finder.narrow([r for r in ranges if r.rows > sort_limit], seed)
         seed += len(ranges)
     keys = finder.pick(ranges)
     ends: dict[str, list[Key]] = {c: [] for c in columns}

@@ -19,6 +19,8 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.adaptive.enabled": "true",
+        # small test data: keep all cores busy rather than merging small partitions
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
     }

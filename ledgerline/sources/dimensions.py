@@ -57,15 +57,17 @@ def calendar_for(facts: DataFrame, day: str) -> DataFrame:
 
 
 def dim_products(spark: SparkSession) -> DataFrame:
-    """The product catalogue."""
-    rows = [
-        (i, code, name, kind, family, rate, fee, limit, launch)
-        for i, code, name, kind, family, rate, fee, limit, launch in rules.PRODUCT_CATALOGUE
-    ]
+    """The product catalogue.
+
+    Inline values rather than a parallelised list: the optimizer then knows how small the
+    table is and joins it without shuffling the other side.
+    """
     names = ["product_id", "product_code", "product_name", "product_type", "product_family",
              "interest_rate", "fee_monthly", "credit_limit_max", "launch_date"]
-    text = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
-    return schemas.PRODUCTS.conform(text)
+    rows = ", ".join(
+        "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in rules.PRODUCT_CATALOGUE
+    )
+    return schemas.PRODUCTS.conform(spark.sql(f"SELECT * FROM VALUES {rows} AS p({', '.join(names)})"))
 
 
 def whole_years(as_of: date, day: Column) -> Column:

@@ -8,8 +8,8 @@ data set; money goes through whole pence.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +20,49 @@ from ledgerline.sources.dimensions import dim_products
 AS_OF = date(2024, 12, 31)
 
 
-@dataclass(frozen=True)
+# declared, so that opening a table reads no file footers on the driver
+_RAW = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+}
+
+
 class Star:
-    customers: DataFrame
-    products: DataFrame
-    transactions: DataFrame
-    accounts: DataFrame
-    merchant_categories: DataFrame
+    """The tables, each read when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.spark, self.sf_dir)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return dim_products(self.spark)
 
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return transactions(self.spark, self.sf_dir)
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return accounts(self.spark, self.sf_dir)
+
+    @cached_property
+    def merchant_categories(self) -> DataFrame:
+        return merchant_categories(self.spark, self.sf_dir)
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_RAW[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pence(column: str) -> str:
@@ -54,11 +86,11 @@ _ACCOUNT_ID = f"concat('ACC', {_DIGITS}, '-', lpad(cast({{}} as string), 2, '0')
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _table(spark, sf_dir, "nation").join(
-        _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    places = raw_table(spark, sf_dir, "nation").join(
+        raw_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", F.col("r_name").alias("region"))
     base = (
-        _table(spark, sf_dir, "customer")
+        raw_table(spark, sf_dir, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("k"), "region")
         .withColumn("date_of_birth", F.expr(f"date_sub({_AS_OF}, cast(6570 + (k * 7919) % 20000 as int))"))
@@ -82,10 +114,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem").select(
+    lines = raw_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"
     )
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"))
+    orders = raw_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("k"))
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("d", F.expr("datediff(cast(l_shipdate as date), DATE '1995-01-01')"))
@@ -121,13 +153,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = (
-        _table(spark, sf_dir, "orders")
+        raw_table(spark, sf_dir, "orders")
         .selectExpr("o_custkey as k", "o_orderkey % 11 as pr", "o_orderkey % 2 as parity")
         .filter("pr < 2 or parity = 0")
         .select("k", "pr")
         .distinct()
     )
-    owners = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    owners = raw_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     base = (
         pairs.join(owners, F.col("c_custkey") == F.col("k"))
         .withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(11))))
@@ -159,7 +191,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merchant_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The codes that occur in the parts table, with an invented category for each."""
-    codes = _table(spark, sf_dir, "part").selectExpr("p_partkey % 12 as c").distinct()
+    codes = raw_table(spark, sf_dir, "part").selectExpr("p_partkey % 12 as c").distinct()
     names = _pick(["Groceries", "Utilities", "Transport", "Entertainment", "Mortgage/Rent", "FX"], "1 + c % 6")
     return schemas.MERCHANT_CATEGORIES.conform(codes.selectExpr(
         "lpad(cast(5000 + c as string), 4, '0') as mcc_code",
@@ -170,10 +202,4 @@ def merchant_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(
-        customers=customers(spark, sf_dir),
-        products=dim_products(spark),
-        transactions=transactions(spark, sf_dir),
-        accounts=accounts(spark, sf_dir),
-        merchant_categories=merchant_categories(spark, sf_dir),
-    )
+    return Star(spark, sf_dir)
