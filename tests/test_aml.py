@@ -1,0 +1,76 @@
+from datetime import timedelta
+from decimal import Decimal
+
+from frames import AS_OF, customers, transactions
+
+from ledgerline.plans import aml
+
+
+def _day(n):
+    return AS_OF - timedelta(days=n)
+
+
+def _credit(amount, day, **kw):
+    return dict(amount_gbp=amount, transaction_date=_day(day), transaction_type="Credit", **kw)
+
+
+def test_structuring_amount_edges(spark):
+    txn = transactions(spark, [
+        _credit("7499.99", 1), _credit("7500", 2), _credit("9999", 3), _credit("9999.01", 4),
+        dict(amount_gbp="8000", transaction_date=_day(5), transaction_type="Debit")])
+    got = {r.transaction_date: r for r in aml.structuring_daily(txn).collect()}
+    assert set(got) == {_day(2), _day(3)}
+    assert got[_day(3)].largest_txn_gbp == Decimal("9999.00") == got[_day(3)].smallest_txn_gbp
+
+
+def test_structuring_low_needs_exactly_fifteen_thousand(spark):
+    txn = transactions(spark, [_credit("7500", 2), _credit("7500", 1)])
+    got = aml.aml_structuring(txn, customers(spark, [{}])).collect()
+    assert [(r.transaction_date, r.alert_severity, r.rolling_7d_txn_count) for r in got] == [(_day(1), "Low", 2)]
+
+
+def test_structuring_rows_or_days(spark):
+    """Eight active days far apart: seven rows are in the row frame, one day in the calendar frame."""
+    txn = transactions(spark, [_credit("8000", 10 * i) for i in range(8)])
+    who = customers(spark, [{}])
+    assert aml.aml_structuring(txn, who).count() == 7
+    newest = aml.structuring_rolling(txn).orderBy("transaction_date").collect()[-1]
+    assert newest.rolling_7d_txn_count == 7
+    assert aml.aml_structuring(txn, who, calendar=True).count() == 0
+
+
+def test_structuring_sorted_by_severity_name(spark):
+    rows = [_credit("9000", d, customer_id="C1") for d in range(6)] + [_credit("7500", d, customer_id="C2") for d in range(2)]
+    got = [r.alert_severity for r in aml.aml_structuring(
+        transactions(spark, rows), customers(spark, [{"customer_id": "C1"}, {"customer_id": "C2"}])).collect()]
+    assert got == sorted(got) and set(got) == {"Critical", "High", "Low", "Medium"}
+
+
+def test_velocity_window_edges(spark):
+    """Day -8 is history, day -7 is recent, day -91 is neither."""
+    rows = [dict(amount_gbp=a, transaction_date=_day(d)) for a, d in
+            [(10, 8), (10, 20), (10, 90), (9000, 91), (31, 7), (30, 6), (101, 5), (51, 4)]]
+    got = {r.transaction_date: r for r in aml.aml_velocity(transactions(spark, rows), AS_OF).collect()}
+    assert {d: r.alert_severity for d, r in got.items()} == {_day(7): "Medium", _day(5): "Critical", _day(4): "High"}
+    r = got[_day(5)]
+    assert (r.avg_daily_spend_gbp, r.spend_multiplier, r.z_score) == (Decimal("10.00"), Decimal("10.1"), None)
+
+
+def test_velocity_needs_history(spark):
+    rows = [dict(customer_id="new", amount_gbp=9000, transaction_date=_day(1)),
+            dict(customer_id="one", amount_gbp=10, transaction_date=_day(30)),
+            dict(customer_id="one", amount_gbp=100, transaction_date=_day(0))]
+    got = aml.aml_velocity(transactions(spark, rows), AS_OF).collect()
+    assert [(r.customer_id, r.z_score) for r in got] == [("one", None)]
+
+
+def test_round_amounts(spark):
+    rows = []
+    for amount, n in [("500", 5), ("499.60", 5), ("999.60", 5), ("9900", 10), ("10000", 6), ("550", 6), ("600", 4)]:
+        rows += [dict(amount_gbp=amount, transaction_date=_day(i)) for i in range(n)]
+    rows += [dict(amount_gbp="700", transaction_date=_day(31)) for _ in range(9)]
+    txn = transactions(spark, rows)
+    got = {str(r.amount_gbp): (r.frequency_30d, r.alert_severity) for r in aml.aml_round_amount(txn, AS_OF).collect()}
+    assert got == {"500.00": (5, "Low"), "999.60": (5, "Low"), "9900.00": (10, "High")}
+    exact = {str(r.amount_gbp) for r in aml.aml_round_amount(txn, AS_OF, exact=True).collect()}
+    assert exact == {"500.00", "9900.00"}

@@ -1,0 +1,71 @@
+from datetime import date, timedelta
+
+import pytest
+from frames import AS_OF, customers, transactions
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ledgerline.plans import rfm
+from ledgerline.session import materialise
+from ledgerline.sources import order_star
+
+
+def test_raw_edges(spark):
+    rows = [
+        dict(customer_id="C1", transaction_date=AS_OF, amount_gbp="10.10"),
+        dict(customer_id="C1", transaction_date=date(2023, 12, 31), amount_gbp="5", transaction_type="Credit", merchant_name="M2"),
+        dict(customer_id="C1", transaction_date=date(2023, 12, 30), amount_gbp="99"),
+        dict(customer_id="C2", is_flagged=True),
+        dict(customer_id="C3", transaction_type="ATM", transaction_date=AS_OF - timedelta(days=1)),
+        dict(customer_id="C4", is_flagged=None),
+    ]
+    got = {r.customer_id: r for r in rfm.rfm_raw(transactions(spark, rows), AS_OF).collect()}
+    assert set(got) == {"C1", "C3"}
+    c1 = got["C1"]
+    assert (c1.recency_days, c1.frequency_months, str(c1.monetary_gbp), c1.total_transactions, c1.unique_merchants) == (
+        -1, 2, "10.10", 2, 2)
+    assert (got["C3"].recency_days, got["C3"].monetary_gbp) == (0, 0)
+
+
+@pytest.mark.parametrize("sort_limit", [200_000, 100])
+def test_scores_equal_ntile(spark, sf_dir, sort_limit):
+    from ledgerline.operators import ntile
+
+    raw = materialise(rfm.rfm_raw(order_star.transactions(spark, sf_dir), AS_OF), "raw")
+    got = ntile.with_ntile(raw, 5, {"r": "recency_days", "f": "frequency_months", "m": "monetary_gbp"},
+                           "customer_id", sort_limit=sort_limit, sample_rows=200)
+    for name, column in [("r", "recency_days"), ("f", "frequency_months"), ("m", "monetary_gbp")]:
+        got = got.withColumn("want_" + name, F.ntile(5).over(W.orderBy(column, "customer_id")))
+    assert got.filter("r <> want_r or f <> want_f or m <> want_m").count() == 0
+
+
+def test_unknown_customer_is_kept(spark):
+    txn = transactions(spark, [dict(customer_id="C1"), dict(customer_id="ghost")])
+    got = {r.customer_id: r for r in rfm.rfm_segments(txn, customers(spark, [{}]), AS_OF).collect()}
+    assert got["ghost"].region is None and got["ghost"].tenure_years is None and got["C1"].tenure_years == 4
+
+
+def test_segment_counts(spark, sf_dir):
+    star = order_star.load(spark, sf_dir)
+    got = {r.rfm_segment: r.customers for r in rfm.rfm_segment_summary(
+        rfm.rfm_segments(star.transactions, star.customers, AS_OF, sort=False)).collect()}
+    assert got == {"Champions": 80, "Loyal Customers": 386, "Potential Loyalists": 242, "New Customers": 68,
+                   "Promising": 39, "Need Attention": 32, "About To Sleep": 210, "At Risk": 76,
+                   "Hibernating": 180, "Others": 187}
+
+
+def test_partitioning_does_not_matter(spark, sf_small):
+    star = order_star.load(spark, sf_small)
+    a = rfm.rfm_segments(star.transactions, star.customers, AS_OF, sort=False)
+    b = rfm.rfm_segments(star.transactions.repartition(13), star.customers.repartition(3), AS_OF, sort=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_refresh_replaces_snapshot(spark, tmp_path):
+    who, path = customers(spark, [{}]), str(tmp_path / "mv")
+    stamp = F.lit(AS_OF).cast("timestamp")
+    first = rfm.refresh_mv_customer_rfm(transactions(spark, [{}]), who, AS_OF, path, stamp)
+    assert first.count() == 1 and "computed_at" in first.columns
+    second = rfm.refresh_mv_customer_rfm(
+        transactions(spark, [dict(customer_id="C1"), dict(customer_id="C2")]), who, AS_OF, path, stamp)
+    assert second.count() == 2
