@@ -66,7 +66,7 @@ def structuring_severity(count: Column, total: Column) -> Column:
 
 
 def aml_structuring(
-    txn: DataFrame, customers: DataFrame, calendar: bool = False, run_ts: Column | None = None
+    txn: DataFrame, customers: DataFrame, calendar: bool = False, run_ts: Column | None = None, sort: bool = True
 ) -> DataFrame:
     """Repeated credits just below the reporting threshold."""
     n, total = F.col("rolling_7d_txn_count"), F.col("rolling_7d_total_gbp")
@@ -82,7 +82,7 @@ def aml_structuring(
         structuring_severity(n, total).alias("alert_severity"),
         F.lit(rules.STRUCTURING_ALERT).alias("alert_type"),
     )
-    return _stamp(out, run_ts).orderBy("alert_severity", F.desc("rolling_7d_total_gbp"))
+    return _finish(out, run_ts, sort, "alert_severity", F.desc("rolling_7d_total_gbp"))
 
 
 # ------------------------------------------------------------------- velocity
@@ -121,7 +121,7 @@ def velocity_baseline(txn: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def aml_velocity(txn: DataFrame, as_of: date, run_ts: Column | None = None) -> DataFrame:
+def aml_velocity(txn: DataFrame, as_of: date, run_ts: Column | None = None, sort: bool = True) -> DataFrame:
     """Recent days far above the customer's own history.
 
     One scan serves history and recent days. Daily rows are few per customer (at most 91),
@@ -157,7 +157,7 @@ def aml_velocity(txn: DataFrame, as_of: date, run_ts: Column | None = None) -> D
                     rules.SEVERITY_OTHER).alias("alert_severity"),
         F.lit(rules.VELOCITY_ALERT).alias("alert_type"),
     )
-    return _stamp(out, run_ts).orderBy(F.desc("spend_multiplier"))
+    return _finish(out, run_ts, sort, F.desc("spend_multiplier"))
 
 
 # -------------------------------------------------------------- round amounts
@@ -171,7 +171,7 @@ def is_round_amount(amount: Column, exact: bool = False) -> Column:
 
 
 def aml_round_amount(
-    txn: DataFrame, as_of: date, exact: bool = False, run_ts: Column | None = None
+    txn: DataFrame, as_of: date, exact: bool = False, run_ts: Column | None = None, sort: bool = True
 ) -> DataFrame:
     """The same round amount at least five times in thirty days."""
     amount, n, total = F.col("amount_gbp"), F.col("frequency_30d"), F.col("total_exposure_gbp")
@@ -196,19 +196,19 @@ def aml_round_amount(
         "alert_severity": first_match(
             [((n >= c) & (total > t), label) for c, t, label in rules.ROUND_SEVERITY], rules.SEVERITY_OTHER),
     })
-    return _stamp(out, run_ts).orderBy(F.desc("total_exposure_gbp"))
+    return _finish(out, run_ts, sort, F.desc("total_exposure_gbp"))
 
 
 # ------------------------------------------------------- documented extensions
 
 
-def high_risk_exposure(txn: DataFrame, categories: DataFrame, as_of: date) -> DataFrame:
+def high_risk_exposure(txn: DataFrame, categories: DataFrame, as_of: date, sort: bool = True) -> DataFrame:
     """Thirty days of foreign and high-risk-category activity per customer."""
     foreign = F.col("merchant_country") != rules.HOME_COUNTRY
     risky = F.coalesce(F.col("is_high_risk"), F.lit(False))
     codes = categories.select(F.col("mcc_code").alias("merchant_category_code"), "is_high_risk")
     money = F.col("amount_gbp")
-    return (
+    out = (
         txn.filter(F.col("transaction_date") >= _days_before(as_of, rules.ROUND_DAYS))
         .join(codes, "merchant_category_code", "left")
         .filter(foreign | risky)
@@ -220,20 +220,20 @@ def high_risk_exposure(txn: DataFrame, categories: DataFrame, as_of: date) -> Da
             F.sum(F.when(risky, money).otherwise(0)).alias("high_risk_category_gbp"),
             F.count_if(foreign & risky).alias("foreign_high_risk_txns"),
         )
-        .orderBy(F.desc("foreign_gbp"), "customer_id")
     )
+    return _finish(out, None, sort, F.desc("foreign_gbp"), "customer_id")
 
 
 def aml_flag_summary(txn: DataFrame, customers: DataFrame, categories: DataFrame, as_of: date) -> DataFrame:
     """Alerts, transactions and value of each alert type over the last thirty days."""
     since = _days_before(as_of, rules.ROUND_DAYS)
-    structuring = aml_structuring(txn, customers).filter(F.col("transaction_date") >= since).select(
+    structuring = aml_structuring(txn, customers, sort=False).filter(F.col("transaction_date") >= since).select(
         "alert_type", F.col("txn_count").alias("n"), F.col("daily_total_gbp").alias("value"))
-    velocity = aml_velocity(txn, as_of).select(
+    velocity = aml_velocity(txn, as_of, sort=False).select(
         "alert_type", F.col("txn_count").alias("n"), F.col("todays_spend_gbp").alias("value"))
-    rounded = aml_round_amount(txn, as_of).select(
+    rounded = aml_round_amount(txn, as_of, sort=False).select(
         "alert_type", F.col("frequency_30d").alias("n"), F.col("total_exposure_gbp").alias("value"))
-    abroad = high_risk_exposure(txn, categories, as_of).filter("foreign_txns > 0").select(
+    abroad = high_risk_exposure(txn, categories, as_of, sort=False).filter("foreign_txns > 0").select(
         F.lit("Geographic anomaly").alias("alert_type"), F.col("foreign_txns").alias("n"),
         F.col("foreign_gbp").alias("value"))
     return (
@@ -244,5 +244,8 @@ def aml_flag_summary(txn: DataFrame, customers: DataFrame, categories: DataFrame
     )
 
 
-def _stamp(df: DataFrame, run_ts: Column | None) -> DataFrame:
-    return df if run_ts is None else df.withColumn("detected_at", run_ts)
+def _finish(df: DataFrame, run_ts: Column | None, sort: bool, *order: Column | str) -> DataFrame:
+    """Detection time and report order; a caller that aggregates further needs neither."""
+    if run_ts is not None:
+        df = df.withColumn("detected_at", run_ts)
+    return df.orderBy(*order) if sort else df

@@ -7,10 +7,10 @@ from datetime import date, timedelta
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import rules
@@ -97,21 +97,41 @@ def load_model(path: str) -> PipelineModel:
 
 
 def evaluate_churn(model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
-    """Precision, recall, accuracy, F1, log loss and ROC AUC for class 1, on all and on held-out rows."""
-    scored = model.transform(_as_double(with_split(features, cfg)))
-    rows = []
-    for name, part in (("all", scored), ("held_out", scored.filter(HELD_OUT))):
-        def multi(metric: str, part: DataFrame = part) -> float:
-            return MulticlassClassificationEvaluator(
-                labelCol=LABEL, metricName=metric, metricLabel=1.0).evaluate(part)
+    """Precision, recall, accuracy, F1, log loss and ROC AUC for class 1, on all and on held-out rows.
 
-        rows.append((
-            name, multi("precisionByLabel"), multi("recallByLabel"), multi("accuracy"),
-            multi("fMeasureByLabel"), multi("logLoss"),
-            BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(part),
-        ))
-    columns = "rows string, precision double, recall double, accuracy double, f1_score double, log_loss double, roc_auc double"
-    return features.sparkSession.createDataFrame(rows, columns)
+    All counts come from one pass over the scored rows; only the AUC needs the rows in
+    order of score, which Spark's evaluator does.
+    """
+    scored = model.transform(_as_double(with_split(features, cfg)))
+    parts = {"all": scored, "held_out": scored.filter(HELD_OUT)}
+    auc = {
+        name: BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(part)
+        for name, part in parts.items()
+    }
+    actual, guess = F.col(LABEL) == 1, F.col("prediction") == 1
+    p_actual = F.get(vector_to_array("probability"), F.col(LABEL).cast("int"))
+    membership = F.array_compact(F.array(F.lit("all"), F.when(F.col(HELD_OUT), F.lit("held_out"))))
+    counts = scored.select(
+        F.explode(membership).alias("rows"), actual.alias("actual"), guess.alias("guess"),
+        (-F.ln(F.greatest(p_actual, F.lit(1e-15)))).alias("loss"),
+    ).groupBy("rows").agg(
+        F.count_if(F.col("actual") & F.col("guess")).alias("hit"),
+        F.count_if("guess").alias("guessed"),
+        F.count_if("actual").alias("positive"),
+        F.count_if(F.col("actual") == F.col("guess")).alias("right"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg("loss").alias("log_loss"),
+    )
+    hit = F.col("hit")
+    return counts.select(
+        "rows",
+        F.coalesce(F.try_divide(hit, F.col("guessed")), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(hit, F.col("positive")), F.lit(0.0)).alias("recall"),
+        F.try_divide(F.col("right"), F.col("n")).alias("accuracy"),
+        F.coalesce(F.try_divide(2 * hit, F.col("guessed") + F.col("positive")), F.lit(0.0)).alias("f1_score"),
+        "log_loss",
+        first_match([(F.col("rows") == name, area) for name, area in auc.items()], None).alias("roc_auc"),
+    ).orderBy("rows")
 
 
 def churn_tier(probability: Column) -> Column:
@@ -142,8 +162,6 @@ def score_churn(
 
 def churn_weights(model: PipelineModel) -> DataFrame:
     """One row per model input with its weight, largest first; the intercept is ``__intercept__``."""
-    from pyspark.sql import SparkSession
-
     fitted: LogisticRegressionModel = model.stages[-1]
     assembler: VectorAssembler = model.stages[-2]
     indexer, spark = model.stages[0], SparkSession.active()

@@ -97,9 +97,13 @@ def monthly_pnl(
 
     Interest and fees come from one pass over the accounts, with the transaction counts
     left-joined. A product type must belong to a single family (``families_per_type``
-    checks it). ``report_month`` keeps one month of the finished view; the month before
-    it still feeds the change column.
+    checks it). ``report_month`` keeps one month of the finished view; later months are
+    not read, earlier ones still feed the change column.
     """
+    if report_month is not None:
+        month = F.lit(report_month.replace(day=1))
+        accounts = accounts.filter(F.col("snapshot_month") <= month)
+        txn = txn.filter(F.col("transaction_date") <= F.last_day(month))
     income = (
         account_star(accounts, products, customers)
         .join(monthly_transaction_counts(txn), ["customer_id", "snapshot_month"], "left")
@@ -131,7 +135,7 @@ def monthly_pnl(
         F.round(F.col("revenue") - F.col("previous_revenue"), 0).alias("mom_revenue_delta_gbp"),
     )
     if report_month is not None:
-        view = view.filter(F.col("snapshot_month") == F.lit(report_month.replace(day=1)))
+        view = view.filter(F.col("snapshot_month") == month)
     if run_ts is not None:
         view = view.withColumn("refreshed_at", run_ts)
     return view.orderBy(F.desc("snapshot_month"), F.desc("total_revenue_gbp"))

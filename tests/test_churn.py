@@ -109,6 +109,13 @@ def test_evaluation_and_weights(trained):
     assert set(rows) == {"all", "held_out"}
     for r in rows.values():
         assert all(0 <= r[c] <= 1 for c in ("precision", "recall", "accuracy", "f1_score", "roc_auc"))
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    scored = model.transform(churn_model._as_double(features))
+    for column, metric in [("precision", "precisionByLabel"), ("recall", "recallByLabel"), ("accuracy", "accuracy"),
+                           ("f1_score", "fMeasureByLabel"), ("log_loss", "logLoss")]:
+        want = MulticlassClassificationEvaluator(labelCol="churned", metricName=metric, metricLabel=1.0).evaluate(scored)
+        assert rows["all"][column] == pytest.approx(want)
     weights = churn_model.churn_weights(model).collect()
     assert len(weights) == model.stages[-1].numFeatures + 1
     size = [abs(r.weight) for r in weights]

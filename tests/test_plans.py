@@ -36,3 +36,22 @@ def test_scans_read_needed_columns_only(star):
 def test_catalogue_join_does_not_shuffle_accounts(star):
     plan = QUERIES["product_holdings"](star)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [product_id" in plan and "hashpartitioning(product_id" not in plan
+
+
+def test_summaries_do_not_sort_their_inputs(star):
+    plan = QUERIES["aml_flag_summary"](star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1
+
+
+def test_one_month_summary_reads_one_month(spark, star, tmp_path):
+    from ledgerline import schemas
+    from ledgerline.plans import pnl
+    from ledgerline.sources import storage
+
+    acct = storage.write_table(star.accounts, schemas.ACCOUNTS, str(tmp_path / "a"))
+    txn = storage.write_table(star.transactions, schemas.TRANSACTIONS, str(tmp_path / "t"))
+    view = pnl.monthly_pnl(acct, star.products, star.customers, txn)
+    plan = pnl.executive_summary(view, order_star.AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("= 2024-12-01") >= 3 and "Window" not in plan
+    for filters in re.findall(r"PartitionFilters: \[([^\]]+)\]", plan):
+        assert "2024-12-01" in filters
