@@ -126,13 +126,20 @@ def _retention(s: Star) -> DataFrame:
 _models: dict[tuple[str, str], tuple] = {}
 
 
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = order_star.load(spark, sf_dir)
+    stamp = F.lit(AS_OF).cast("timestamp")
+    return materialise(
+        churn.churn_features(s.customers, s.transactions, s.accounts, AS_OF, stamp), "ml_churn_features")
+
+
 def _model(spark: SparkSession, sf_dir: str):
     """Feature snapshot and stored model, made once per application and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        features = materialise(_features(order_star.load(spark, sf_dir)), "ml_churn_features")
+        features = _stored_features(spark, sf_dir)
         path = scratch_path(spark, "mdl_churn_logistic")
-        churn_model.save_model(churn_model.train_churn(features), path)
+        churn_model.save_model(churn_model.train_churn(features, as_of=AS_OF), path)
         _models[key] = features, path
     features, path = _models[key]
     return features, churn_model.load_model(path)
@@ -140,8 +147,7 @@ def _model(spark: SparkSession, sf_dir: str):
 
 def _churn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trains a model of its own and reports the size and effort of the fit."""
-    features = materialise(_features(order_star.load(spark, sf_dir)), "ml_churn_features")
-    fitted = churn_model.train_churn(features).stages[-1]
+    fitted = churn_model.train_churn(_stored_features(spark, sf_dir), as_of=AS_OF).stages[-1]
     return spark.createDataFrame(
         [(fitted.numFeatures, fitted.summary.totalIterations, float(fitted.summary.objectiveHistory[-1]))],
         "inputs bigint, iterations bigint, final_loss double")
@@ -149,7 +155,7 @@ def _churn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _churn_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     features, model = _model(spark, sf_dir)
-    return churn_model.evaluate_churn(model, features)
+    return churn_model.evaluate_churn(model, features, as_of=AS_OF)
 
 
 def _churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

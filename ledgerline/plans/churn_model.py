@@ -82,8 +82,15 @@ def _as_double(features: DataFrame) -> DataFrame:
     return features.withColumns({c: F.col(c).cast("double") for c in [*rules.CHURN_NUMERIC, LABEL]})
 
 
-def train_churn(features: DataFrame, cfg: ChurnConfig = ChurnConfig()) -> PipelineModel:
-    """Fit on the rows that are not held out. ``features`` is read several times: pass a stored table."""
+def train_churn(
+    features: DataFrame, cfg: ChurnConfig = ChurnConfig(), as_of: date | None = None
+) -> PipelineModel:
+    """Fit on the rows that are not held out; with ``as_of`` on the latest snapshot only.
+
+    ``features`` is read several times: pass a stored table.
+    """
+    if as_of is not None:
+        features = latest_snapshot(features, as_of)
     return pipeline(cfg).fit(_as_double(training_set(features, cfg).filter(~F.col(HELD_OUT))))
 
 
@@ -96,12 +103,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def evaluate_churn(model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
+def evaluate_churn(
+    model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig(), as_of: date | None = None
+) -> DataFrame:
     """Precision, recall, accuracy, F1, log loss and ROC AUC for class 1, on all and on held-out rows.
 
     All counts come from one pass over the scored rows; only the AUC needs the rows in
     order of score, which Spark's evaluator does.
     """
+    if as_of is not None:
+        features = latest_snapshot(features, as_of)
     scored = model.transform(_as_double(with_split(features, cfg)))
     parts = {"all": scored, "held_out": scored.filter(HELD_OUT)}
     auc = {
