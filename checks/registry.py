@@ -71,7 +71,7 @@ def _dim_products(s: Star) -> DataFrame:
 def _executive_summary(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "monthly_executive_summary")
     stamp = F.lit(AS_OF).cast("timestamp")
-    return pnl.append_executive_summary(_pnl(s), AS_OF, path, stamp).drop("inserted_at")
+    return pnl.append_executive_summary(_pnl(s, report_month=AS_OF, change=False), AS_OF, path, stamp).drop("inserted_at")
 
 
 def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +223,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "pnl_fee_income": lambda s: pnl.fee_income(s.accounts, s.products, s.customers, s.transactions),
         "pnl_fee_income_dedup": lambda s: pnl.fee_income(
             s.accounts, s.products, s.customers, s.transactions, per_transaction=False),
-        "pnl_account_counts": lambda s: pnl.account_counts(s.accounts, s.products, s.customers).drop(
-            "balance_total_gbp", "balance_count"),
+        "pnl_account_counts": lambda s: pnl.account_counts(s.accounts, s.products, s.customers),
         "v_monthly_pnl": _pnl,
         "monthly_pnl_one_month": lambda s: _pnl(s, report_month=AS_OF.replace(month=11, day=1)),
         "monthly_executive_summary": _executive_summary,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.functions import mean_of, month_of, round_ratio
+from ledgerline.functions import mean_of, month_of, round_ratio, safe_ratio
 from ledgerline.schemas import EXECUTIVE_SUMMARY
 from ledgerline.sources.storage import append
 
@@ -71,18 +71,30 @@ def fee_income(
     )
 
 
+def _count_columns(counted: Column) -> list[Column]:
+    """Account figures over the rows where ``counted`` holds; NULL when there are none."""
+    def of(name: str) -> Column:
+        return F.when(counted, F.col(name))
+
+    in_arrears = F.when(counted, F.when(F.col("days_in_arrears") > 0, 1).otherwise(0))
+    none = F.lit(0)
+    return [
+        F.nullif(F.count_distinct(of("account_id")), none).alias("active_accounts"),
+        F.nullif(F.count_distinct(of("customer_id")), none).alias("active_customers"),
+        F.sum(in_arrears).alias("accounts_in_arrears"),
+        F.sum(of("balance_gbp")).alias("balance_total_gbp"),
+        F.count(of("balance_gbp")).alias("balance_count"),
+        F.sum(F.abs(of("balance_gbp"))).alias("total_book_gbp"),
+    ]
+
+
 def account_counts(accounts: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Active accounts and customers, arrears, average balance and book."""
-    balance = F.col("balance_gbp")
-    return account_star(accounts.filter(F.col("account_status") == "Active"), products, customers).groupBy(*GROUP).agg(
-        F.count_distinct("account_id").alias("active_accounts"),
-        F.count_distinct("customer_id").alias("active_customers"),
-        F.sum(F.when(F.col("days_in_arrears") > 0, 1).otherwise(0)).alias("accounts_in_arrears"),
-        mean_of(balance).alias("avg_balance_gbp"),
-        F.sum(balance).alias("balance_total_gbp"),
-        F.count(balance).alias("balance_count"),
-        F.sum(F.abs(balance)).alias("total_book_gbp"),
-    )
+    active = accounts.filter(F.col("account_status") == "Active")
+    counts = account_star(active, products, customers).groupBy(*GROUP).agg(*_count_columns(F.lit(True)))
+    return counts.withColumn(
+        "avg_balance_gbp", safe_ratio(F.col("balance_total_gbp"), F.col("balance_count"))
+    ).drop("balance_total_gbp", "balance_count")
 
 
 def monthly_pnl(
@@ -91,29 +103,37 @@ def monthly_pnl(
     customers: DataFrame,
     txn: DataFrame,
     report_month: date | None = None,
+    change: bool = True,
     run_ts: Column | None = None,
 ) -> DataFrame:
     """The profit and loss view, newest month first.
 
-    Interest and fees come from one pass over the accounts, with the transaction counts
-    left-joined. A product type must belong to a single family (``families_per_type``
-    checks it). ``report_month`` keeps one month of the finished view; later months are
-    not read, earlier ones still feed the change column.
+    Interest and account figures come from one pass over the accounts. Fees take a second
+    one that only meets accounts with a fee, since the others add nothing. A product type
+    must belong to a single family (``families_per_type`` checks it). As in a join on
+    equal keys, groups of unknown region or segment have no account figures and no fees.
+
+    ``report_month`` keeps one month of the finished view; later months are not read,
+    earlier ones still feed the change column. Without ``change`` that column is left out,
+    and only the report month is read.
     """
     if report_month is not None:
         month = F.lit(report_month.replace(day=1))
         accounts = accounts.filter(F.col("snapshot_month") <= month)
         txn = txn.filter(F.col("transaction_date") <= F.last_day(month))
-    income = (
-        account_star(accounts, products, customers)
-        .join(monthly_transaction_counts(txn), ["customer_id", "snapshot_month"], "left")
-        .groupBy(*GROUP_FAMILY)
-        .agg(*_interest_sums(), _fee_sum(per_transaction=True))
-    )
+        if not change:
+            accounts = accounts.filter(F.col("snapshot_month") >= month)
+            txn = txn.filter(F.col("transaction_date") >= month)
+    counted = F.col("account_status") == "Active"
+    for key in GROUP:
+        counted = counted & F.col(key).isNotNull()
+    book_side = account_star(accounts, products, customers).groupBy(*GROUP_FAMILY).agg(
+        *_interest_sums(), *_count_columns(counted))
+    fee_side = fee_income(accounts.filter(F.col("fees_charged_gbp") != 0), products, customers, txn)
     net, fee, book = F.col("net_interest_gbp"), F.col("fee_income_gbp"), F.col("total_book_gbp")
     history = W.partitionBy("product_type", "region", "customer_segment").orderBy("snapshot_month")
     joined = (
-        income.join(account_counts(accounts, products, customers), GROUP, "left")
+        book_side.join(fee_side, GROUP_FAMILY, "left")
         .withColumn("fee_income_gbp", F.coalesce(fee, F.lit(0)))
         .withColumn("revenue", net + fee)
         .withColumn("previous_revenue", F.lag("revenue").over(history))
@@ -134,6 +154,8 @@ def monthly_pnl(
         round_ratio(net * 100 * 1200, book * 100, 3).alias("nim_annualised_pct"),
         F.round(F.col("revenue") - F.col("previous_revenue"), 0).alias("mom_revenue_delta_gbp"),
     )
+    if not change:
+        view = view.drop("mom_revenue_delta_gbp")
     if report_month is not None:
         view = view.filter(F.col("snapshot_month") == month)
     if run_ts is not None:
@@ -144,6 +166,9 @@ def monthly_pnl(
 def executive_summary(pnl: DataFrame, run_date: date, run_ts: Column | None = None) -> DataFrame:
     """One row of headline figures for the month of ``run_date``.
 
+    ``pnl`` may be the whole view, but ``monthly_pnl(..., run_date, change=False)`` reads
+    just the month.
+
     Customers are added up over the groups, so one with several product types counts
     several times, and the ratios are plain averages over groups;
     :func:`executive_summary_from_base` gives the unduplicated, weighted figures.

@@ -69,6 +69,15 @@ def test_view_columns_and_order(spark, sf_small):
     assert keys == sorted(keys, reverse=True) and len(keys) == 900
 
 
+def test_one_month_without_change_gives_the_same_summary(spark, sf_small):
+    star = order_star.load(spark, sf_small)
+    args = star.accounts, star.products, star.customers, star.transactions
+    run = date(2024, 7, 31)
+    short = pnl.monthly_pnl(*args, report_month=run, change=False)
+    assert "mom_revenue_delta_gbp" not in short.columns
+    assert pnl.executive_summary(short, run).collect() == pnl.executive_summary(pnl.monthly_pnl(*args), run).collect()
+
+
 def test_executive_summary_appends(spark, sf_small, tmp_path):
     star = order_star.load(spark, sf_small)
     view = pnl.monthly_pnl(star.accounts, star.products, star.customers, star.transactions)
@@ -83,3 +92,22 @@ def test_each_type_has_one_family(spark):
     assert families_per_type(dim_products(spark)).count() == 0
     assert families_per_type(dim_products(spark).withColumn(
         "product_family", F.when(F.col("product_id") == "PRD001", "Payments").otherwise(F.col("product_family")))).count() == 1
+
+
+def test_view_equals_its_parts_joined(spark, sf_small):
+    """Also for customers of unknown region, whose groups match nothing in a join on equal keys."""
+    star = order_star.load(spark, sf_small)
+    who = star.customers.withColumn("region", F.when(F.col("region") != "ASIA", F.col("region")))
+    args = star.accounts, star.products, who
+    parts = (
+        pnl.net_interest(*args).join(pnl.fee_income(*args, star.transactions).drop("product_family"), pnl.GROUP, "left")
+        .join(pnl.account_counts(*args), pnl.GROUP, "left")
+        .select(*pnl.GROUP_FAMILY, "active_accounts", "active_customers", F.col("accounts_in_arrears").cast("bigint"),
+                F.round("total_book_gbp", 0).alias("book"), F.round(F.coalesce("fee_income_gbp", F.lit(0)), 0).alias("fee"))
+    )
+    view = pnl.monthly_pnl(*args, star.transactions).select(
+        *pnl.GROUP_FAMILY, "active_accounts", "active_customers", "accounts_in_arrears",
+        F.col("total_book_gbp").alias("book"), F.col("fee_income_gbp").alias("fee"))
+    assert view.exceptAll(parts).count() == 0 and parts.exceptAll(view).count() == 0
+    unknown = view.filter("region is null")
+    assert unknown.count() > 0 and unknown.filter("active_accounts is not null or fee <> 0").count() == 0
