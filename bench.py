@@ -23,7 +23,7 @@ HEADLINE = [
 
 
 def main() -> None:
-    from checks.registry import queries
+    from ledgerline.checks.registry import queries
     from ledgerline.session import local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -1,6 +1,6 @@
 """Run queries on Spark and their SQL on DuckDB and compare the results.
 
-    python -m checks.compare [sf_dir] [query ...]
+    python -m ledgerline.checks.compare [sf_dir] [query ...]
 """
 
 from __future__ import annotations
@@ -54,15 +54,15 @@ def difference(spark_df, con, sql: str) -> str | None:
 
 
 def main() -> int:
-    import __spark_entry__ as entry
+    from ledgerline.checks import oracle, registry
     from ledgerline.session import local_session
 
     args = sys.argv[1:]
     sf_dir = args[0] if args and "/" in args[0] else "/root/testdata/sf0.01"
     only = [a for a in args if "/" not in a]
     spark, con = local_session(8), connect(sf_dir)
-    expected, failed = entry.oracle_sql(), 0
-    for name, query in entry.queries().items():
+    expected, failed = oracle.oracle_sql(), 0
+    for name, query in registry.queries().items():
         if only and name not in only:
             continue
         start = time.time()

@@ -2,7 +2,7 @@
 
 Written apart from the Spark code: same definitions, no shared expressions. The star
 schema is put in front of each query as common table expressions. Money comes out as
-double and dates as ISO text, as in :func:`checks.registry.comparable`.
+double and dates as ISO text, as in :func:`ledgerline.checks.registry.comparable`.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        # many different queries in one process: room for all their compiled code
+        "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=512m",
         "spark.sql.adaptive.enabled": "true",
         # small test data: keep all cores busy rather than merging small partitions
         "spark.sql.adaptive.coalescePartitions.enabled": "false",

@@ -17,6 +17,9 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(work / "checkpoint"),
             "spark.sql.warehouse.dir": str(work / "warehouse"),
+            "spark.sql.shuffle.partitions": "4",
+            # many short queries: compile fast rather than best
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=512m",
         },
     )
     yield session

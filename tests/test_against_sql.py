@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from ledgerline.checks import compare
 
 QUERIES, EXPECTED = entry.queries(), entry.oracle_sql()
 

@@ -64,6 +64,16 @@ def test_latest_snapshot_compares_dates(spark):
     assert churn_model.latest_snapshot(df, AS_OF).count() == 1
 
 
+def test_training_uses_the_latest_snapshot(spark, sf_small):
+    star = order_star.load(spark, sf_small)
+    now, before = (F.lit(d).cast("timestamp") for d in (AS_OF, AS_OF - timedelta(days=30)))
+    features = churn.churn_features(star.customers, star.transactions, star.accounts, AS_OF)
+    today = materialise(features.withColumn("feature_date", now), "today")
+    stale = today.withColumns({"feature_date": before, "churned": 1 - F.col("churned")})
+    got = churn_model.train_churn(today.unionByName(stale), as_of=AS_OF).stages[-1].coefficients
+    assert list(got) == pytest.approx(list(churn_model.train_churn(today).stages[-1].coefficients))
+
+
 @pytest.fixture(scope="module")
 def trained(spark, sf_dir):
     star = order_star.load(spark, sf_dir)

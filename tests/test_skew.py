@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from checks import compare, oracle, registry
+from ledgerline.checks import compare, oracle, registry
 from ledgerline import schemas
 from ledgerline.session import scratch_path
 from ledgerline.sources import order_star
