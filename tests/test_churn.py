@@ -134,6 +134,19 @@ def test_evaluation_and_weights(trained):
     assert {"age", "region_ASIA", "customer_segment_Retail", "region___unknown", "__intercept__"} <= named
 
 
+def test_model_finds_a_planted_driver(trained):
+    """The test data's labels are noise and the penalty removes every weight; a label that follows age must survive it."""
+    features, _ = trained
+    planted = materialise(features.withColumn("churned", (F.col("age") > 50).cast("bigint")), "planted")
+    model = churn_model.train_churn(planted)
+    weights = {r.processed_input: r.weight for r in churn_model.churn_weights(model).collect()}
+    assert weights["age"] > 0
+    assert max(weights, key=lambda n: abs(weights[n]) if n != "__intercept__" else -1) == "age"
+    assert {r.rows: r.roc_auc for r in churn_model.evaluate_churn(model, planted).collect()}["held_out"] > 0.8
+    classes = {r[0] for r in churn_model.score_churn(model, planted).select("predicted_churned").distinct().collect()}
+    assert classes == {0, 1}
+
+
 def test_unseen_category_is_scored(trained):
     features, model = trained
     odd = features.withColumn("region", F.lit("ATLANTIS"))
