@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from ledgerline.session import materialise
 #: a word: a run without ASCII white space; ``bytes.split()`` cuts UTF-8 text the same way
 WORD = r"[^\x20\x09-\x0D]+"
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: rows per Arrow batch: a batch of long texts must still fit a worker
 BATCH_ROWS = 1000
 
@@ -24,8 +27,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def python_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that a Python worker holds at once; holds for jobs started later in this session."""
+    """Bound the rows that a Python worker holds at once; holds for jobs started later in this session.
+
+    Workers also learn where the package lies, for a driver that was started elsewhere.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import quality_rules, sharding, url_filter
+from ledgerline.llm import mixing, packing, quality_rules, sharding, token_counts, url_filter
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,27 @@ URL_RULES = (
 )
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pack_documents(docs: DataFrame, with_ids: bool = False) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"),
+                        public_tokenizers.PATTERN, with_ids)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -31,11 +52,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_packing": op3_packing,
+        "op4_token_counts": op4_token_counts,
         "op5_url_filter": op5_url_filter,
         "op8_shard_lookup": op8_shard_lookup,
         "op9_quality_rules": op9_quality_rules,
+        "op10_source_mixing": op10_source_mixing,
     }
 
 
@@ -57,5 +85,36 @@ FROM places p
 """
 
 
+OP10_SQL = r"""
+WITH counted AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS symbols FROM documents),
+drawn AS (
+  SELECT *, floor((1 - pow((('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE,
+                           1 / greatest(0.1::DOUBLE, 1 - symbols / greatest(size, 1)::DOUBLE))) * 17592186044416.0::DOUBLE)::BIGINT AS at
+  FROM counted),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM counted GROUP BY source),
+ranked AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) AS rank, (3 * source_size)::DOUBLE AS cap,
+         ([1.0, 2.0, 3.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT])::DOUBLE AS weight FROM sources),
+levels AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM ranked),
+targets AS (
+  SELECT source, source_size, CASE WHEN cap / weight < level THEN cap
+         ELSE weight * max(CASE WHEN cap / weight >= level THEN level END) OVER () END AS target FROM levels),
+budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets),
+summed AS (
+  SELECT d.doc_id, d.source, d.size, b.source_size, b.target, b.epochs, b.target - b.epochs * b.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.at, coalesce(d.doc_id, -9223372036854775808), d.size) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, d.at, d.doc_id, d.size) AS words
+  FROM drawn d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source),
+chosen AS (SELECT *, (epochs + CASE WHEN rest > 0 AND upto - words / 2 <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, source, copies FROM chosen
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL}
+    return {"op5_url_filter": OP5_SQL, "op10_source_mixing": OP10_SQL}
