@@ -21,9 +21,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        # larger neighbours (and the node itself) point to the least node known here
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.unionAll(least.filter("m < a").select("a", F.col("m").alias("b"))).distinct()
+        # larger neighbours point to the least node known here
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # smaller neighbours point to the least of them
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))

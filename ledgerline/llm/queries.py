@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, packing, pii, quality_rules, sharding, token_counts, url_filter
+from ledgerline.llm import mixing, packing, pii, quality_rules, sharding, simhash, token_counts, url_filter
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op3_packing": op3_packing,
         "op4_token_counts": op4_token_counts,
         "op5_url_filter": op5_url_filter,
+        "op6_simhash_groups": op6_simhash_groups,
         "op7_personal_data": op7_personal_data,
         "op8_shard_lookup": op8_shard_lookup,
         "op9_quality_rules": op9_quality_rules,
