@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, packing, pii, quality_rules, sharding, simhash, substring_dedup, token_counts, url_filter
+from ledgerline.llm import embedding_dedup, mixing, packing, pii, quality_rules, sharding, simhash, substring_dedup, token_counts, url_filter
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def pack_documents(docs: DataFrame, with_ids: bool = False) -> DataFrame:
                         public_tokenizers.PATTERN, with_ids)
 
 
+def op1_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_embedding_groups": op1_embedding_groups,
         "op2_repeated_passages": op2_repeated_passages,
         "op3_packing": op3_packing,
         "op4_token_counts": op4_token_counts,
