@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import materialise
@@ -19,7 +19,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 #: rows per Arrow batch: a batch of long texts must still fit a worker
 BATCH_ROWS = 1000
 
-__all__ = ["BATCH_ROWS", "WORD", "materialise", "python_batches", "read", "text_bytes", "with_columns_of"]
+__all__ = ["BATCH_ROWS", "WORD", "carried", "materialise", "python_batches", "read", "restored", "text_bytes"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def with_columns_of(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the named columns; extra ones of the input can't clash with those an operator adds."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and the whole row as ``carried_row``, so that no other column of the input can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried_row")
+    return docs.select(row, *[F.col(f"`{c}`") for c in needed])
+
+
+def restored(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The rows that ``carried`` packed, in their own columns; those in ``changed`` get a new value."""
+    return df.select(*[changed.get(c, F.col(f"carried_row.`{c}`")).alias(c) for c in columns])

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, materialise
+from ledgerline.llm.common import WORD, carried, materialise, restored
 
 #: weights of the sources in code point order, repeated
 WEIGHTS = (1, 2, 3)
@@ -152,7 +152,5 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix themselves, each as many times as it is taken, in the columns of ``docs``."""
     _, cuts = plan_mix(docs)
-    plain = docs.columns
-    taken = with_copies(sized(docs), cuts).filter("copies > 0")
-    return taken.select(*[F.col(f"`{c}`") for c in plain], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_copy")).select(
-        *[F.col(f"`{c}`") for c in plain])
+    taken = with_copies(sized(carried(docs, "doc_id", "text", "source")), cuts).filter("copies > 0")
+    return restored(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs.columns)

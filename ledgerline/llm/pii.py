@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise
+from ledgerline.llm.common import carried, materialise, restored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -272,9 +272,8 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind in brackets."""
-    plain = docs.columns
-    rows = with_added(docs, train(docs))
+    """``docs`` with every span in ``text`` replaced by its kind in brackets; ``n_chars`` follows."""
+    rows = with_added(carried(docs, "doc_id", "text"), train(docs))
 
     def marks(kind: str) -> Column:
         mark = F.lit(f"[{kind.upper()}]")
@@ -292,4 +291,5 @@ def redacted(docs: DataFrame) -> DataFrame:
     done = F.aggregate("pii_spans", empty, replace, lambda acc: F.concat(
         acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
     text = F.when(F.size("pii_spans") > 0, done).otherwise(F.col("text"))
-    return rows.withColumn("pii_spans", spans).withColumn("text", text).select(*[F.col(f"`{c}`") for c in plain])
+    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return restored(rows.withColumn("pii_spans", spans), docs.columns, **changed)

@@ -212,15 +212,35 @@ def calibrate(scored: DataFrame, labels: DataFrame, max_good_lost: float = MAX_G
     return (first + (int(above[0]) / 2 if len(above) else 0)) / SCORE_BINS
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: the counts, ``base_failed``, the anomaly score and ``kept``."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, IsolationForest | None, float | None]:
+    """The counts of all documents (written once), the forest and the calibrated threshold."""
     stats = materialise(document_stats(docs), "quality_stats")
     forest = fit_forest(stats, labels)
-    if forest is None:
-        return stats.select(*STATS.names, base_failed().alias("base_failed"), F.lit(0.0).alias("anomaly"),
-                            (~base_failed()).alias("kept"))
-    scored = with_score(stats, forest)
-    threshold = calibrate(scored, labels)
+    return stats, forest, None if forest is None else calibrate(with_score(stats, forest), labels)
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per document: the counts, ``base_failed``, the anomaly score and ``kept``."""
+    stats, forest, threshold = fit(docs, labels)
+    scored = with_score(stats, forest) if forest else stats.withColumn("anomaly", F.lit(0.0))
     odd = F.lit(False) if threshold is None else F.col("anomaly") >= F.lit(float(threshold))
     return scored.select(*STATS.names, base_failed().alias("base_failed"), "anomaly",
                          (~base_failed() & ~odd).alias("kept"))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules and the forest keep, in its columns; each row is judged by its own text."""
+    _, forest, threshold = fit(docs, labels)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array([text_stats(t) for t in text_bytes(batch.column(at))], dtype=np.float64).reshape(-1, 6)
+            words, chars, symbols, dup_lines, repeats, lines = rows.T
+            good = ~((words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words))
+            if threshold is not None:
+                shares = [a / np.maximum(b, 1) for a, b in ((chars, words), (symbols, words), (dup_lines, lines), (repeats, words))]
+                good &= forest.score(np.column_stack(shares)) < threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)

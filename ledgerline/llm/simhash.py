@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, python_batches, text_bytes
+from ledgerline.llm.common import carried, materialise, python_batches, restored, text_bytes
 from ledgerline.llm.links import components
 
 SHINGLE_WORDS = 3
@@ -224,14 +224,13 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits:
 
 def deduplicated(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each group: that with the least doc_id, null last, then by text."""
-    plain = docs.columns
     groups = grouped(docs, words_each, max_bits)
     first = groups.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("kept")).select(
         F.coalesce("kept.doc_id", F.lit(-1)).alias("near_id"), F.col("kept.unknown").alias("near_unknown"),
         F.col("kept.text_hash").alias("near_hash"))
     keys = ["near_id", "near_unknown", "near_hash"]
-    keyed = docs.withColumns({
-        "near_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)), "near_unknown": F.col("doc_id").isNull(),
-        "near_hash": F.xxhash64(F.col("text").cast("string"))})
-    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in plain])
+    keyed = carried(docs, "doc_id", "text").select(
+        "carried_row", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("near_id"),
+        F.col("doc_id").isNull().alias("near_unknown"), F.xxhash64(F.col("text").cast("string")).alias("near_hash"))
+    return restored(keyed.join(first, keys, "left_semi").dropDuplicates(keys), docs.columns)
