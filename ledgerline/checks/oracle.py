@@ -102,11 +102,11 @@ STAR = {
                CASE WHEN h % 4 = 0 THEN 12.95::decimal(18,2) ELSE 0 END AS fees_charged_gbp,
                CASE WHEN status = 'Closed' THEN {AS_OF} + (k % 120)::int END AS closed_date
         FROM (SELECT *, CASE WHEN m = 11 AND (k * 7 + pr * 3) % 20 = 0 THEN 'Closed'
-                             WHEN h % 20 = 0 THEN 'Dormant' WHEN h % 20 = 1 THEN 'Overdrawn'
+                             WHEN h % 20 = 0 OR pr >= 2 AND odd THEN 'Dormant' WHEN h % 20 = 1 THEN 'Overdrawn'
                              ELSE 'Active' END AS status
-              FROM (SELECT k, pr, m, c_acctbal, k * 31 + pr * 17 + m AS h
-                    FROM (SELECT DISTINCT o_custkey AS k, o_orderkey % 11 AS pr FROM orders
-                          WHERE o_orderkey % 11 < 2 OR o_orderkey % 2 = 0)
+              FROM (SELECT k, pr, odd, m, c_acctbal, k * 31 + pr * 17 + m AS h
+                    FROM (SELECT o_custkey AS k, o_orderkey % 11 AS pr, bool_and(o_orderkey % 2 = 1) AS odd
+                          FROM orders GROUP BY ALL)
                     JOIN customer ON c_custkey = k CROSS JOIN range(12) months(m)))""",
     "ref_merchant_categories": """
         SELECT DISTINCT lpad((5000 + p_partkey % 12)::varchar, 4, '0') AS mcc_code,
@@ -238,7 +238,7 @@ STEPS = {
         SELECT *, coalesce(fee, 0) AS fee0, income - cost AS net, income - cost + coalesce(fee, 0) AS revenue,
                {_rounded('(income - cost) * 120000', 'book * 100', 3)} AS nim,
                {_rounded('arrears * 100', 'accounts', 2)} AS arrears_rate
-        FROM interest LEFT JOIN fees USING (snapshot_month, product_type, product_family, region, customer_segment)
+        FROM interest LEFT JOIN (SELECT * EXCLUDE (product_family) FROM fees) USING (snapshot_month, product_type, region, customer_segment)
         LEFT JOIN counts USING (snapshot_month, product_type, region, customer_segment)""",
     "txn_features": """
         SELECT customer_id, count(*) AS n, sum(amount_gbp) AS spend, sum(amount_gbp)::double / count(amount_gbp) AS mean,
@@ -449,10 +449,8 @@ QUERIES = {
         SELECT customer_id, transaction_date::varchar AS transaction_date, txn_count, daily_total_gbp::double AS daily_total_gbp,
                largest_txn_gbp::double AS largest_txn_gbp, smallest_txn_gbp::double AS smallest_txn_gbp FROM structuring_daily""",
     "structuring_transaction_ids": """
-        SELECT customer_id, transaction_date::varchar AS transaction_date, 0::bigint AS chunk,
-               string_agg(transaction_id, ',' ORDER BY transaction_id) AS transaction_ids
-        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp >= 7500 AND amount_gbp <= 9999
-        GROUP BY ALL""",
+        SELECT customer_id, transaction_date::varchar AS transaction_date, transaction_id
+        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp BETWEEN 7500 AND 9999""",
     "rolling_7d_sum": """
         SELECT customer_id, transaction_date::varchar AS transaction_date, rolling_total::double AS rolling_7d_total_gbp,
                rolling_count::bigint AS rolling_7d_txn_count FROM rolling_rows""",

@@ -51,6 +51,11 @@ def _features(s: Star) -> DataFrame:
     return churn.churn_features(s.customers, s.transactions, s.accounts, AS_OF)
 
 
+def _one_month(s: Star) -> DataFrame:
+    month = AS_OF.replace(month=11, day=1)
+    return _pnl(s, report_month=month, compared=pnl.months_to_compare(s.accounts, s.products, s.customers, month))
+
+
 def _pnl(s: Star, **kw) -> DataFrame:
     return pnl.monthly_pnl(s.accounts, s.products, s.customers, s.transactions, **kw)
 
@@ -71,7 +76,7 @@ def _dim_products(s: Star) -> DataFrame:
 def _executive_summary(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "monthly_executive_summary")
     stamp = F.lit(AS_OF).cast("timestamp")
-    return pnl.append_executive_summary(_pnl(s, report_month=AS_OF, change=False), AS_OF, path, stamp).drop("inserted_at")
+    return pnl.append_executive_summary(_pnl(s, report_month=AS_OF), AS_OF, path, stamp).drop("inserted_at")
 
 
 def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +230,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
             s.accounts, s.products, s.customers, s.transactions, per_transaction=False),
         "pnl_account_counts": lambda s: pnl.account_counts(s.accounts, s.products, s.customers),
         "v_monthly_pnl": _pnl,
-        "monthly_pnl_one_month": lambda s: _pnl(s, report_month=AS_OF.replace(month=11, day=1)),
+        "monthly_pnl_one_month": _one_month,
         "monthly_executive_summary": _executive_summary,
         "executive_summary_from_base": lambda s: pnl.executive_summary_from_base(
             s.accounts, s.products, s.customers, s.transactions, AS_OF),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,24 +64,11 @@ def hash_bucket(key: Column, buckets: int) -> Column:
     return F.pmod(head.cast("bigint"), F.lit(buckets).cast("bigint"))
 
 
-_MASK_BITS = 63
+def distinct_months(day: Column) -> Column:
+    """Number of different calendar months of ``day``.
 
-
-def distinct_months(day: Column, start: date) -> Column:
-    """Number of different calendar months of ``day``, none before the month of ``start``.
-
-    A month takes one bit, and OR combines before the shuffle. ``count_distinct`` would
-    make Spark copy every row once more when the same aggregation counts another column
-    too. Two masks reach 126 months from ``start``; a later date stops the job rather
-    than being miscounted.
+    Gathers the months themselves: a group has at most as many as the calendar, however
+    many rows it has. ``count_distinct`` would make Spark copy every row once more when the
+    same aggregation counts another column too.
     """
-    index = ((F.year(day) - start.year) * 12 + F.month(day) - start.month).cast("int")
-    limit = 2 * _MASK_BITS
-    checked = F.when(index.between(0, limit - 1), index).when(
-        index.isNotNull(),
-        F.raise_error(F.lit(f"date outside the {limit} months from {start:%Y-%m}")).cast("int"),
-    )
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    low = F.bit_or(F.when(checked < _MASK_BITS, F.call_function("shiftleft", one, checked)).otherwise(zero))
-    high = F.bit_or(F.when(checked >= _MASK_BITS, F.call_function("shiftleft", one, checked - _MASK_BITS)).otherwise(zero))
-    return (F.bit_count(low) + F.bit_count(high)).cast("bigint")
+    return F.size(F.collect_set(month_of(day))).cast("bigint")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import hash_bucket
-
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` columns for each key.
@@ -19,28 +17,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return df.groupBy(*keys).agg(best).select(*[
         F.col(c) if c in keys else F.col(f"best.{c}").alias(c) for c in df.columns
     ])
-
-
-def collect_in_chunks(
-    df: DataFrame, keys: list[str], value: str, out: str, size: int = 10_000, salts: int = 64
-) -> DataFrame:
-    """Sorted arrays of ``value`` per key: one array when the group holds at most ``size`` rows, else several.
-
-    A larger group is dealt over ``ceil(rows / size)`` arrays by hash, numbered by
-    ``chunk``, so no task or row ever holds an unbounded group. The chunk count of the
-    large groups is joined back over ``salts`` copies, which spreads their rows over that
-    many tasks; the other groups are not affected.
-    """
-    large = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > size)
-        .select(*keys, F.ceil(F.col("rows") / size).cast("bigint").alias("chunks"),
-                F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    )
-    salted = df.select(*keys, value).withColumn("salt", F.pmod(F.xxhash64(value), F.lit(salts)).cast("int"))
-    dealt = salted.join(large, [*keys, "salt"], "left").withColumn(
-        "chunk",
-        F.when(F.col("chunks").isNull(), F.lit(0).cast("bigint"))
-        .otherwise(F.pmod(hash_bucket(F.col(value), 1 << 50), F.col("chunks"))),
-    )
-    return dealt.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(value)).alias(out))

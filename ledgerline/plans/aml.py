@@ -10,7 +10,6 @@ from pyspark.sql import Window as W
 
 from ledgerline import rules
 from ledgerline.functions import first_match, round_ratio, safe_ratio
-from ledgerline.operators.groups import collect_in_chunks
 
 # ---------------------------------------------------------------- structuring
 
@@ -32,12 +31,9 @@ def structuring_daily(txn: DataFrame) -> DataFrame:
     )
 
 
-def structuring_transaction_ids(txn: DataFrame, size: int = 10_000) -> DataFrame:
-    """The transactions behind each customer-day, as bounded arrays (see ``collect_in_chunks``)."""
-    return collect_in_chunks(
-        sub_threshold_credits(txn), ["customer_id", "transaction_date"], "transaction_id",
-        "transaction_ids", size,
-    )
+def structuring_transaction_ids(txn: DataFrame) -> DataFrame:
+    """The transactions behind each customer-day, one row each: no group is gathered, whatever its size."""
+    return sub_threshold_credits(txn).select("customer_id", "transaction_date", "transaction_id")
 
 
 def structuring_rolling(txn: DataFrame, calendar: bool = False) -> DataFrame:

@@ -47,9 +47,10 @@ def churn_txn_features(txn: DataFrame, as_of: date) -> DataFrame:
             F.sum(amount).alias("total_spend_6m"),
             mean_of(amount).alias("avg_txn_amount_6m"),
             F.stddev_samp(amount.cast("double")).alias("stddev_txn_amount"),
-            F.count_distinct("transaction_category").alias("unique_categories"),
+            # a short list of categories: gathered, so that only merchants are counted by distinct rows
+            F.size(F.collect_set("transaction_category")).cast("bigint").alias("unique_categories"),
             F.count_distinct("merchant_name").alias("unique_merchants"),
-            distinct_months(day, start).alias("active_months"),
+            distinct_months(day).alias("active_months"),
             F.count_if(channel == "Mobile").alias("mobile_txns"),
             F.count_if(channel == "Branch").alias("branch_txns"),
             F.count_if(channel == "ATM").alias("atm_txns"),

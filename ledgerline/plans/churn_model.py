@@ -116,7 +116,7 @@ def evaluate_churn(
     scored = model.transform(_as_double(with_split(features, cfg)))
     parts = {"all": scored, "held_out": scored.filter(HELD_OUT)}
     auc = {
-        name: BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC").evaluate(part)
+        name: BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0).evaluate(part)
         for name, part in parts.items()
     }
     actual, guess = F.col(LABEL) == 1, F.col("prediction") == 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +79,8 @@ def _count_columns(counted: Column) -> list[Column]:
     in_arrears = F.when(counted, F.when(F.col("days_in_arrears") > 0, 1).otherwise(0))
     none = F.lit(0)
     return [
-        F.nullif(F.count_distinct(of("account_id")), none).alias("active_accounts"),
+        # (account_id, snapshot_month) is the declared key, so a month's accounts needn't be made distinct
+        F.nullif(F.count(of("account_id")), none).alias("active_accounts"),
         F.nullif(F.count_distinct(of("customer_id")), none).alias("active_customers"),
         F.sum(in_arrears).alias("accounts_in_arrears"),
         F.sum(of("balance_gbp")).alias("balance_total_gbp"),
@@ -97,47 +98,64 @@ def account_counts(accounts: DataFrame, products: DataFrame, customers: DataFram
     ).drop("balance_total_gbp", "balance_count")
 
 
+def months_to_compare(accounts: DataFrame, products: DataFrame, customers: DataFrame, report_month: date) -> list[date]:
+    """The earlier months that the change column of ``report_month`` compares with: each group's last one.
+
+    Runs a job that reads the groups' keys only, no amounts and no transactions. It is nearly
+    always a single month.
+    """
+    earlier = accounts.filter(F.col("snapshot_month") < F.lit(report_month.replace(day=1))).select(
+        "customer_id", "product_id", "snapshot_month").distinct()
+    last = account_star(earlier, products, customers).groupBy("product_type", "region", "customer_segment").agg(
+        F.max("snapshot_month").alias("month"))
+    return sorted(r.month for r in last.select("month").distinct().collect())
+
+
 def monthly_pnl(
     accounts: DataFrame,
     products: DataFrame,
     customers: DataFrame,
     txn: DataFrame,
     report_month: date | None = None,
-    change: bool = True,
+    compared: list[date] | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
     """The profit and loss view, newest month first.
 
-    Interest and account figures come from one pass over the accounts. Fees take a second
-    one that only meets accounts with a fee, since the others add nothing. A product type
-    must belong to a single family (``families_per_type`` checks it). As in a join on
-    equal keys, groups of unknown region or segment have no account figures and no fees.
+    One pass over the accounts gives interest, account figures and fees: the fee rule only
+    needs each customer's number of transactions in the month, which is joined to the
+    account before anything is summed up.
+
+    Fees and account figures meet the interest of a group on month, product type, region
+    and segment. That says the same as the pass above while a product type has one family
+    in the group; two would multiply rows, so the view stops with an error there. As in a
+    join on equal keys, groups of unknown region or segment have no account figures and no
+    fees.
 
-    ``report_month`` keeps one month of the finished view; later months are not read,
-    earlier ones still feed the change column. Without ``change`` that column is left out,
-    and only the report month is read.
+    ``report_month`` keeps one month. Only that month and the months in ``compared`` (see
+    :func:`months_to_compare`) are read; without ``compared`` there is no change column.
     """
-    if report_month is not None:
-        month = F.lit(report_month.replace(day=1))
-        accounts = accounts.filter(F.col("snapshot_month") <= month)
-        txn = txn.filter(F.col("transaction_date") <= F.last_day(month))
-        if not change:
-            accounts = accounts.filter(F.col("snapshot_month") >= month)
-            txn = txn.filter(F.col("transaction_date") >= month)
-    counted = F.col("account_status") == "Active"
+    months = None if report_month is None else sorted({report_month.replace(day=1), *(compared or ())})
+    if months is not None:
+        accounts = accounts.filter(F.col("snapshot_month").isin(months))
+        day = F.col("transaction_date")
+        txn = txn.filter(_any([day.between(F.lit(m), F.lit(_month_end(m))) for m in months]))
+    known = F.lit(True)
     for key in GROUP:
-        counted = counted & F.col(key).isNotNull()
-    book_side = account_star(accounts, products, customers).groupBy(*GROUP_FAMILY).agg(
-        *_interest_sums(), *_count_columns(counted))
-    fee_side = fee_income(accounts.filter(F.col("fees_charged_gbp") != 0), products, customers, txn)
+        known = known & F.col(key).isNotNull()
+    paid = F.when(known, F.col("fees_charged_gbp") * F.coalesce("txn_count", F.lit(0)).cast("decimal(18,0)"))
+    star = account_star(accounts, products, customers).join(
+        monthly_transaction_counts(txn), ["customer_id", "snapshot_month"], "left")
+    book_side = star.groupBy(*GROUP_FAMILY).agg(
+        *_interest_sums(), F.coalesce(F.sum(paid), F.lit(0)).alias("fee_income_gbp"),
+        *_count_columns((F.col("account_status") == "Active") & known))
     net, fee, book = F.col("net_interest_gbp"), F.col("fee_income_gbp"), F.col("total_book_gbp")
-    history = W.partitionBy("product_type", "region", "customer_segment").orderBy("snapshot_month")
-    joined = (
-        book_side.join(fee_side, GROUP_FAMILY, "left")
-        .withColumn("fee_income_gbp", F.coalesce(fee, F.lit(0)))
-        .withColumn("revenue", net + fee)
-        .withColumn("previous_revenue", F.lag("revenue").over(history))
-    )
+    history = W.partitionBy("product_type", "region", "customer_segment").orderBy("snapshot_month", "product_family")
+    two_families = F.lag("snapshot_month").over(history) == F.col("snapshot_month")
+    joined = book_side.withColumn("revenue", net + fee).withColumns({
+        "previous_revenue": F.lag("revenue").over(history), "two_families": F.coalesce(two_families, F.lit(False))})
+    revenue = F.when(F.col("two_families"), F.raise_error(F.concat(
+        F.lit("a product type must lie in one family: "), F.col("product_type"))).cast("decimal(38,2)")).otherwise(F.col("revenue"))
     view = joined.select(
         *GROUP_FAMILY,
         "active_accounts",
@@ -148,26 +166,36 @@ def monthly_pnl(
         F.round("interest_income_gbp", 0).alias("gross_interest_income_gbp"),
         F.round("interest_cost_gbp", 0).alias("interest_cost_gbp"),
         F.round(fee, 0).alias("fee_income_gbp"),
-        F.round("revenue", 0).alias("total_revenue_gbp"),
+        F.round(revenue, 0).alias("total_revenue_gbp"),
         "accounts_in_arrears",
         round_ratio(F.col("accounts_in_arrears") * 100, F.col("active_accounts"), 2).alias("arrears_rate_pct"),
         round_ratio(net * 100 * 1200, book * 100, 3).alias("nim_annualised_pct"),
         F.round(F.col("revenue") - F.col("previous_revenue"), 0).alias("mom_revenue_delta_gbp"),
     )
-    if not change:
-        view = view.drop("mom_revenue_delta_gbp")
     if report_month is not None:
-        view = view.filter(F.col("snapshot_month") == month)
+        view = view.filter(F.col("snapshot_month") == F.lit(report_month.replace(day=1)))
+        if compared is None:
+            view = view.drop("mom_revenue_delta_gbp")
     if run_ts is not None:
         view = view.withColumn("refreshed_at", run_ts)
     return view.orderBy(F.desc("snapshot_month"), F.desc("total_revenue_gbp"))
 
 
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _month_end(first: date) -> date:
+    return date(first.year + first.month // 12, first.month % 12 + 1, 1) - timedelta(days=1)
+
+
 def executive_summary(pnl: DataFrame, run_date: date, run_ts: Column | None = None) -> DataFrame:
     """One row of headline figures for the month of ``run_date``.
 
-    ``pnl`` may be the whole view, but ``monthly_pnl(..., run_date, change=False)`` reads
-    just the month.
+    ``pnl`` may be the whole view, but ``monthly_pnl(..., run_date)`` reads just the month.
 
     Customers are added up over the groups, so one with several product types counts
     several times, and the ratios are plain averages over groups;
@@ -210,7 +238,7 @@ def executive_summary_from_base(
         F.sum("interest_charged_gbp").alias("charged"), F.sum("interest_earned_gbp").alias("earned"),
         F.coalesce(F.sum(fee), F.lit(0)).alias("fees"),
         F.count_distinct(F.when(active, F.col("customer_id"))).alias("customers"),
-        F.count_distinct(F.when(active, F.col("account_id"))).alias("accounts"),
+        F.count(F.when(active, F.col("account_id"))).alias("accounts"),
         F.sum(F.when(active, balance)).alias("book"),
         F.sum(F.when(active & (F.col("days_in_arrears") > 0), 1).otherwise(0)).alias("arrears"),
     )

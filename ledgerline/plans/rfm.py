@@ -28,7 +28,7 @@ def rfm_raw(txn: DataFrame, as_of: date) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.datediff(F.lit(as_of - timedelta(days=1)), F.max(day)).alias("recency_days"),
-            distinct_months(day, start).alias("frequency_months"),
+            distinct_months(day).alias("frequency_months"),
             F.round(F.sum(spend), 2).alias("monetary_gbp"),
             F.count(F.lit(1)).alias("total_transactions"),
             F.count_distinct("merchant_name").alias("unique_merchants"),

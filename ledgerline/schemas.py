@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+#: rates and percentages keep nine decimals
+RATE = T.DecimalType(38, 9)
+WIDE = T.DecimalType(38, 18)
+#: holds a landed row that can't be read in the declared types
+MALFORMED = "malformed_row"
 _STR, _INT, _BOOL, _DATE, _TS = (
     T.StringType(), T.LongType(), T.BooleanType(), T.DateType(), T.TimestampType(),
 )
@@ -42,6 +47,13 @@ class Table:
             for f in self.schema
         ])
 
+    def landed_schema(self) -> T.StructType:
+        """What landed files are read as: decimals wide enough to see every digit, and a place for unreadable rows."""
+        return T.StructType([
+            *[T.StructField(f.name, WIDE if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in self.schema],
+            T.StructField(MALFORMED, T.StringType()),
+        ])
+
     def ddl(self, database: str | None = None) -> str:
         """``CREATE TABLE IF NOT EXISTS`` with NOT NULL, DEFAULT, layout and comment."""
         cols = []
@@ -99,7 +111,7 @@ PRODUCTS = Table(
     key=("product_id",),
     schema=_schema(
         ("product_id", _STR, _REQ), ("product_code", _STR), ("product_name", _STR),
-        ("product_type", _STR), ("product_family", _STR), ("interest_rate", MONEY),
+        ("product_type", _STR), ("product_family", _STR), ("interest_rate", RATE),
         ("fee_monthly", MONEY), ("credit_limit_max", MONEY), ("is_active", _BOOL),
         ("launch_date", _DATE), ("retired_date", _DATE),
     ),
@@ -150,7 +162,7 @@ ACCOUNTS = Table(
         ("account_id", _STR, _REQ), ("customer_id", _STR, _REQ),
         ("product_id", _STR, _REQ), ("snapshot_month", _DATE, _REQ),
         ("account_status", _STR), ("balance_gbp", MONEY), ("credit_limit_gbp", MONEY),
-        ("utilisation_pct", MONEY), ("days_in_arrears", _INT),
+        ("utilisation_pct", RATE), ("days_in_arrears", _INT),
         ("missed_payments_3m", _INT), ("interest_charged_gbp", MONEY),
         ("fees_charged_gbp", MONEY), ("interest_earned_gbp", MONEY),
         ("opened_date", _DATE), ("closed_date", _DATE),

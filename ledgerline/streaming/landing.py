@@ -7,18 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.schemas import Table
-from ledgerline.sources.staging import split_valid
+from ledgerline.sources.staging import landed_options, split_valid
 
 
 def landed_stream(spark: SparkSession, table: Table, path: str, fmt: str = "csv") -> DataFrame:
-    """Files under ``path`` as a stream in the declared schema.
-
-    A value that does not parse arrives as NULL, so the NOT NULL rules catch it.
-    """
-    reader = spark.readStream.format(fmt).schema(table.schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.load(path)
+    """Files under ``path`` as a stream, read like :func:`ledgerline.sources.staging.read_landed`."""
+    return landed_options(spark.readStream, table, fmt).load(path)
 
 
 def load_landed(

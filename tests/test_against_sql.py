@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
-from ledgerline.checks import compare
+from ledgerline.checks import compare, oracle, registry
 
-QUERIES, EXPECTED = entry.queries(), entry.oracle_sql()
+QUERIES, EXPECTED = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 from frames import AS_OF, customers, transactions
 
+from ledgerline import schemas
 from ledgerline.plans import aml
 
 
@@ -74,3 +75,11 @@ def test_round_amounts(spark):
     assert got == {"500.00": (5, "Low"), "999.60": (5, "Low"), "9900.00": (10, "High")}
     exact = {str(r.amount_gbp) for r in aml.aml_round_amount(txn, AS_OF, exact=True).collect()}
     assert exact == {"500.00", "9900.00"}
+
+
+def test_a_day_of_many_transactions_has_one_row_each(spark):
+    """No size changes the shape: 10,001 transactions of one customer-day are 10,001 rows."""
+    one = transactions(spark, [dict(transaction_type="Credit", amount_gbp=8000)])
+    many = one.drop("transaction_id").crossJoin(spark.range(10_001).selectExpr("concat('T', id) as transaction_id"))
+    got = aml.structuring_transaction_ids(schemas.TRANSACTIONS.conform(many))
+    assert got.columns == ["customer_id", "transaction_date", "transaction_id"] and got.distinct().count() == 10_001

@@ -10,19 +10,19 @@ from ledgerline.sources import order_star
 EXPECTED = {
     "sf0.001": dict(
         customers=150, customer_sum=29_682, nps=-180, txns=6_000, txn_customers=150,
-        amount="30447054.79", weighted="1232639284.70", accounts=8_088, account_ids=674,
-        account_customers=150, balance="89779489.75", charged="616989.75", earned="99815.40",
-        fees="26184.90", status={"Active": 7206, "Closed": 39, "Dormant": 424, "Overdrawn": 419}),
+        amount="30447054.79", weighted="1232639284.70", accounts=11_988, account_ids=999,
+        account_customers=150, balance="133150991.35", charged="1024871.25", earned="161764.75",
+        fees="38811.15", status={"Active": 7206, "Closed": 56, "Dormant": 4307, "Overdrawn": 419}),
     "sf0.01": dict(
         customers=1_500, customer_sum=343_451, nps=-351, txns=60_000, txn_customers=1_500,
-        amount="302354394.76", weighted="14204416870.62", accounts=80_772, account_ids=6_731,
-        account_customers=1_497, balance="889757243.28", charged="6080135.75", earned="1009989.80",
-        fees="261499.35", status={"Active": 72408, "Closed": 334, "Dormant": 4017, "Overdrawn": 4013}),
+        amount="302354394.76", weighted="14204416870.62", accounts=118_608, account_ids=9_884,
+        account_customers=1_500, balance="1332777215.88", charged="9991767.50", earned="1659432.75",
+        fees="383993.40", status={"Active": 72408, "Closed": 497, "Dormant": 41690, "Overdrawn": 4013}),
     "sf0.1": dict(
         customers=15_000, customer_sum=3_494_216, nps=-315, txns=600_000, txn_customers=14_999,
-        amount="3025876125.79", weighted="145223719243.32", accounts=806_496, account_ids=67_208,
-        account_customers=14_961, balance="8995755536.15", charged="61352911.75", earned="9989590.00",
-        fees="2611030.80", status={"Active": 723011, "Closed": 3366, "Dormant": 40192, "Overdrawn": 39927}),
+        amount="3025876125.79", weighted="145223719243.32", accounts=1_182_576, account_ids=98_548,
+        account_customers=14_999, balance="13402396193.39", charged="100467848.00", earned="16283311.15",
+        fees="3828589.80", status={"Active": 723011, "Closed": 4930, "Dormant": 414708, "Overdrawn": 39927}),
 }
 
 
@@ -60,3 +60,8 @@ def test_checksums(spark, sf):
         assert a[name] == Decimal(want[name])
     by_status = {r.account_status: r["count"] for r in star.accounts.groupBy("account_status").count().collect()}
     assert by_status == want["status"]
+
+
+def test_every_transaction_has_its_account(spark, sf_small):
+    star = order_star.load(spark, sf_small)
+    assert star.transactions.join(star.accounts, "account_id", "left_anti").count() == 0
