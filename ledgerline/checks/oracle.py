@@ -1,7 +1,7 @@
 """The expected answer of every registered query as DuckDB SQL over the raw test tables.
 
-Written apart from the Spark code: same definitions, no shared expressions. The star
-schema is put in front of each query as common table expressions. Money comes out as
+Written apart from the Spark code: no shared expressions, and every fixed value is stated
+here again, so that a mistyped one on either side shows. The star schema is put in front of each query as common table expressions. Money comes out as
 double and dates as ISO text, as in :func:`ledgerline.checks.registry.comparable`.
 """
 
@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import re
 
-from ledgerline import rules
-
 AS_OF = "DATE '2024-12-31'"
 
 
@@ -22,10 +20,6 @@ def _pence(column: str) -> str:
     return f"cast(round({column} * 100) as bigint)"
 
 
-def _case(pairs: list[tuple[str, str]], otherwise: str) -> str:
-    return "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, v in pairs) + f" ELSE '{otherwise}' END"
-
-
 def _rounded(num: str, den: str, digits: int) -> str:
     """num / den (whole numbers) rounded half away from zero, as a decimal."""
     n, d = f"({num})::hugeint", f"nullif(({den})::hugeint, 0)"
@@ -55,11 +49,25 @@ STAR = {
                            {AS_OF} - (30 + (c_custkey * 104729) % 5400)::int AS customer_since
                     FROM customer JOIN nation ON c_nationkey = n_nationkey
                     JOIN region ON n_regionkey = r_regionkey))""",
-    "dim_products": "SELECT * FROM (VALUES " + ", ".join(
-        f"('{p[0]}', '{p[1]}', '{p[2]}', '{p[3]}', '{p[4]}', {p[5]}::decimal(18,2), {p[6]}::decimal(18,2), "
-        f"{p[7] or 'NULL'}::decimal(18,2), true, DATE '{p[8]}')" for p in rules.PRODUCT_CATALOGUE
-    ) + ") v(product_id, product_code, product_name, product_type, product_family, interest_rate, fee_monthly, "
-        "credit_limit_max, is_active, launch_date)",
+    # fixed values
+    "dim_products": """
+        SELECT product_id, product_code, product_name, product_type, product_family, interest_rate::decimal(38,9) AS interest_rate,
+               fee_monthly::decimal(18,2) AS fee_monthly, credit_limit_max::decimal(18,2) AS credit_limit_max, true AS is_active,
+               launch_date
+        FROM (VALUES
+          ('PRD001', 'CA_ADVANCE', 'Advance Current Account', 'Current Account', 'Deposits', 0, 0, NULL, DATE '2015-01-01'),
+          ('PRD002', 'CA_SELECT', 'Select Current Account', 'Current Account', 'Deposits', 0, 12.95, NULL, DATE '2018-06-01'),
+          ('PRD003', 'SA_FLEX', 'Flexible Saver', 'Savings', 'Deposits', 3.50, 0, NULL, DATE '2020-01-01'),
+          ('PRD004', 'SA_FIXED12', 'Fixed Rate Bond 12M', 'Savings', 'Deposits', 5.10, 0, NULL, DATE '2023-01-01'),
+          ('PRD005', 'SA_ISA', 'Cash ISA', 'Savings', 'Deposits', 3.80, 0, NULL, DATE '2016-04-06'),
+          ('PRD006', 'CC_PLATINUM', 'Platinum Credit Card', 'Credit Card', 'Lending', 22.90, 0, 15000, DATE '2019-03-01'),
+          ('PRD007', 'CC_CASHBACK', 'Cashback Credit Card', 'Credit Card', 'Lending', 19.90, 0, 10000, DATE '2021-01-01'),
+          ('PRD008', 'LN_PERSONAL', 'Personal Loan', 'Loan', 'Lending', 8.90, 0, NULL, DATE '2017-01-01'),
+          ('PRD009', 'LN_VEHICLE', 'Vehicle Finance Loan', 'Loan', 'Lending', 6.50, 0, NULL, DATE '2020-06-01'),
+          ('PRD010', 'MG_RESIDENTIAL', 'Residential Mortgage', 'Mortgage', 'Lending', 4.25, 0, NULL, DATE '2010-01-01'),
+          ('PRD011', 'MG_BTL', 'Buy-to-Let Mortgage', 'Mortgage', 'Lending', 5.10, 0, NULL, DATE '2012-01-01')
+        ) v(product_id, product_code, product_name, product_type, product_family, interest_rate, fee_monthly,
+            credit_limit_max, launch_date)""",
     "fact_transactions": f"""
         SELECT 'TXN' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || d
                    AS transaction_id,
@@ -76,7 +84,7 @@ STAR = {
                'Merchant_' || (l_suppkey % 50) AS merchant_name,
                lpad((5000 + l_partkey % 12)::varchar, 4, '0') AS merchant_category_code,
                CASE WHEN l_suppkey % 10 = 0 THEN 'FR' ELSE 'GB' END AS merchant_country,
-               {_money(f'''CASE WHEN planted THEN 100000 * (1 + (k // 25) % 9)
+               {_money(f'''CASE WHEN planted AND (k // 25) % 7 = 6 THEN 99960 WHEN planted THEN 100000 * (1 + (k // 25) % 9)
                                 WHEN k % 20 = 1 AND age > 7 THEN {_pence('l_extendedprice')} // 200
                                 ELSE {_pence('l_extendedprice')} // 10 END''')} AS amount_gbp,
                (['Mobile', 'Online', 'Branch', 'ATM', 'POS'])[1 + l_partkey % 5] AS channel,
@@ -123,7 +131,7 @@ STEPS = {
         SELECT customer_id,
                date_diff('day', max(transaction_date), {AS_OF} - 1) AS recency_days,
                count(DISTINCT strftime(transaction_date, '%Y-%m')) AS frequency_months,
-               sum(amount_gbp * (transaction_type = 'Debit')::int) AS monetary_gbp,
+               sum(CASE WHEN transaction_type = 'Debit' THEN amount_gbp ELSE 0 END) AS monetary_gbp,
                count(*) AS total_transactions, count(DISTINCT merchant_name) AS unique_merchants,
                max(transaction_date) AS last_transaction_date, min(transaction_date) AS first_transaction_date
         FROM fact_transactions WHERE transaction_date >= DATE '2023-12-31' AND NOT is_flagged GROUP BY customer_id""",
@@ -133,19 +141,27 @@ STEPS = {
                ntile(5) OVER (ORDER BY monetary_gbp, customer_id) AS m_score
         FROM rfm_raw""",
     "rfm_segments": f"""
-        SELECT s.*, {_case([(f"r_score BETWEEN {r[0]} AND {r[1]} AND f_score BETWEEN {f[0]} AND {f[1]} "
-                             f"AND m_score BETWEEN {m[0]} AND {m[1]}", label)
-                            for label, r, f, m in rules.RFM_SEGMENTS], rules.RFM_OTHER)} AS rfm_segment,
+        SELECT s.*,
+               CASE WHEN r_score = 5 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
+                    WHEN f_score >= 4 AND m_score >= 3 THEN 'Loyal Customers'
+                    WHEN r_score >= 4 AND f_score BETWEEN 2 AND 3 THEN 'Potential Loyalists'
+                    WHEN r_score = 5 AND f_score = 1 THEN 'New Customers'
+                    WHEN r_score = 4 AND f_score = 1 THEN 'Promising'
+                    WHEN r_score = 3 AND f_score >= 3 AND m_score >= 3 THEN 'Need Attention'
+                    WHEN r_score BETWEEN 2 AND 3 AND f_score <= 2 THEN 'About To Sleep'
+                    WHEN r_score <= 2 AND f_score >= 3 AND m_score >= 3 THEN 'At Risk'
+                    WHEN r_score = 1 AND f_score >= 4 AND m_score >= 4 THEN 'Cannot Lose Them'
+                    WHEN r_score <= 2 AND f_score <= 2 THEN 'Hibernating' ELSE 'Others' END AS rfm_segment,
                round((r_score + f_score + m_score) / 3.0, 2) AS rfm_composite_score,
                customer_segment, region, age_band, risk_rating, customer_since, tenure_years,
-               CASE WHEN r_score + f_score + m_score >= 12 THEN 'High Value'
-                    WHEN r_score + f_score + m_score >= 8 THEN 'Mid Value' ELSE 'Low Value' END AS clv_tier,
-               CASE WHEN greatest(r_score, f_score) <= 2 THEN 'High' WHEN r_score < 4 THEN 'Medium' ELSE 'Low' END AS churn_risk
+               CASE WHEN round((r_score + f_score + m_score) / 3.0, 2) >= 4.0 THEN 'High Value'
+                    WHEN round((r_score + f_score + m_score) / 3.0, 2) >= 2.5 THEN 'Mid Value' ELSE 'Low Value' END AS clv_tier,
+               CASE WHEN r_score <= 2 AND f_score <= 2 THEN 'High' WHEN r_score <= 3 THEN 'Medium' ELSE 'Low' END AS churn_risk
         FROM rfm_scored s LEFT JOIN dim_customers USING (customer_id)""",
     "structuring_daily": """
         SELECT customer_id, transaction_date, count(*) AS txn_count, sum(amount_gbp) AS daily_total_gbp,
                max(amount_gbp) AS largest_txn_gbp, min(amount_gbp) AS smallest_txn_gbp
-        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp >= 7500 AND amount_gbp <= 9999
+        FROM fact_transactions WHERE transaction_type = 'Credit' AND amount_gbp BETWEEN 7500 AND 9999
         GROUP BY ALL""",
     "rolling_rows": """
         SELECT *, sum(daily_total_gbp) OVER w AS rolling_total, sum(txn_count) OVER w AS rolling_count
@@ -207,13 +223,13 @@ STEPS = {
         SELECT c.customer_id, customer_segment, age_band, region, risk_rating, tenure_years, h.* EXCLUDE (customer_id),
                total_spend_6m, avg_txn_amount, rent_payments, intl_transactions, foreign_txns, total_txns
         FROM dim_customers c JOIN holdings h USING (customer_id) LEFT JOIN behaviour USING (customer_id)
-        WHERE kyc_status = 'Verified' AND risk_rating <> 'High' AND has_current_account""",
+        WHERE kyc_status = 'Verified' AND risk_rating IN ('Low', 'Medium') AND has_current_account""",
     "opportunities": """
-        SELECT *, NOT has_savings AND total_balance_gbp > 2000 AND customer_segment <> 'Private' AS s,
+        SELECT *, NOT has_savings AND total_balance_gbp > 2000 AND customer_segment IN ('Retail', 'Premier') AS s,
                coalesce(NOT has_credit_card AND total_spend_6m > 1500 AND tenure_years >= 1 AND age_band <> '18-24'
                         AND risk_rating = 'Low', false) AS c,
                coalesce(NOT has_mortgage AND rent_payments >= 4 AND age_band IN ('25-34', '35-44')
-                        AND customer_segment <> 'Retail' AND total_balance_gbp > 10000, false) AS m,
+                        AND customer_segment IN ('Premier', 'Private') AND total_balance_gbp > 10000, false) AS m,
                coalesce(intl_transactions > 10 AND NOT has_credit_card, false) AS t
         FROM eligible""",
     "account_rows": """
@@ -277,6 +293,13 @@ STEPS = {
         FROM dim_customers LEFT JOIN txn_features USING (customer_id) LEFT JOIN account_features USING (customer_id)
         LEFT JOIN labels_any USING (customer_id)
         WHERE kyc_status = 'Verified'""",
+    "declared_scores": """
+        SELECT *, round(1 / (1 + exp(-(-1.5 + 0.01 * age - 0.08 * tenure_years - 0.05 * txn_count_6m + 0.02 * days_since_last_txn
+                 - 0.2 * product_count + 0.03 * max_days_in_arrears - 0.004 * nps_score
+                 + CASE customer_segment WHEN 'Retail' THEN 0.3 WHEN 'Private' THEN -0.4 ELSE 0 END
+                 + CASE region WHEN 'ASIA' THEN 0.25 WHEN 'EUROPE' THEN -0.15 ELSE 0 END)::double)), 9) AS p,
+               held_out
+        FROM (SELECT *, ('0x' || substr(md5(customer_id), 1, 15))::bigint % 1000 < 200 AS held_out FROM features)""",
 }
 
 
@@ -306,18 +329,20 @@ _SEGMENTS = f"""SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score, rfm
 
 
 def _structuring(step: str) -> str:
-    severity = _case([(f"rolling_count >= {n} AND rolling_total > {t}", s) for n, t, s in rules.STRUCTURING_SEVERITY], "Low")
+    severity = """CASE WHEN rolling_count >= 5 AND rolling_total > 40000 THEN 'Critical'
+        WHEN rolling_count >= 3 AND rolling_total > 25000 THEN 'High'
+        WHEN rolling_count >= 2 AND rolling_total > 15000 THEN 'Medium' ELSE 'Low' END"""
     return f"""SELECT customer_id, customer_segment, risk_rating, region, transaction_date::varchar AS transaction_date,
         txn_count, daily_total_gbp::double AS daily_total_gbp, rolling_total::double AS rolling_7d_total_gbp,
-        rolling_count::bigint AS rolling_7d_txn_count, {severity} AS alert_severity, '{rules.STRUCTURING_ALERT}' AS alert_type
+        rolling_count::bigint AS rolling_7d_txn_count, {severity} AS alert_severity, 'Structuring - Sub-threshold credits' AS alert_type
         FROM {step} JOIN dim_customers USING (customer_id) WHERE rolling_count >= 2 AND rolling_total > 10000"""
 
 
 def _round_amount(extra: str) -> str:
-    severity = _case([(f"n >= {n} AND total > {t}", s) for n, t, s in rules.ROUND_SEVERITY], "Low")
+    severity = "CASE WHEN n >= 10 AND total > 50000 THEN 'High' WHEN n >= 5 AND total > 20000 THEN 'Medium' ELSE 'Low' END"
     return f"""SELECT customer_id, amount_gbp::double AS amount_gbp, n AS frequency_30d, first_seen::varchar AS first_seen,
         last_seen::varchar AS last_seen, total::double AS total_exposure_gbp, merchants AS distinct_merchants,
-        '{rules.ROUND_ALERT}' AS alert_type, {severity} AS alert_severity FROM round_groups {extra}"""
+        'Round-amount repetition' AS alert_type, {severity} AS alert_severity FROM round_groups {extra}"""
 
 
 _GROUP = "snapshot_month::varchar AS snapshot_month, product_type, product_family, region, customer_segment"
@@ -332,7 +357,7 @@ _PNL = f"""SELECT {_GROUP}, accounts AS active_accounts, customers AS active_cus
         AS mom_revenue_delta_gbp
     FROM pnl"""
 
-_EXEC = f"""SELECT '2024-12-31' AS report_month, sum(round(revenue, 0))::double AS total_revenue_gbp,
+_EXEC = f"""SELECT '2024-12-31' AS report_month, '2024-12-31 00:00:00' AS inserted_at, sum(round(revenue, 0))::double AS total_revenue_gbp,
     sum(round(net, 0))::double AS total_nii_gbp, sum(round(fee0, 0))::double AS total_fee_income_gbp,
     sum(customers)::bigint AS total_active_customers, sum(accounts)::bigint AS total_active_accounts,
     sum(round(book, 0))::double AS total_book_gbp, sum(nim)::double / count(nim) AS avg_nim_pct,
@@ -345,26 +370,36 @@ def _bucket(text: str, size: int) -> str:
 
 
 def _generated_customers() -> str:
-    regions = ", ".join(f"{{'region': '{r}', 'postcode': '{p}'}}" for r, p in rules.GEN_REGIONS)
     return f"""
     SELECT 'CUST' || {_ID} AS customer_id, 'First' || k AS first_name, 'Last' || k AS last_name,
            dob::varchar AS date_of_birth,
-           {_case([(f"years BETWEEN {a} AND {b}", s) for a, b, s in rules.GEN_AGE_BANDS], rules.GEN_AGE_OTHER)} AS age_band,
+           CASE WHEN years BETWEEN 18 AND 24 THEN '18-24' WHEN years BETWEEN 25 AND 34 THEN '25-34'
+                WHEN years BETWEEN 35 AND 44 THEN '35-44' WHEN years BETWEEN 45 AND 54 THEN '45-54'
+                WHEN years BETWEEN 55 AND 64 THEN '55-64' ELSE '65+' END AS age_band,
            CASE {_bucket('k * 17', 2)} WHEN 0 THEN 'M' ELSE 'F' END AS gender,
            place.postcode AS postcode_district, place.region AS region, 'GB' AS country, since::varchar AS customer_since,
-           {_case([(f"seg < {b}", s) for b, s in rules.GEN_SEGMENTS], rules.GEN_SEGMENT_OTHER)} AS customer_segment,
+           CASE WHEN seg < 70 THEN 'Retail' WHEN seg < 92 THEN 'Premier' ELSE 'Private' END AS customer_segment,
            seg < 15 AS is_student, false AS is_business, 'Verified' AS kyc_status,
-           {_case([(f"risk < {b}", s) for b, s in rules.GEN_RISKS], rules.GEN_RISK_OTHER)} AS risk_rating,
+           CASE WHEN risk < 75 THEN 'Low' WHEN risk < 93 THEN 'Medium' ELSE 'High' END AS risk_rating,
            'RM_' || lpad((k % 500)::varchar, 4, '0') AS relationship_mgr,
-           {_bucket('k * 23', 201)} - 100 AS nps_score
-    FROM (SELECT k, ([{regions}])[1 + {_bucket('k * 7', 8)}] AS place, {_bucket('k * 11', 100)} AS seg,
+           {_bucket('k * 23', 201)} - 100 AS nps_score,
+           strftime(since, '%Y-%m-%d %H:%M:%S') AS created_at, '2024-12-31 00:00:00' AS updated_at
+    FROM (SELECT k, ([{{'region': 'London', 'postcode': 'SW1'}}, {{'region': 'London', 'postcode': 'EC1'}},
+                      {{'region': 'South East', 'postcode': 'RG1'}}, {{'region': 'North West', 'postcode': 'M1'}},
+                      {{'region': 'Yorkshire', 'postcode': 'LS1'}}, {{'region': 'Scotland', 'postcode': 'EH1'}},
+                      {{'region': 'Midlands', 'postcode': 'B1'}}, {{'region': 'South West', 'postcode': 'BS1'}}])[1 + {_bucket('k * 7', 8)}] AS place, {_bucket('k * 11', 100)} AS seg,
                  {_bucket('k * 13', 100)} AS risk, 20 + {_bucket('k', 45)} AS years,
                  ({AS_OF} - to_years((20 + {_bucket('k', 45)})::int))::date AS dob,
                  ({AS_OF} - to_years((1 + {_bucket('k * 3', 15)})::int))::date AS since
           FROM (SELECT c_custkey AS k FROM customer))"""
 
 
-_HOLIDAYS = ", ".join(f"DATE '{d}'" for d in rules.UK_BANK_HOLIDAYS)
+# fixed values
+_HOLIDAYS = """DATE '2022-01-03', DATE '2022-04-15', DATE '2022-04-18', DATE '2022-05-02', DATE '2022-06-02',
+    DATE '2022-06-03', DATE '2022-08-29', DATE '2022-09-19', DATE '2022-12-26', DATE '2022-12-27', DATE '2023-01-02',
+    DATE '2023-04-07', DATE '2023-04-10', DATE '2023-05-01', DATE '2023-05-08', DATE '2023-05-29', DATE '2023-08-28',
+    DATE '2023-12-25', DATE '2023-12-26', DATE '2024-01-01', DATE '2024-03-29', DATE '2024-04-01', DATE '2024-05-06',
+    DATE '2024-05-27', DATE '2024-08-26', DATE '2024-12-25', DATE '2024-12-26'"""
 
 QUERIES = {
     # ---- tables
@@ -372,9 +407,9 @@ QUERIES = {
         SELECT d::varchar AS date_id, year(d) AS year, quarter(d) AS quarter, month(d) AS month, monthname(d) AS month_name,
                weekofyear(d) AS week_of_year, dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name,
                dayofweek(d) IN (0, 6) AS is_weekend, d IN ({_HOLIDAYS}) AS is_uk_bank_holiday, year(d) AS fiscal_year,
-               'FY' || year(d) || '-Q' || quarter(d) AS fiscal_quarter
-        FROM (SELECT unnest(generate_series(min(transaction_date), max(transaction_date), INTERVAL 1 DAY))::date AS d
-              FROM fact_transactions)""",
+               'FY' || year(d) || '-Q' || quarter(d) AS fiscal_quarter, count(transaction_id) AS transactions
+        FROM (SELECT unnest(generate_series(DATE '2022-01-01', DATE '2024-12-31', INTERVAL 1 DAY))::date AS d)
+        LEFT JOIN fact_transactions ON transaction_date = d GROUP BY d""",
     "dim_products": """
         SELECT product_id, product_code, product_name, product_type, product_family, interest_rate::double AS interest_rate,
                fee_monthly::double AS fee_monthly, credit_limit_max::double AS credit_limit_max, is_active,
@@ -397,7 +432,7 @@ QUERIES = {
     "rfm_raw": f"SELECT customer_id, {_RFM_DATES} FROM rfm_raw",
     "rfm_scored": f"SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score FROM rfm_scored",
     "rfm_segments": _SEGMENTS,
-    "mv_customer_rfm": _SEGMENTS,
+    "mv_customer_rfm": _SEGMENTS.replace("churn_risk FROM", "churn_risk, '2024-12-31 00:00:00' AS computed_at FROM"),
     "rfm_segment_summary": """
         SELECT rfm_segment, sum(n)::bigint AS customers, sum(spend)::double / sum(n) AS avg_monetary_gbp,
                arg_min(churn_risk, (-n, churn_risk)) AS churn_risk
@@ -426,6 +461,39 @@ QUERIES = {
                      count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER () AS total,
                      count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER (PARTITION BY churned) AS class_size
               FROM features)""",
+    "churn_scores_declared": """
+        SELECT customer_id, customer_segment, region, tenure_years, days_since_last_txn, product_count, p AS churn_probability,
+               CASE WHEN p > 0.5 THEN 1 ELSE 0 END::bigint AS predicted_churned,
+               CASE WHEN p >= 0.75 THEN 'Imminent (75%+)' WHEN p >= 0.50 THEN 'High Risk (50-75%)'
+                    WHEN p >= 0.25 THEN 'At Risk (25-50%)' ELSE 'Low Risk (<25%)' END AS churn_tier
+        FROM declared_scores""",
+    "churn_evaluate_declared": """
+        SELECT rows, round(coalesce(hit / nullif(guessed, 0), 0), 6) AS precision, round(coalesce(hit / nullif(positive, 0), 0), 6) AS recall,
+               round(correct / n, 6) AS accuracy, round(coalesce(2 * hit / nullif(guessed + positive, 0), 0), 6) AS f1_score,
+               round(log_loss, 6) AS log_loss, round((rank_sum - positive * (positive + 1) / 2) / (positive * (n - positive)), 6) AS roc_auc
+        FROM (SELECT rows, count(*)::double AS n, sum(churned)::double AS positive, sum((p > 0.5)::int)::double AS guessed,
+                     sum((p > 0.5 AND churned = 1)::int)::double AS hit, sum(((p > 0.5) = (churned = 1))::int)::double AS correct,
+                     avg(-ln(greatest(CASE WHEN churned = 1 THEN p ELSE 1 - p END, 1e-15))) AS log_loss,
+                     sum(CASE WHEN churned = 1 THEN middle_rank END) AS rank_sum
+              FROM (SELECT *, rank() OVER (PARTITION BY rows ORDER BY p)
+                              + (count(*) OVER (PARTITION BY rows, p) - 1) / 2.0::double AS middle_rank
+                    FROM (SELECT 'all' AS rows, * FROM declared_scores
+                          UNION ALL SELECT 'held_out', * FROM declared_scores WHERE held_out))
+              GROUP BY rows)""",
+    # the fits themselves have no SQL; these say what must hold for them
+    "churn_train": """
+        SELECT penalty, 17 + (SELECT count(DISTINCT customer_segment) + 1 + count(DISTINCT region) + 1 FROM features) AS inputs,
+               found_weights, true AS optimal
+        FROM (VALUES ('default', NULL), ('light', true)) v(penalty, found_weights)""",
+    "churn_weights": """
+        SELECT processed_input, planted_sign::bigint AS planted_sign, true AS optimal
+        FROM (SELECT unnest(['txn_count_6m', 'total_spend_6m', 'avg_txn_amount_6m', 'unique_categories', 'active_months_6m',
+                             'days_since_last_txn', 'mobile_txns', 'spend_trend_pct', 'product_count', 'avg_credit_utilisation',
+                             'max_days_in_arrears', 'total_missed_payments_3m', 'overdrawn_accounts', 'dormant_accounts', 'nps_score',
+                             'customer_segment___unknown', 'region___unknown', '__intercept__']) AS processed_input, NULL AS planted_sign
+              UNION ALL SELECT * FROM (VALUES ('age', 1), ('tenure_years', -1))
+              UNION ALL SELECT DISTINCT 'customer_segment_' || customer_segment, NULL FROM features
+              UNION ALL SELECT DISTINCT 'region_' || region, NULL FROM features)""",
     # ---- cross-sell
     "product_holdings": """
         SELECT customer_id, held_products, has_current_account, has_savings, has_credit_card, has_mortgage, has_loan,
@@ -441,8 +509,8 @@ QUERIES = {
                round(total_balance_gbp, 0)::double AS total_balance_gbp, round(total_spend_6m, 0)::double AS total_spend_6m,
                s AS opportunity_savings, c AS opportunity_credit_card, m AS opportunity_mortgage, t AS opportunity_travel_card,
                (s::int + c::int + m::int + t::int)::bigint AS opportunity_count,
-               {_case([('m', 'Residential Mortgage'), ('c', 'Cashback Credit Card'), ('s', 'Fixed Rate Bond 12M')],
-                      'Platinum Credit Card')} AS recommended_product
+               CASE WHEN m THEN 'Residential Mortgage' WHEN c THEN 'Cashback Credit Card' WHEN s THEN 'Fixed Rate Bond 12M'
+                    WHEN t THEN 'Platinum Credit Card' ELSE 'None' END AS recommended_product
         FROM opportunities WHERE s OR c OR m OR t""",
     # ---- money laundering
     "structuring_daily": """
@@ -463,8 +531,9 @@ QUERIES = {
         SELECT customer_id, transaction_date::varchar AS transaction_date, daily_spend::double AS todays_spend_gbp,
                {_rounded('past_total * 100', 'past_days * 100', 2)}::double AS avg_daily_spend_gbp,
                p95::double AS p95_daily_spend_gbp, txn_count, z_score, spend_multiplier::double AS spend_multiplier,
-               {_case([(f"ratio > {x}", s) for x, s in rules.VELOCITY_SEVERITY], 'Low')} AS alert_severity,
-               '{rules.VELOCITY_ALERT}' AS alert_type FROM velocity""",
+               CASE WHEN ratio > 10 THEN 'Critical' WHEN ratio > 5 THEN 'High' WHEN ratio > 3 THEN 'Medium' ELSE 'Low' END
+                   AS alert_severity,
+               'Velocity - Unusual daily spend spike' AS alert_type FROM velocity""",
     "aml_round_amount_alerts": _round_amount(""),
     "aml_round_amount_exact": _round_amount("WHERE amount_gbp % 100 = 0"),
     "aml_high_risk_exposure": """
@@ -472,11 +541,11 @@ QUERIES = {
         FROM exposure""",
     "aml_flag_summary": f"""
         SELECT alert_type, count(*) AS alerts, sum(n)::bigint AS transactions, sum(value)::double AS value_gbp
-        FROM (SELECT '{rules.STRUCTURING_ALERT}' AS alert_type, txn_count AS n, daily_total_gbp AS value
+        FROM (SELECT 'Structuring - Sub-threshold credits' AS alert_type, txn_count AS n, daily_total_gbp AS value
               FROM rolling_rows JOIN dim_customers USING (customer_id)
               WHERE rolling_count >= 2 AND rolling_total > 10000 AND transaction_date >= {AS_OF} - 30
-              UNION ALL SELECT '{rules.VELOCITY_ALERT}', txn_count, daily_spend FROM velocity
-              UNION ALL SELECT '{rules.ROUND_ALERT}', n, total FROM round_groups
+              UNION ALL SELECT 'Velocity - Unusual daily spend spike', txn_count, daily_spend FROM velocity
+              UNION ALL SELECT 'Round-amount repetition', n, total FROM round_groups
               UNION ALL SELECT 'Geographic anomaly', foreign_txns, foreign_gbp FROM exposure WHERE foreign_txns > 0)
         GROUP BY alert_type""",
     # ---- profit and loss
@@ -520,6 +589,10 @@ QUERIES = {
     "mcc_category": """
         SELECT spending_category AS transaction_category, count(*) AS transactions, sum(amount_gbp)::double AS amount_gbp
         FROM fact_transactions JOIN ref_merchant_categories ON mcc_code = merchant_category_code GROUP BY ALL""",
+    "approx_distinct_accounts": """
+        SELECT channel, count(DISTINCT account_id) AS exact_accounts, floor(count(DISTINCT account_id) * 0.03)::bigint AS bound,
+               true AS within_bound
+        FROM fact_transactions GROUP BY channel""",
     "approx_distinct_merchants": """
         SELECT channel, count(DISTINCT merchant_name) AS exact_merchants, true AS within_error
         FROM fact_transactions GROUP BY channel""",

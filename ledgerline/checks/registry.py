@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,11 @@ from ledgerline.sources.order_star import AS_OF, Star
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def run_stamp() -> Column:
+    """The time of the run, fixed for the checks."""
+    return F.lit(AS_OF).cast("timestamp")
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Types two engines print the same way: money as double, dates as ISO text, counts as bigint."""
     out = []
@@ -28,6 +34,8 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
+        elif isinstance(f.dataType, T.TimestampType):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(f.dataType, T.IntegerType):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.ArrayType):
@@ -61,7 +69,7 @@ def _pnl(s: Star, **kw) -> DataFrame:
 
 
 def _mv_customer_rfm(s: Star) -> DataFrame:
-    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(s.spark, "mv_customer_rfm"))
+    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(s.spark, "mv_customer_rfm"), run_stamp())
 
 
 def _rfm_scored(s: Star) -> DataFrame:
@@ -75,8 +83,8 @@ def _dim_products(s: Star) -> DataFrame:
 
 def _executive_summary(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "monthly_executive_summary")
-    stamp = F.lit(AS_OF).cast("timestamp")
-    return pnl.append_executive_summary(_pnl(s, report_month=AS_OF), AS_OF, path, stamp).drop("inserted_at")
+    stamp = run_stamp()
+    return pnl.store_executive_summary(_pnl(s, report_month=AS_OF), AS_OF, path, stamp)
 
 
 def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +99,7 @@ def _customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = schemas.CUSTOMERS.conform(
         customers.drop("relationship_mgr", "updated_at").join(newest, "customer_id"))
     merged = staging.upsert_latest(customers, changes, schemas.CUSTOMERS)
-    return comparable(merged.select(
-        "customer_id", "region", "customer_segment", "relationship_mgr",
-        F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at")))
+    return comparable(merged.select("customer_id", "region", "customer_segment", "relationship_mgr", "updated_at"))
 
 
 def _mcc_category(s: Star) -> DataFrame:
@@ -110,6 +116,23 @@ def _approx_distinct_merchants(s: Star) -> DataFrame:
     ).select("channel", "exact_merchants", (F.abs(approx - exact) <= exact * 3 * error).alias("within_error"))
 
 
+def _approx_distinct_accounts(s: Star) -> DataFrame:
+    """The estimate of thousands of accounts per channel, held against three standard errors."""
+    error = 0.01
+    counted = s.transactions.groupBy("channel").agg(
+        F.count_distinct("account_id").alias("exact_accounts"), F.approx_count_distinct("account_id", error).alias("approx"))
+    bound = F.floor(F.col("exact_accounts") * 3 * error)
+    return counted.select("channel", "exact_accounts", bound.alias("bound"),
+                          (F.abs(F.col("approx") - F.col("exact_accounts")) <= bound).alias("within_bound"))
+
+
+def _dim_date(s: Star) -> DataFrame:
+    """The whole calendar with each day's number of transactions."""
+    daily = s.transactions.groupBy(F.col("transaction_date").alias("date_id")).agg(F.count(F.lit(1)).alias("transactions"))
+    return dimensions.dim_date(s.spark).join(daily, "date_id", "left").withColumn(
+        "transactions", F.coalesce("transactions", F.lit(0)))
+
+
 def _staging_validate(s: Star) -> DataFrame:
     """The landed rows keyed by order and line number only, which the test data repeats."""
     landed = s.transactions.withColumn("transaction_id", F.substring_index("transaction_id", "-", 2))
@@ -128,7 +151,7 @@ def _retention(s: Star) -> DataFrame:
     return kept.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("transactions"))
 
 
-_models: dict[tuple[str, str], tuple] = {}
+_models: dict[tuple[str, ...], tuple] = {}
 
 
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,12 +173,50 @@ def _model(spark: SparkSession, sf_dir: str):
     return features, churn_model.load_model(path)
 
 
+#: weights as a report might declare them
+DECLARED = {
+    "__intercept__": -1.5, "age": 0.01, "tenure_years": -0.08, "days_since_last_txn": 0.02, "txn_count_6m": -0.05,
+    "product_count": -0.2, "max_days_in_arrears": 0.03, "nps_score": -0.004,
+    "customer_segment_Retail": 0.3, "customer_segment_Private": -0.4, "region_ASIA": 0.25, "region_EUROPE": -0.15,
+}
+#: a light penalty under which the planted signal survives, beside the default one
+LIGHT = churn_model.ChurnConfig(l1=0.002, l2=0.002, max_iter=200)
+#: how near to the optimum a fit must come
+NEAR = 0.001
+
+
+def _with_signal(features: DataFrame) -> DataFrame:
+    """The test labels are noise; these follow the customer's age and tenure."""
+    return features.withColumn("churned", (F.col("age") > 2 * F.col("tenure_years") + 30).cast("bigint"))
+
+
+def _fits(spark: SparkSession, sf_dir: str) -> list[tuple[str, churn_model.ChurnConfig, DataFrame, PipelineModel]]:
+    """A model of the planted signal under a light penalty, and one of the real labels under the default one."""
+    features, default = _model(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, "signal")
+    if key not in _models:
+        planted = _with_signal(features)
+        _models[key] = planted, churn_model.train_churn(planted, LIGHT, as_of=AS_OF)
+    planted, light = _models[key]
+    return [("default", churn_model.ChurnConfig(), features, default), ("light", LIGHT, planted, light)]
+
+
 def _churn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trains a model of its own and reports the size and effort of the fit."""
-    fitted = churn_model.train_churn(_stored_features(spark, sf_dir), as_of=AS_OF).stages[-1]
-    return spark.createDataFrame(
-        [(fitted.numFeatures, fitted.summary.totalIterations, float(fitted.summary.objectiveHistory[-1]))],
-        "inputs bigint, iterations bigint, final_loss double")
+    """For both fits: inputs, whether it found weights, and whether they are optimal."""
+    rows = []
+    for name, cfg, features, model in _fits(spark, sf_dir):
+        worst = churn_model.optimality(model, features, cfg).agg(F.max("slack")).first()[0]
+        found = any(w != 0 for w in model.stages[-1].coefficients)
+        rows.append((name, model.stages[-1].numFeatures, found if name == "light" else None, bool(worst <= NEAR)))
+    return spark.createDataFrame(rows, "penalty string, inputs bigint, found_weights boolean, optimal boolean")
+
+
+def _churn_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each input's weight in the fit of the planted signal, as its sign where that is planted, and whether it is optimal."""
+    _, cfg, features, model = _fits(spark, sf_dir)[1]
+    sign = F.when(F.col("processed_input").isin("age", "tenure_years"), F.signum("weight").cast("bigint"))
+    return churn_model.optimality(model, features, cfg).select(
+        "processed_input", sign.alias("planted_sign"), (F.col("slack") <= NEAR).alias("optimal"))
 
 
 def _churn_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,15 +229,23 @@ def _churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn_model.score_churn(model, features)
 
 
-def _churn_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return churn_model.churn_weights(_model(spark, sf_dir)[1])
+def _scores_declared(s: Star) -> DataFrame:
+    return _rounded(churn_model.score_weights(DECLARED, _features(s), sort=False), "churn_probability", 9).orderBy(
+        F.desc("churn_probability"), "customer_id")
+
+
+def _evaluate_declared(s: Star) -> DataFrame:
+    features = materialise(_features(s), "ml_churn_features")
+    scored = churn_model.score_weights(DECLARED, features, sort=False).select("customer_id", F.round("churn_probability", 9).alias("churn_probability"))
+    out = churn_model.evaluate_scores(churn_model.with_split(features).join(scored, "customer_id"))
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "rows"}).orderBy("rows")
 
 
 def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
     """The queries that read nothing but the star tables."""
     return {
         # tables
-        "dim_date": lambda s: dimensions.calendar_for(s.transactions, "transaction_date"),
+        "dim_date": _dim_date,
         "dim_products": _dim_products,
         "star_customers": lambda s: s.customers.select(
             "customer_id", "date_of_birth", "age_band", "region", "customer_since", "customer_segment",
@@ -204,6 +273,8 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "ml_churn_features": _features,
         "churn_training_set": lambda s: churn_model.training_set(materialise(_features(s), "ml_churn_features")).select(
             "customer_id", "churned", "held_out", "class_weight"),
+        "churn_scores_declared": _scores_declared,
+        "churn_evaluate_declared": _evaluate_declared,
         # cross-sell
         "product_holdings": lambda s: cross_sell.product_holdings(s.accounts, s.products, AS_OF),
         "cross_sell_behaviour": lambda s: cross_sell.behaviour(s.transactions, AS_OF),
@@ -237,6 +308,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         # staging and storage
         "mcc_category": _mcc_category,
         "approx_distinct_merchants": _approx_distinct_merchants,
+        "approx_distinct_accounts": _approx_distinct_accounts,
         "staging_validate": _staging_validate,
         "storage_accounts": _storage_accounts,
         "retention_transactions": _retention,
@@ -246,12 +318,11 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
 def queries() -> dict[str, Query]:
     out = {name: _on_star(query) for name, query in star_queries().items()}
     out["dim_customers"] = lambda spark, sf_dir: comparable(dimensions.build_customers(
-        order_star.raw_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), AS_OF,
-    ).drop("created_at", "updated_at"))
+        order_star.raw_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), AS_OF, run_stamp()))
     out["customers_upsert"] = _customers_upsert
-    # fitted by iteration, so there is no SQL to compare these with
     out["churn_train"] = _churn_train
+    out["churn_weights"] = _churn_weights
+    # of a model fitted by iteration: no SQL gives its numbers
     out["churn_evaluate"] = _churn_evaluate
     out["churn_scores"] = _churn_scores
-    out["churn_weights"] = _churn_weights
     return out

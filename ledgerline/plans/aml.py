@@ -78,7 +78,7 @@ def aml_structuring(
         structuring_severity(n, total).alias("alert_severity"),
         F.lit(rules.STRUCTURING_ALERT).alias("alert_type"),
     )
-    return _finish(out, run_ts, sort, "alert_severity", F.desc("rolling_7d_total_gbp"))
+    return _finish(out, run_ts, sort, "alert_severity", F.desc("rolling_7d_total_gbp"), "customer_id", "transaction_date")
 
 
 # ------------------------------------------------------------------- velocity
@@ -153,7 +153,7 @@ def aml_velocity(txn: DataFrame, as_of: date, run_ts: Column | None = None, sort
                     rules.SEVERITY_OTHER).alias("alert_severity"),
         F.lit(rules.VELOCITY_ALERT).alias("alert_type"),
     )
-    return _finish(out, run_ts, sort, F.desc("spend_multiplier"))
+    return _finish(out, run_ts, sort, F.desc("spend_multiplier"), "customer_id", "transaction_date")
 
 
 # -------------------------------------------------------------- round amounts
@@ -192,7 +192,7 @@ def aml_round_amount(
         "alert_severity": first_match(
             [((n >= c) & (total > t), label) for c, t, label in rules.ROUND_SEVERITY], rules.SEVERITY_OTHER),
     })
-    return _finish(out, run_ts, sort, F.desc("total_exposure_gbp"))
+    return _finish(out, run_ts, sort, F.desc("total_exposure_gbp"), "customer_id", "amount_gbp")
 
 
 # ------------------------------------------------------- documented extensions

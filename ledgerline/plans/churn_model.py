@@ -10,7 +10,8 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import rules
@@ -103,24 +104,38 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def predicted(probability: Column) -> Column:
+    """The class: 1 above one half. Exactly one half, within rounding errors, is class 0."""
+    return F.when(F.round(probability, 9) > 0.5, 1).otherwise(0).cast("bigint")
+
+
 def evaluate_churn(
     model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig(), as_of: date | None = None
 ) -> DataFrame:
-    """Precision, recall, accuracy, F1, log loss and ROC AUC for class 1, on all and on held-out rows.
-
-    All counts come from one pass over the scored rows; only the AUC needs the rows in
-    order of score, which Spark's evaluator does.
-    """
+    """The metrics of :func:`evaluate_scores` for a fitted model. Runs the jobs that order the scores."""
     if as_of is not None:
         features = latest_snapshot(features, as_of)
     scored = model.transform(_as_double(with_split(features, cfg)))
+    return evaluate_scores(scored.select(LABEL, HELD_OUT, vector_to_array("probability")[1].alias("churn_probability")))
+
+
+def evaluate_scores(scored: DataFrame) -> DataFrame:
+    """Precision, recall, accuracy, F1, log loss and ROC AUC for class 1, on all and on held-out rows.
+
+    ``scored`` has the label, ``held_out`` and ``churn_probability``. All counts come from
+    one pass; only the AUC needs the rows in order of score, which Spark's evaluator does,
+    every score being a point of its curve.
+    """
+    scored = scored.withColumn(LABEL, F.col(LABEL).cast("double"))
     parts = {"all": scored, "held_out": scored.filter(HELD_OUT)}
     auc = {
-        name: BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0).evaluate(part)
+        name: BinaryClassificationEvaluator(
+            rawPredictionCol="churn_probability", labelCol=LABEL, metricName="areaUnderROC", numBins=0).evaluate(part)
         for name, part in parts.items()
     }
-    actual, guess = F.col(LABEL) == 1, F.col("prediction") == 1
-    p_actual = F.get(vector_to_array("probability"), F.col(LABEL).cast("int"))
+    p = F.col("churn_probability")
+    actual, guess = F.col(LABEL) == 1, predicted(p) == 1
+    p_actual = F.when(actual, p).otherwise(1 - p)
     membership = F.array_compact(F.array(F.lit("all"), F.when(F.col(HELD_OUT), F.lit("held_out"))))
     counts = scored.select(
         F.explode(membership).alias("rows"), actual.alias("actual"), guess.alias("guess"),
@@ -146,7 +161,40 @@ def evaluate_churn(
 
 
 def churn_tier(probability: Column) -> Column:
-    return first_match([(probability >= floor, tier) for floor, tier in rules.CHURN_TIERS], rules.CHURN_TIER_OTHER)
+    """The action tier; probabilities count to nine digits, so a rounding error decides no tier."""
+    p = F.round(probability, 9)
+    return first_match([(p >= floor, tier) for floor, tier in rules.CHURN_TIERS], rules.CHURN_TIER_OTHER)
+
+
+_SCORE_COLUMNS = ["customer_id", "customer_segment", "region", "tenure_years", "days_since_last_txn", "product_count"]
+
+
+def _report(scored: DataFrame, run_ts: Column | None, sort: bool) -> DataFrame:
+    p = F.col("churn_probability")
+    out = scored.select(
+        *[F.col(c).cast("bigint").alias(c) if c in rules.CHURN_NUMERIC else c for c in _SCORE_COLUMNS],
+        p, predicted(p).alias("predicted_churned"), churn_tier(p).alias("churn_tier"))
+    if run_ts is not None:
+        out = out.withColumn("scored_at", run_ts)
+    return out.orderBy(F.desc("churn_probability"), "customer_id") if sort else out
+
+
+def score_weights(
+    weights: dict[str, float], features: DataFrame, run_ts: Column | None = None, sort: bool = True
+) -> DataFrame:
+    """The score report from declared weights, named as :func:`churn_weights` names them: one expression, no model file.
+
+    A text value without a weight, or a missing number, adds nothing.
+    """
+    texts, terms = rules.CHURN_CATEGORICAL, F.lit(weights.get("__intercept__", 0.0))
+    for name in rules.CHURN_NUMERIC:
+        if name in weights:
+            terms = terms + F.lit(weights[name]) * F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    for column in texts:
+        own = [(F.col(column) == n.removeprefix(f"{column}_"), w) for n, w in weights.items() if n.startswith(f"{column}_")]
+        if own:
+            terms = terms + F.coalesce(first_match(own, 0.0), F.lit(0.0))
+    return _report(features.withColumn("churn_probability", 1 / (1 + F.exp(-terms))), run_ts, sort)
 
 
 def score_churn(
@@ -156,29 +204,49 @@ def score_churn(
 
     The model passes its input columns through, so no join back to the features is needed.
     """
-    probability = vector_to_array("probability")[1]
-    out = model.transform(_as_double(features)).select(
-        "customer_id", "customer_segment", "region",
-        F.col("tenure_years").cast("bigint").alias("tenure_years"),
-        F.col("days_since_last_txn").cast("bigint").alias("days_since_last_txn"),
-        F.col("product_count").cast("bigint").alias("product_count"),
-        probability.alias("churn_probability"),
-        F.col("prediction").cast("bigint").alias("predicted_churned"),
-        churn_tier(probability).alias("churn_tier"),
-    )
-    if run_ts is not None:
-        out = out.withColumn("scored_at", run_ts)
-    return out.orderBy(F.desc("churn_probability")) if sort else out
+    scored = model.transform(_as_double(features)).withColumn("churn_probability", vector_to_array("probability")[1])
+    return _report(scored, run_ts, sort)
 
 
-def churn_weights(model: PipelineModel) -> DataFrame:
-    """One row per model input with its weight, largest first; the intercept is ``__intercept__``."""
+def optimality(model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
+    """How far each weight is from the optimum of the penalised loss: ``processed_input``, ``weight``, ``slack``.
+
+    On inputs scaled to unit deviation, the loss's slope at a weight that isn't zero must
+    equal the penalty's, and at a zero weight stay within the L1 penalty; ``slack`` is what
+    is missing. The slopes are one aggregation over the training rows.
+    """
+    rows = model.transform(_as_double(training_set(features, cfg).filter(~F.col(HELD_OUT))))
+    weight, p = F.col(WEIGHT), vector_to_array("probability")[1]
+    total, deviation = rows.agg(
+        F.sum(weight).alias("total"), Summarizer.metrics("std").summary(F.col("features"), weight).alias("s")).select(
+        "total", "s.std").first()
+    error = weight * (p - F.col(LABEL)) / total
+    slopes = rows.select(error.alias("error"), F.posexplode(vector_to_array("features")).alias("i", "x")).groupBy("i").agg(
+        F.sum(F.col("error") * F.col("x")).alias("slope")).collect()
+    at = {r.i: r.slope for r in slopes}
+    names = [r.processed_input for r in named_weights(model)]
+    out = []
+    for i, (name, w) in enumerate(zip(names, model.stages[-1].coefficients, strict=False)):
+        d = float(deviation[i])
+        scaled, slope = float(w) * d, (at.get(i, 0.0) / d if d else 0.0)
+        slack = abs(slope + cfg.l2 * scaled + (cfg.l1 if scaled > 0 else -cfg.l1)) if scaled else max(0.0, abs(slope) - cfg.l1)
+        out.append((name, float(w), slack))
+    intercept = rows.agg(F.sum(error)).first()[0]
+    out.append(("__intercept__", float(model.stages[-1].intercept), abs(intercept)))
+    return SparkSession.active().createDataFrame(out, "processed_input string, weight double, slack double")
+
+
+def named_weights(model: PipelineModel) -> list[Row]:
+    """Each model input with its weight, in the model's order; the intercept is ``__intercept__``."""
     fitted: LogisticRegressionModel = model.stages[-1]
-    assembler: VectorAssembler = model.stages[-2]
-    indexer, spark = model.stages[0], SparkSession.active()
     names = list(rules.CHURN_NUMERIC)
-    for column, labels in zip(rules.CHURN_CATEGORICAL, indexer.labelsArray, strict=True):
+    for column, labels in zip(rules.CHURN_CATEGORICAL, model.stages[0].labelsArray, strict=True):
         names += [f"{column}_{v}" for v in (*labels, "__unknown")]
-    assert len(names) == fitted.numFeatures, assembler.getInputCols()
-    rows = [*zip(names, (float(w) for w in fitted.coefficients), strict=True), ("__intercept__", float(fitted.intercept))]
-    return spark.createDataFrame(rows, "processed_input string, weight double").orderBy(F.desc(F.abs("weight")))
+    assert len(names) == fitted.numFeatures
+    return [Row(processed_input=n, weight=float(w)) for n, w in [*zip(names, fitted.coefficients, strict=True), ("__intercept__", fitted.intercept)]]
+
+
+def churn_weights(model: PipelineModel) -> DataFrame:
+    """One row per model input with its weight, largest first, then by name."""
+    rows = SparkSession.active().createDataFrame(named_weights(model), "processed_input string, weight double")
+    return rows.orderBy(F.desc(F.abs("weight")), "processed_input")

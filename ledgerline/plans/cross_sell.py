@@ -124,5 +124,5 @@ def cross_sell(
                         rules.NEXT_BEST_OTHER).alias("recommended_product"),
         )
         .filter(F.col("opportunity_count") > 0)
-        .orderBy(F.desc("opportunity_count"), F.desc("total_balance_gbp"))
+        .orderBy(F.desc("opportunity_count"), F.desc("total_balance_gbp"), "customer_id")
     )

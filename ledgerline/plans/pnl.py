@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from ledgerline.functions import mean_of, month_of, round_ratio, safe_ratio
 from ledgerline.schemas import EXECUTIVE_SUMMARY
-from ledgerline.sources.storage import append
+from ledgerline.sources.storage import replace_partitions
 
 GROUP = ["snapshot_month", "product_type", "region", "customer_segment"]
 GROUP_FAMILY = ["snapshot_month", "product_type", "product_family", "region", "customer_segment"]
@@ -178,7 +178,7 @@ def monthly_pnl(
             view = view.drop("mom_revenue_delta_gbp")
     if run_ts is not None:
         view = view.withColumn("refreshed_at", run_ts)
-    return view.orderBy(F.desc("snapshot_month"), F.desc("total_revenue_gbp"))
+    return view.orderBy(F.desc("snapshot_month"), F.desc("total_revenue_gbp"), *GROUP_FAMILY[1:])
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -216,9 +216,9 @@ def executive_summary(pnl: DataFrame, run_date: date, run_ts: Column | None = No
     return out if run_ts is None else out.withColumn("inserted_at", run_ts)
 
 
-def append_executive_summary(pnl: DataFrame, run_date: date, path: str, run_ts: Column) -> DataFrame:
-    """Append the month's row to the stored summary; returns the stored table."""
-    return append(EXECUTIVE_SUMMARY.conform(executive_summary(pnl, run_date, run_ts)), path)
+def store_executive_summary(pnl: DataFrame, run_date: date, path: str, run_ts: Column) -> DataFrame:
+    """Store the month's row, in place of one from an earlier run; returns the stored table."""
+    return replace_partitions(executive_summary(pnl, run_date, run_ts), EXECUTIVE_SUMMARY, path)
 
 
 def executive_summary_from_base(

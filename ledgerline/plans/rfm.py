@@ -83,15 +83,23 @@ def rfm_profiles(scored: DataFrame, customers: DataFrame, as_of: date) -> DataFr
     })
 
 
+def prepare_rfm(txn: DataFrame, as_of: date, folder: str | None = None) -> DataFrame:
+    """The scored activity, stored below ``folder``. Runs the jobs: the tiles' ends are looked up in stored rows."""
+    return materialise(rfm_scored(materialise(rfm_raw(txn, as_of), "rfm_raw", folder)), "rfm_scored", folder)
+
+
 def rfm_segments(
-    txn: DataFrame, customers: DataFrame, as_of: date, run_ts: Column | None = None, sort: bool = True
+    txn: DataFrame, customers: DataFrame, as_of: date, run_ts: Column | None = None, sort: bool = True,
+    scored: DataFrame | None = None,
 ) -> DataFrame:
-    """The segmentation report, best customers first."""
-    raw = materialise(rfm_raw(txn, as_of), "rfm_raw")
-    out = rfm_profiles(rfm_scored(raw), customers, as_of)
+    """The segmentation report, best customers first.
+
+    Lazy when ``scored`` comes from :func:`prepare_rfm`; without it that step runs first.
+    """
+    out = rfm_profiles(prepare_rfm(txn, as_of) if scored is None else scored, customers, as_of)
     if run_ts is not None:
         out = out.withColumn("computed_at", run_ts)
-    return out.orderBy(F.desc("rfm_composite_score")) if sort else out
+    return out.orderBy(F.desc("rfm_composite_score"), "customer_id") if sort else out
 
 
 def refresh_mv_customer_rfm(

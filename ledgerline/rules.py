@@ -104,13 +104,14 @@ GEN_REGIONS = [
 
 # --- calendar
 CALENDAR_START, CALENDAR_END = date(2022, 1, 1), date(2024, 12, 31)
-UK_BANK_HOLIDAYS = [date.fromisoformat(d) for d in """
-    2022-01-03 2022-04-15 2022-04-18 2022-05-02 2022-06-02 2022-06-03 2022-08-29 2022-09-19
-    2022-12-26 2022-12-27
-    2023-01-02 2023-04-07 2023-04-10 2023-05-01 2023-05-08 2023-05-29 2023-08-28 2023-12-25
-    2023-12-26
-    2024-01-01 2024-03-29 2024-04-01 2024-05-06 2024-05-27 2024-08-26 2024-12-25 2024-12-26
-""".split()]
+UK_BANK_HOLIDAYS = [
+    date(2022, 1, 3), date(2022, 4, 15), date(2022, 4, 18), date(2022, 5, 2), date(2022, 6, 2),
+    date(2022, 6, 3), date(2022, 8, 29), date(2022, 9, 19), date(2022, 12, 26), date(2022, 12, 27),
+    date(2023, 1, 2), date(2023, 4, 7), date(2023, 4, 10), date(2023, 5, 1), date(2023, 5, 8),
+    date(2023, 5, 29), date(2023, 8, 28), date(2023, 12, 25), date(2023, 12, 26),
+    date(2024, 1, 1), date(2024, 3, 29), date(2024, 4, 1), date(2024, 5, 6), date(2024, 5, 27),
+    date(2024, 8, 26), date(2024, 12, 25), date(2024, 12, 26),
+]
 
 # --- product catalogue: id, code, name, type, family, rate, monthly fee, limit, launch
 PRODUCT_CATALOGUE = [

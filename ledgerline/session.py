@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -35,33 +36,52 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 
 
 def working_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and tasks share one disk, falls back to a folder
-    of its own.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, one below the warehouse, which is shared too."""
     found = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    if not found:
+        found = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
+        spark.conf.set(CHECKPOINT_KEY, found)
+    return found
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return os.path.join(working_dir(spark), f"{name}-{uuid.uuid4().hex}")
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path below ``folder`` or the shared one; :func:`clear_scratch` removes it."""
+    path = os.path.join(folder or working_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if not _made:
+        atexit.register(clear_scratch, spark)
+    _made.append(path)
+    return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read back.
+def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write once, read back. Runs a job.
 
     Used where several passes need the same rows: the input is computed a single time,
     all passes see identical rows, and a lost executor costs a re-read, not a recompute.
+    The copy stays as long as frames may read it, at most until the application ends.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its path object: works on any store that Spark reaches."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    jsc = spark.sparkContext._jsc
+    conf = jsc.hadoopConfiguration() if jsc else jvm.org.apache.hadoop.conf.Configuration()
+    return where.getFileSystem(conf), where
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch copy of this application. Call it when no frame reads them any more."""
+    while _made:
+        discard(spark, _made.pop())

@@ -125,7 +125,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("age", F.expr("case when planted then d % 31 else d % 365 end"))
     )
     pence = (
-        "case when planted then 100000 * (1 + (k div 25) % 9) "
+        # 999.60 rounds to a round amount and is none: the two round-amount reports differ
+        "case when planted and (k div 25) % 7 = 6 then 99960 when planted then 100000 * (1 + (k div 25) % 9) "
         f"when k % 20 = 1 and age > 7 then {_pence('l_extendedprice')} div 200 "
         f"else {_pence('l_extendedprice')} div 10 end"
     )

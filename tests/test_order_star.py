@@ -15,12 +15,12 @@ EXPECTED = {
         fees="38811.15", status={"Active": 7206, "Closed": 56, "Dormant": 4307, "Overdrawn": 419}),
     "sf0.01": dict(
         customers=1_500, customer_sum=343_451, nps=-351, txns=60_000, txn_customers=1_500,
-        amount="302354394.76", weighted="14204416870.62", accounts=118_608, account_ids=9_884,
+        amount="301751335.56", weighted="14174027935.02", accounts=118_608, account_ids=9_884,
         account_customers=1_500, balance="1332777215.88", charged="9991767.50", earned="1659432.75",
         fees="383993.40", status={"Active": 72408, "Closed": 497, "Dormant": 41690, "Overdrawn": 4013}),
     "sf0.1": dict(
         customers=15_000, customer_sum=3_494_216, nps=-315, txns=600_000, txn_customers=14_999,
-        amount="3025876125.79", weighted="145223719243.32", accounts=1_182_576, account_ids=98_548,
+        amount="3018316379.79", weighted="144847073701.32", accounts=1_182_576, account_ids=98_548,
         account_customers=14_999, balance="13402396193.39", charged="100467848.00", earned="16283311.15",
         fees="3828589.80", status={"Active": 723011, "Closed": 4930, "Dormant": 414708, "Overdrawn": 39927}),
 }

@@ -113,14 +113,16 @@ def test_one_month_without_change_gives_the_same_summary(spark, sf_small):
     assert pnl.executive_summary(short, run).collect() == pnl.executive_summary(pnl.monthly_pnl(*args), run).collect()
 
 
-def test_executive_summary_appends(spark, sf_small, tmp_path):
+def test_executive_summary_keeps_one_row_per_month(spark, sf_small, tmp_path):
     star = order_star.load(spark, sf_small)
     view = pnl.monthly_pnl(star.accounts, star.products, star.customers, star.transactions)
     path, stamp = str(tmp_path / "exec"), F.lit(AS_OF).cast("timestamp")
-    pnl.append_executive_summary(view, date(2024, 11, 30), path, stamp)
-    both = pnl.append_executive_summary(view, AS_OF, path, stamp)
+    pnl.store_executive_summary(view, date(2024, 11, 30), path, stamp)
+    both = pnl.store_executive_summary(view, AS_OF, path, stamp)
     assert sorted(r.report_month for r in both.collect()) == [date(2024, 11, 30), AS_OF]
     assert len(both.columns) == 10
+    again = pnl.store_executive_summary(view, AS_OF, path, F.lit(AS_OF).cast("timestamp") + F.expr("interval 1 hour"))
+    assert sorted((r.report_month, r.inserted_at.hour) for r in again.collect()) == [(date(2024, 11, 30), 0), (AS_OF, 1)]
 
 
 def test_each_type_has_one_family(spark):
