@@ -607,6 +607,18 @@ QUERIES = {
         UNION ALL SELECT 'check:amount_positive', count(*) FILTER (amount_gbp <= 0) FROM fact_transactions
         UNION ALL SELECT 'unique:transaction_id', count(*) - count(DISTINCT (l_orderkey, l_linenumber))
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "staging_to_core": """
+        SELECT outcome, what, count(*) AS rows
+        FROM (SELECT CASE WHEN len(broken) = 0 THEN 'stored' ELSE 'rejected' END AS outcome,
+                     unnest(CASE WHEN len(broken) = 0 THEN [snapshot_month::varchar] ELSE broken END) AS what
+              FROM (SELECT snapshot_month,
+                           CASE WHEN missed_payments_3m = 2 AND days_in_arrears = 0 THEN ['malformed']
+                                ELSE list_concat(list_concat(
+                                       CASE WHEN missed_payments_3m = 1 AND days_in_arrears > 60 THEN ['not_null:customer_id'] ELSE [] END,
+                                       CASE WHEN missed_payments_3m = 3 THEN ['digits:balance_gbp'] ELSE [] END),
+                                       CASE WHEN days_in_arrears > 80 THEN ['enum:account_status'] ELSE [] END) END AS broken
+                    FROM fact_accounts))
+        GROUP BY ALL""",
     "storage_accounts": """
         SELECT snapshot_month::varchar AS snapshot_month, count(*) AS accounts, sum(balance_gbp)::double AS balance_gbp
         FROM fact_accounts WHERE snapshot_month >= DATE '2024-10-01' GROUP BY ALL""",

@@ -146,6 +146,24 @@ def _storage_accounts(s: Star) -> DataFrame:
         F.count(F.lit(1)).alias("accounts"), F.sum("balance_gbp").alias("balance_gbp"))
 
 
+def _staging_to_core(s: Star) -> DataFrame:
+    """The accounts land as CSV, some of them spoilt, and are loaded: rows per stored month and per broken rule."""
+    arrears, missed = F.col("days_in_arrears"), F.col("missed_payments_3m")
+    spoilt = s.accounts.withColumns({
+        "account_status": F.when(arrears > 80, "Lost").otherwise(F.col("account_status")),
+        "balance_gbp": F.when(missed == 3, F.lit("12.345")).otherwise(F.col("balance_gbp").cast("string")),
+        "days_in_arrears": F.when((missed == 2) & (arrears == 0), "none").otherwise(arrears.cast("string")),
+        "customer_id": F.when(~((missed == 1) & (arrears > 60)), F.col("customer_id")),
+    })
+    landed = scratch_path(s.spark, "landed_accounts")
+    spoilt.select(schemas.ACCOUNTS.schema.names).write.option("header", True).csv(landed)
+    stored, rejected = staging.load(s.spark, schemas.ACCOUNTS, landed, scratch_path(s.spark, "core_accounts"))
+    core = stored.groupBy(F.col("snapshot_month").cast("string").alias("what"))
+    broken = rejected.select(F.explode("broken_rules").alias("what")).groupBy("what")
+    counted = [g.agg(F.count(F.lit(1)).alias("rows")).withColumn("outcome", F.lit(o)) for g, o in ((core, "stored"), (broken, "rejected"))]
+    return counted[0].unionByName(counted[1])
+
+
 def _retention(s: Star) -> DataFrame:
     kept = storage.retained(s.transactions, schemas.TRANSACTIONS, date(2029, 6, 30))
     return kept.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("transactions"))
@@ -311,6 +329,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "approx_distinct_accounts": _approx_distinct_accounts,
         "staging_validate": _staging_validate,
         "storage_accounts": _storage_accounts,
+        "staging_to_core": _staging_to_core,
         "retention_transactions": _retention,
     }
 

@@ -46,7 +46,7 @@ def _swapped(values, i, j):
     ("GEN_REGIONS", _swapped(rules.GEN_REGIONS, 0, 1), "dim_customers"),
     ("RFM_SEGMENTS", _swapped(rules.RFM_SEGMENTS, 0, 1), "rfm_segments"),
     ("STRUCTURING_ALERT", "Structuring", "aml_structuring_alerts"),
-    ("ROUND_MIN_COUNT", 6, "aml_round_amount_alerts"),
+    ("ROUND_DAYS", 15, "aml_round_amount_alerts"),
     ("CHURN_TIERS", [(0.8, "Imminent (75%+)"), *rules.CHURN_TIERS[1:]], "churn_scores_declared"),
 ])
 def test_a_mistyped_constant_shows(spark, sf_dir, duck, monkeypatch, constant, value, query):
