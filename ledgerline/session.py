@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import uuid
 
@@ -48,11 +49,16 @@ def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> s
     """A new path below ``folder`` or the shared one; :func:`clear_scratch` removes it."""
     path = os.path.join(folder or working_dir(spark), f"{name}-{uuid.uuid4().hex}")
     if not _made:
-        atexit.register(clear_scratch, spark)
+        atexit.register(_clear_at_exit, spark)
     _made.append(path)
     return path
 
 
+def _clear_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # Spark may be gone by then
+        clear_scratch(spark)
+
+
 def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write once, read back. Runs a job.
 
