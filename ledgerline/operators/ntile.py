@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 
 SORT_LIMIT = 200_000  # rows of one range that a single task may sort
 SAMPLE_ROWS = 5_000   # rows per open range brought to the driver to choose two keys
+IDLE_ROUNDS = 4       # passes without any progress after which the key can't be unique
 
 Key = tuple  # (value, tie)
 
@@ -158,10 +159,15 @@ def tile_end_keys(
         _Range(c, b, rank=min(b * size + min(b, extra), total), rows=total)
         for c in columns for b in range(1, n)
     ]
-    seed = 0
-    while any(r.rows > sort_limit for r in ranges):
-        finder.narrow([r for r in ranges if r.rows > sort_limit], seed)
+    seed = idle = 0
+    while wide := [r for r in ranges if r.rows > sort_limit]:
+        before = sum(r.rows for r in wide)
+        finder.narrow(wide, seed)
         seed += len(ranges)
+        # a range of distinct keys shrinks sooner or later; one of a single repeated key never does
+        idle = idle + 1 if sum(r.rows for r in wide) == before else 0
+        if idle == IDLE_ROUNDS:
+            raise ValueError(f"{tie} must be unique: one value of it repeats more than {sort_limit} times")
     keys = finder.pick(ranges)
     ends: dict[str, list[Key]] = {c: [] for c in columns}
     for r, key in zip(ranges, keys, strict=True):

@@ -59,3 +59,9 @@ def test_latest_per_key(spark):
         [("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, ts int, v string")
     got = {r.k: (r.ts, r.v) for r in latest_per_key(df, ["k"], ["ts"]).collect()}
     assert got == {"a": (3, "y"), "b": (1, None)}
+
+
+def test_ntile_refuses_a_repeated_tie(spark):
+    df = materialise(spark.range(3000).selectExpr("'same' as id", "1 as v"), "same")
+    with pytest.raises(ValueError, match="id must be unique"):
+        with_ntile(df, 3, {"t": "v"}, tie="id", sort_limit=500, sample_rows=100)
