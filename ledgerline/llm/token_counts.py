@@ -21,8 +21,9 @@ import functools
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,12 @@ TABLE_WORDS = 16_384
 SUMMARY_WORDS = 8_192
 WORD_CHARS = 48
 #: a worker's cache is emptied when it holds this many pre-tokens
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 LIMIT = 2048
 
 CUT_DIFFERENTLY = re.compile("[\x1c-\x1f]")
+#: letters with full stops or commas behind them: the tokenizer separates the two, and lower-cases
+LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]+)?")
 
 
 @functools.cache
@@ -52,6 +55,31 @@ def token_lengths(path: str, words: list[str]) -> list[int]:
     return [len(e) for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
 
 
+#: plain words that are encoded in one call
+TOGETHER = 500
+
+
+@functools.cache
+def word_ends(path: str) -> np.ndarray:
+    """Which tokens end a pre-token."""
+    t = tokenizer(path)
+    return np.array([(t.id_to_token(i) or "").endswith("</w>") for i in range(t.get_vocab_size())])
+
+
+def lengths_of_plain(path: str, words: list[str], pre_tokens: list[int]) -> list[int]:
+    """Token counts of words known to be one or two pre-tokens, many in a call: each pre-token ends with a token that says so."""
+    out: list[int] = []
+    parts = range(0, len(words), TOGETHER)
+    lines = tokenizer(path).encode_batch_fast([" ".join(words[i:i + TOGETHER]) for i in parts], add_special_tokens=False)
+    for i, encoded in zip(parts, lines, strict=True):
+        ends, each = np.flatnonzero(word_ends(path)[encoded.ids]), np.cumsum(pre_tokens[i:i + TOGETHER])
+        if len(ends) == each[-1]:
+            out += np.diff(ends[each - 1], prepend=-1).tolist()
+        else:
+            out += token_lengths(path, words[i:i + TOGETHER])
+    return out
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[str] = Counter()
     for batch in batches:
@@ -77,12 +105,24 @@ class Lengths:
     def __init__(self, path: str, frequent: dict[str, int]):
         self.path, self.frequent, self.known = path, frequent, dict(frequent)
 
+    def learn(self, words: Iterable[str]) -> None:
+        """Encodes words and adds them to the cache."""
+        plain, pre_tokens, others = [], [], []
+        for word in words:
+            match = LETTERS.fullmatch(word)
+            if match:
+                plain.append(word), pre_tokens.append(2 if match[2] else 1)
+            else:
+                others.append(word)
+        self.known.update(zip(plain, lengths_of_plain(self.path, plain, pre_tokens), strict=True))
+        self.known.update(zip(others, token_lengths(self.path, others), strict=True))
+
     def counts(self, texts: list[str]) -> list[int]:
         if len(self.known) > len(self.frequent) + CACHE_WORDS:
             self.known = dict(self.frequent)
         words = [t.split() for t in texts]
         misses = list(set().union(*words) - self.known.keys())
-        self.known.update(zip(misses, token_lengths(self.path, misses), strict=True))
+        self.learn(misses)
         found = [sum(map(self.known.__getitem__, ws)) for ws in words]
         for word in misses:
             if len(word) > WORD_CHARS:
