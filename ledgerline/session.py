@@ -54,6 +54,20 @@ def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> s
     return path
 
 
+def scratch_copies() -> set[str]:
+    """The scratch copies there are now; for :func:`settled`."""
+    return set(_made)
+
+
+def settled(df: DataFrame, name: str, earlier: set[str]) -> DataFrame:
+    """``df`` written and read back, and every scratch copy made since ``earlier`` removed: the result stands alone."""
+    out = materialise(df, name)
+    for path in [p for p in _made[:-1] if p not in earlier]:
+        discard(df.sparkSession, path)
+        _made.remove(path)
+    return out
+
+
 def _clear_at_exit(spark: SparkSession) -> None:
     with contextlib.suppress(Exception):  # Spark may be gone by then
         clear_scratch(spark)
