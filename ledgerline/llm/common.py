@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import materialise
+from ledgerline.session import materialise, scratch_copies, settled
 
 #: a word: a run without ASCII white space; ``bytes.split()`` cuts UTF-8 text the same way
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,7 +19,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 #: rows per Arrow batch: a batch of long texts must still fit a worker
 BATCH_ROWS = 1000
 
-__all__ = ["BATCH_ROWS", "WORD", "carried", "materialise", "python_batches", "read", "restored", "text_bytes"]
+__all__ = ["BATCH_ROWS", "WORD", "carried", "materialise", "python_batches", "read", "restored", "scratch_copies", "settled",
+           "text_bytes"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, python_batches
+from ledgerline.llm.common import materialise, python_batches, scratch_copies, settled
 from ledgerline.llm.links import components
 
 THRESHOLD = 0.95
@@ -342,7 +342,7 @@ def near_middle(rows: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``vectors`` (``vec_id``, ``embedding``): ``n_links``, ``component_id``, ``kept``."""
-    spark = vectors.sparkSession
+    spark, earlier = vectors.sparkSession, scratch_copies()
     python_batches(spark, BATCH)
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").withColumn(
         "usable", usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -359,6 +359,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     out = rows.join(judged.withColumn("usable", F.lit(True)), ["embedding", "usable"], "left").select(
         "vec_id", F.coalesce(F.col("within") - 1, F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"))
-    result = materialise(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))), "near_vectors")
+    result = settled(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))), "near_vectors", earlier)
     python_batches(spark)
     return result

@@ -132,7 +132,8 @@ def with_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     place = F.struct("mix_at", _known(F.col("doc_id")).alias("doc"), "mix_size")
     in_sample = F.coalesce((F.col("mix_at") < F.col("cell_start")) | (place <= F.col("last")), F.lit(False))
     joined = rows.join(cuts.withColumnRenamed("source", "cut_source"), F.col("source").eqNullSafe(F.col("cut_source")))
-    return joined.withColumn("copies", F.col("epochs") + in_sample.cast("bigint"))
+    # a target that rounding puts a hair above its cap asks for no further epoch
+    return joined.withColumn("copies", F.least(F.col("epochs") + in_sample.cast("bigint"), F.lit(MAX_EPOCHS).cast("bigint")))
 
 
 def plan_mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

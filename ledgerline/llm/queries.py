@@ -131,7 +131,7 @@ summed AS (
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.at, coalesce(d.doc_id, -9223372036854775808), d.size) AS upto,
          sum(d.size) OVER (PARTITION BY d.source, d.at, d.doc_id, d.size) AS words
   FROM drawn d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source),
-chosen AS (SELECT *, (epochs + CASE WHEN rest > 0 AND upto - words / 2 <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed)
+chosen AS (SELECT *, least(3, epochs + CASE WHEN rest > 0 AND upto - words / 2 <= rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM summed)
 SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, source, copies FROM chosen
 """
 

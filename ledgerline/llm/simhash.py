@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import carried, materialise, python_batches, restored, text_bytes
+from ledgerline.llm.common import carried, materialise, python_batches, restored, scratch_copies, settled, text_bytes
 from ledgerline.llm.links import components
 
 SHINGLE_WORDS = 3
@@ -207,6 +207,7 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int =
 
 def grouped(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id``, ``text_hash``, ``fp`` and ``component_id``, the least doc_id that links reach."""
+    earlier = scratch_copies()
     rows = materialise(fingerprints(docs, words_each), "fingerprints")
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp_distinct")
     component = components(near_links(distinct.select("fp"), max_bits))
@@ -214,7 +215,7 @@ def grouped(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MA
         "component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = named.join(least, "component").select("fp", "component", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
+    return settled(rows.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "component", "component_id"), "near_groups", earlier)
 
 
 def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, python_batches, text_bytes
+from ledgerline.llm.common import materialise, python_batches, scratch_copies, settled, text_bytes
 from ledgerline.session import scratch_path
 
 WINDOW = 13
@@ -415,6 +415,7 @@ def _cleaned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document the number of its words, how many of them were removed, and the digest of the rest."""
     spark = docs.sparkSession
+    earlier = scratch_copies()
     name = f"substring_blocks_{uuid.uuid4().hex}"
     blocks = block_table(docs, scratch_path(spark, name), name)
     try:
@@ -430,7 +431,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         removed = repeated_paths(found).groupBy("block").agg(F.collect_list(F.struct("nr", "starts", "windows")).alias("paths"))
         cleaned = blocks.join(copies, "block", "left").join(removed, "block", "left").select(
             "block", "bodies", "sizes", "doc_ids", "copies", "paths").mapInArrow(_cleaned_batches, RESULT)
-        return materialise(cleaned, "cleaned")
+        return settled(cleaned, "cleaned", earlier)
     finally:
         python_batches(spark)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
