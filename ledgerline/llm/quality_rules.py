@@ -38,7 +38,7 @@ SAMPLE_ROWS = 4_096
 #: bins of the score, from 0 to 1, when the threshold is calibrated
 SCORE_BINS = 2_000
 #: the share of good labelled documents that may be lost
-MAX_GOOD_LOST = 0.001
+MAX_GOOD_LOST = 0.0001
 
 STATS = T.StructType([
     T.StructField("doc_id", T.LongType()),
