@@ -30,7 +30,7 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-TREES = 100
+TREES = 300
 TREE_ROWS = 256
 DEPTH = 12
 #: good labelled rows that the trees draw their samples from
