@@ -7,9 +7,9 @@ with more than ``SHARD_ROWS`` fingerprints is split further, in Spark: one of it
 becomes the vantage point, the others are dealt to cells by their Hamming distance to it, and
 by the triangle inequality a fingerprint can only be linked to such whose distance differs by
 at most 3. It therefore joins the cells that reach down to 3 below its own distance, and no
-pair is lost at a boundary. Levels follow as long as shards shrink; a shard that doesn't
-(all at one distance) is searched whole by one task, in windows of the distance to a vantage
-point, in memory linear in its size.
+pair is lost at a boundary. Levels follow as long as they save comparisons. A shard whose
+members are all near each other can't be pruned: it is searched in windows of the distance
+to a vantage point, and if it is too large for a task, as all pairs of its parts.
 
 Equal fingerprints are one node from the start, and each shard returns a spanning forest of
 its links rather than all pairs; the components of all forests together are found in Spark.
@@ -39,6 +39,8 @@ MAX_BITS = 3
 BANDS = 4
 SHARD_ROWS = 256
 MAX_LEVELS = 12
+#: half of what a task searches at most
+TASK_ROWS = 8_192
 #: rows of a numeric Arrow batch, and shingles whose bits are unpacked at once
 NUMBER_ROWS = 50_000
 CHUNK = 1 << 16
@@ -181,20 +183,43 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pair_cost(shards: DataFrame, above: int) -> float:
+    """The comparisons in shards of more than ``above`` rows, about."""
+    n = F.col("count").cast("double")
+    return shards.groupBy("shard").count().filter(F.col("count") > above).agg(F.sum(n * n).alias("cost")).first()["cost"] or 0.0
+
+
+def dealt_pairs(shards: DataFrame, task_rows: int) -> DataFrame:
+    """Shards too large for a task, as all pairs of their parts: every two rows meet in some part, none larger than two."""
+    large = shards.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 2 * task_rows).select(
+        "shard", F.ceil(F.col("rows") / task_rows).cast("int").alias("parts"))
+    marked = shards.join(large, "shard", "left")
+    own = F.pmod(F.xxhash64("fp", F.lit("part")), F.col("parts")).cast("int")
+    split = marked.filter("parts is not null").select("fp", "shard", own.alias("own"), F.explode(
+        F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        "fp", F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"))
+    return marked.filter("parts is null").select("fp", "shard").unionAll(split)
+
+
+def near_links(
+    distinct: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Links between the distinct fingerprints, spanning every component of those within ``max_bits``."""
     if not 0 <= max_bits < BANDS:
         raise ValueError(f"{BANDS} bands find distances below {BANDS}")
     shards = materialise(band_shards(distinct), "fp_shards")
-    parts, largest = [], None
+    parts, cost = [], pair_cost(shards, shard_rows)
     for _ in range(MAX_LEVELS):
-        most = shards.groupBy("shard").count().agg(F.max("count").alias("n")).first()["n"] or 0
-        if most <= shard_rows or (largest is not None and most > 0.9 * largest):
+        if not cost:
             break
-        largest = most
         small, placed = split_shards(shards, max_bits, shard_rows)
+        placed = materialise(placed, "fp_shards")
+        after = pair_cost(placed, 0)
+        if after >= cost:  # all are near each other: cells that overlap this much save nothing
+            break
         parts.append(small)
-        shards = materialise(placed, "fp_shards")
+        shards, cost = placed, pair_cost(placed, shard_rows)
+    shards = dealt_pairs(shards, task_rows)
     python_batches(distinct.sparkSession, NUMBER_ROWS)
     found = None
     for part in [*parts, shards]:

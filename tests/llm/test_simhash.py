@@ -77,6 +77,21 @@ def test_crowded_shards_lose_no_pair(frame, shard_rows):
     assert [of.get(x, x) for x in fps] == [fps[i] for i in least]
 
 
+def test_dense_shards_are_not_split_for_nothing_and_large_ones_are_dealt(spark, frame):
+    r = np.random.default_rng(3)
+    fps = sorted({sum(1 << int(b) for b in r.choice(20, int(r.integers(0, 5)), replace=False)) for _ in range(500)})
+    one_shard = frame([(x, 7) for x in fps], "fp bigint, shard bigint")
+    dealt = s.dealt_pairs(one_shard, 50)
+    sizes = [x["count"] for x in dealt.groupBy("shard").count().collect()]
+    assert max(sizes) < 2 * 50 * 1.6 and len(sizes) > 20
+    met = dealt.alias("a").join(dealt.alias("b"), "shard").selectExpr("a.fp as x", "b.fp as y").distinct().count()
+    assert met == len(fps) ** 2
+    found = components(s.near_links(frame([(x,) for x in fps], "fp bigint"), shard_rows=16, task_rows=40)).collect()
+    least = reach(fps)
+    of = {x.node: x.component for x in found}
+    assert [of.get(x, x) for x in fps] == [fps[i] for i in least]
+
+
 def test_one_large_shard_in_windows():
     r = np.random.default_rng(2)
     fp = r.integers(0, 1 << 16, 700).astype(np.uint64)
