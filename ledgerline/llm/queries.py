@@ -36,7 +36,7 @@ def op1_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("n_spans")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,39 @@ def queries() -> dict[str, Query]:
     }
 
 
+OP1_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(vec_id = coalesce(component_id, vec_id), false) AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN counted ON counted.a = vec_id
+"""
+
+OP2_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(words[p:p + 12], ' ') AS content
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM docs WHERE len(words) >= 13)),
+firsts AS (SELECT content, min(doc_id) AS first FROM windows GROUP BY content),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM windows JOIN firsts USING (content) WHERE first < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM docs)
+  ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
@@ -137,4 +170,5 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGIN
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL, "op10_source_mixing": OP10_SQL}
+    return {"op1_embedding_groups": OP1_SQL, "op2_repeated_passages": OP2_SQL,
+            "op5_url_filter": OP5_SQL, "op10_source_mixing": OP10_SQL}
