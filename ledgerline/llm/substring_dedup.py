@@ -50,9 +50,9 @@ NODE = WINDOW - 1
 #: words whose hash stands for a window; a window has WINDOW - ANCHOR + 1 of them
 ANCHOR = 8
 #: text of a block before compression
-BLOCK_BYTES = 8 << 20
-#: hashes that one task of an exchange holds, about
-RANGE_WORDS = 2_000_000
+BLOCK_BYTES = 4 << 20
+#: words whose hashes one range of an exchange holds at most (a third of them are sent)
+RANGE_WORDS = 16_000_000
 CONTEXT_BYTES = 6
 #: a null doc_id, above all others
 LAST_ID = (1 << 63) - 1
