@@ -376,7 +376,9 @@ def copies_of_earlier(blocks: DataFrame) -> DataFrame:
     docs = blocks.select("block", F.posexplode(F.arrays_zip("doc_ids", "n_words", "digests")).alias("nr", "d")).select(
         "block", "nr", F.coalesce("d.doc_ids", F.lit(LAST_ID)).alias("doc"), F.col("d.digests").alias("digest"),
         F.col("d.n_words").alias("n_words")).filter(F.col("n_words") >= WINDOW)
-    first = docs.groupBy("digest", "n_words").agg(F.min("doc").alias("first"))
+    # stored: a join of the two as they are read lets adaptive execution split a text with very many copies
+    first = materialise(docs.groupBy("digest", "n_words").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("times")).filter(
+        "times > 1").drop("times"), "first_copies")
     return docs.join(first, ["digest", "n_words"]).filter("doc > first").groupBy("block").agg(F.collect_list("nr").alias("copies"))
 
 
