@@ -10,9 +10,12 @@ components are formed.
 A list that is full of links (saturated) may hide links to others. Such lists are enlarged
 by looking past the own group: new trees compare saturated nodes with all nodes outside
 their component, and links found merge components, until none is found. So a dense group
-costs no list of all its pairs, and it is not closed off either. An audit compares a fixed
-number of nodes with all vectors; while the links it finds aren't all inside components, the
-search goes on with new trees, and what remains missing is added from the audit.
+costs no list of all its pairs, and it is not closed off either. Every search first audits a
+fixed number of nodes, drawn anew, against all vectors. A link that it finds outside the
+components is added, and sends all nodes into the new trees; the search ends when ``QUIET``
+audits and searches in a row find nothing. If that takes more than ``MAX_SEARCHES``, the job
+fails with the share of audited nodes that still miss links. The number of trees follows their
+depth, so that a pair at the threshold shares a leaf with probability ``SHARED`` at any size.
 
 Each node's number of links is then counted exactly, in double precision, within its
 component. In a large component, members within half the threshold's angle of one member
@@ -43,16 +46,20 @@ from ledgerline.llm.links import components
 THRESHOLD = 0.95
 #: length of a neighbour list
 NEIGHBOURS = 10
+#: least number of trees, and the probability that a pair at the threshold shares a leaf in one of them
 TREES = 8
+SHARED = 0.99
 #: vectors in a leaf of a tree, about, and most that are compared at once
 LEAF = 256
 MEET = 512
 #: rounds end when this share of list entries is new, or after so many
 STILL_NEW = 0.02
 MAX_ROUNDS = 5
-#: nodes whose links are audited against all vectors, and how often the search may go on for it
+#: nodes whose links a search audits against all vectors, other ones each time; the search ends after
+#: so many audits and searches in a row that find nothing, and fails if it doesn't get there
 AUDITED = 256
-MAX_SEARCHES = 6
+QUIET = 2
+MAX_SEARCHES = 16
 BATCH = 8_000
 
 
@@ -158,9 +165,20 @@ def _planes(seed: int, trees: int, bits: int, size: int) -> np.ndarray:
     return np.random.default_rng([seed, size]).standard_normal((size, trees * bits))
 
 
-def in_leaves(nodes: DataFrame, count: int, seed: int, trees: int = TREES) -> DataFrame:
+def depth(count: int) -> int:
+    """Planes of a tree, for leaves of about ``LEAF`` nodes."""
+    return max(0, math.ceil(math.log2(max(1, count / LEAF))))
+
+
+def trees_for(count: int, threshold: float) -> int:
+    """So many trees that two nodes at the threshold share a leaf of one with probability ``SHARED``."""
+    together = (1 - math.acos(threshold) / math.pi) ** depth(count)
+    return TREES if together >= 1 else max(TREES, math.ceil(math.log(1 - SHARED) / math.log1p(-together)))
+
+
+def in_leaves(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
     """Every node once for each tree, with its leaf as ``meet``; crowded leaves are dealt into parts by a hash."""
-    bits = max(0, math.ceil(math.log2(max(1, count / LEAF))))
+    bits = depth(count)
     names = nodes.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,9 +241,12 @@ def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def audit(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Links missing from the components of ``AUDITED`` nodes, which are compared with all nodes; one per node at most."""
-    drawn = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(AUDITED).select("node", "component", "embedding").collect()
+def audit(nodes: DataFrame, threshold: float, search: int) -> DataFrame:
+    """Links (``v`` the audited end) missing from the components of ``AUDITED`` nodes, which are compared with all nodes.
+
+    Every ``search`` draws its own nodes; each other node has one such link at most.
+    """
+    drawn = nodes.orderBy(F.xxhash64("node", F.lit("audit"), F.lit(search))).limit(AUDITED).select("node", "component", "embedding").collect()
     by_size: dict[int, tuple] = {}
     for size in {len(r["embedding"]) for r in drawn}:
         own = [r for r in drawn if len(r["embedding"]) == size]
@@ -254,30 +275,37 @@ def audit(nodes: DataFrame, threshold: float) -> DataFrame:
 def find_links(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``nodes`` (``node``, ``n``, ``embedding``) with the ``component`` that links at or above the threshold form."""
     count = nodes.count()
-    first = compared(in_leaves(nodes.select("node", "embedding"), count, seed=0), nearest).withColumn("fresh", F.lit(True))
+    trees = trees_for(count, threshold)
+    first = compared(in_leaves(nodes.select("node", "embedding"), count, 0, trees), nearest).withColumn("fresh", F.lit(True))
     lists = refined(nodes, materialise(best_of(first), "neighbours"), count)
     # a list whose last entry is a link may hide more
     full = materialise(lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst")).filter(
         (F.col("n") >= NEIGHBOURS) & (F.col("worst") >= threshold)).select(F.col("u").alias("node")), "saturated")
     links = lists.filter(F.col("sim") >= threshold).select("u", "v")
+    saturated = not full.isEmpty()
+    known = materialise(labelled(nodes, links), "components")
+    quiet = 0
     for search in range(1, MAX_SEARCHES + 1):
-        known = materialise(labelled(nodes, links), "components")
-        missing = materialise(audit(known, threshold).select("u", "v"), "audit")
+        missing = materialise(audit(known, threshold, search).select("u", "v"), "audit")
         more = missing
         missed = not missing.isEmpty()
-        if missed or not full.isEmpty():
+        if missed or saturated:
             # after a failed audit every list may have gaps, not only the saturated ones
             flagged = known.withColumn("full", F.lit(True)) if missed else known.join(
                 full.withColumn("full", F.lit(True)), "node", "left").withColumn("full", F.coalesce("full", F.lit(False)))
-            leaves = in_leaves(flagged.select("node", "embedding", "component", "full"), count, seed=search)
+            leaves = in_leaves(flagged.select("node", "embedding", "component", "full"), count, search, trees)
             past = compared(leaves, functools.partial(beyond, threshold=threshold)).select("u", "v")
             more = materialise(past.unionByName(missing).distinct(), "links_beyond")
-        if more.isEmpty():
-            break
-        links = materialise(links.unionByName(more), "links")
-    else:
-        known = materialise(labelled(nodes, links), "components")
-    return known
+        quiet = quiet + 1 if more.isEmpty() else 0
+        # an audit of all nodes leaves nothing for another one
+        if quiet >= QUIET or (quiet and count <= AUDITED):
+            return known
+        if not quiet:
+            links = materialise(links.unionByName(more), "links")
+            known = materialise(labelled(nodes, links), "components")
+    gaps = missing.select("v").distinct().count()
+    raise RuntimeError(f"links between components are still found after {MAX_SEARCHES} searches: "
+                       f"{gaps} of the last {min(AUDITED, count)} audited vectors missed some")
 
 
 def link_counts(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

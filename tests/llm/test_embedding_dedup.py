@@ -71,3 +71,21 @@ def test_equal_ids_and_empty_table(frame):
     got = e.near_duplicates(frame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01])], "vec_id bigint, embedding array<float>")).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
     assert found(frame([], "vec_id bigint, embedding array<float>")) == {}
+
+
+def test_every_audit_draws_other_nodes_and_gaps_are_not_returned(frame, monkeypatch):
+    """Pairs that the trees never find: audits of the same two nodes would pass once these are repaired."""
+    monkeypatch.setattr(e, "AUDITED", 2)
+    monkeypatch.setattr(e, "MAX_SEARCHES", 3)
+    compared = e.compared
+    monkeypatch.setattr(e, "compared", lambda rows, pairs: compared(rows, pairs).filter("false"))
+    r = np.random.default_rng(6)
+    rows = [(2 * i + j, (c + r.standard_normal(16) * 1e-3).tolist()) for i, c in enumerate(r.standard_normal((20, 16))) for j in (0, 1)]
+    with pytest.raises(RuntimeError, match="audited"):
+        found(frame(rows, "vec_id bigint, embedding array<double>"))
+
+
+def test_trees_follow_their_depth():
+    for count in (100, 51_000, 15_000_000, 10**9):
+        apart = 1 - (1 - np.arccos(0.95) / np.pi) ** e.depth(count)
+        assert apart ** e.trees_for(count, 0.95) <= 0.01 + 1e-9
