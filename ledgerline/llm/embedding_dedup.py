@@ -9,8 +9,10 @@ components are formed.
 
 A list that is full of links (saturated) may hide links to others. Such lists are enlarged
 by looking past the own group: new trees compare saturated nodes with all nodes outside
-their component, and links found merge components, until none is found. So a dense group
-costs no list of all its pairs, and it is not closed off either. Every search first audits a
+their component, and links found merge components, until none is found. There a leaf is never
+cut: one too large for a task is dealt as pairs of parts, in which any two of its nodes that lie
+in different components meet. So a dense group costs no list of all its pairs, and it is not
+closed off either. Every search first audits a
 fixed number of nodes, drawn anew, against all vectors. A link that it finds outside the
 components is added, and sends all nodes into the new trees; the search ends when ``QUIET``
 audits and searches in a row find nothing. If that takes more than ``MAX_SEARCHES``, the job
@@ -52,6 +54,8 @@ SHARED = 0.99
 #: vectors in a leaf of a tree, about, and most that are compared at once
 LEAF = 256
 MEET = 512
+#: rows in a part of a leaf whose parts are compared pair by pair
+PART = 4096
 #: rounds end when this share of list entries is new, or after so many
 STILL_NEW = 0.02
 MAX_ROUNDS = 5
@@ -128,17 +132,16 @@ def compared(rows: DataFrame, pairs: Callable[[dict, int, int, np.ndarray], tupl
             parts = []
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if j - i > 1:
-                    x = vectors.units(i, j)
-                    parts.append(pairs(columns, i, j, x @ x.T))
+                    parts.append(pairs(columns, i, j, vectors.units(i, j)))
             if parts:
                 yield _edges(parts)
 
     return rows.repartition("meet").sortWithinPartitions("meet").mapInArrow(run, EDGE)
 
 
-def nearest(columns: dict, i: int, j: int, sim: np.ndarray) -> tuple:
+def nearest(columns: dict, i: int, j: int, x: np.ndarray) -> tuple:
     """Each row's nearest others, as far as they beat the last entry of its list (``worst``, if given)."""
-    node = columns["node"][i:j]
+    node, sim = columns["node"][i:j], x @ x.T
     np.fill_diagonal(sim, -2.0)
     k = min(NEIGHBOURS, len(node) - 1)
     best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
@@ -149,15 +152,20 @@ def nearest(columns: dict, i: int, j: int, sim: np.ndarray) -> tuple:
     return node[row], node[best[row, column]], found[row, column]
 
 
-def beyond(columns: dict, i: int, j: int, sim: np.ndarray, threshold: float) -> tuple:
-    """Links between a saturated row and rows outside its component."""
-    node, own, full = columns["node"][i:j], columns["component"][i:j], columns["full"][i:j]
-    sim[own[:, None] == own[None, :]] = -2.0
-    sim[~full] = -2.0
-    best = np.argmax(sim, axis=1)
-    found = sim[np.arange(len(node)), best]
-    row = np.flatnonzero(found >= threshold)
-    return node[row], node[best[row]], found[row]
+def beyond(columns: dict, i: int, j: int, x: np.ndarray, threshold: float) -> tuple:
+    """Links between a saturated row and rows outside its component, the nearest for each; ``MEET`` rows at once."""
+    node, own = columns["node"][i:j], columns["component"][i:j]
+    full = np.flatnonzero(columns["full"][i:j])
+    found = []
+    for start in range(0, len(full), MEET):
+        row = full[start:start + MEET]
+        sim = x[row] @ x.T
+        sim[own[row][:, None] == own[None, :]] = -2.0
+        best = np.argmax(sim, axis=1)
+        value = sim[np.arange(len(row)), best]
+        hit = np.flatnonzero(value >= threshold)
+        found.append((node[row[hit]], node[best[hit]], value[hit]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (node[:0], node[:0], np.empty(0))
 
 
 @functools.lru_cache(maxsize=8)
@@ -176,8 +184,8 @@ def trees_for(count: int, threshold: float) -> int:
     return TREES if together >= 1 else max(TREES, math.ceil(math.log(1 - SHARED) / math.log1p(-together)))
 
 
-def in_leaves(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
-    """Every node once for each tree, with its leaf as ``meet``; crowded leaves are dealt into parts by a hash."""
+def with_leaf(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
+    """Every node once for each tree, with ``tree`` and its ``leaf`` there."""
     bits = depth(count)
     names = nodes.columns
 
@@ -195,9 +203,47 @@ def in_leaves(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], names=[*names, "codes"])
 
     coded = nodes.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", codes array<bigint>")
-    leaves = coded.select(*names, F.posexplode("codes").alias("tree", "code")).withColumn(
-        "leaf", F.xxhash64("tree", "code", F.size("embedding")))
-    return dealt(leaves, "leaf", F.xxhash64("node", "tree", F.lit(seed))).drop("tree", "code")
+    return coded.select(*names, F.posexplode("codes").alias("tree", "code")).withColumn(
+        "leaf", F.xxhash64("tree", "code", F.size("embedding"))).drop("code")
+
+
+def in_leaves(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
+    """Every node once for each tree, with its leaf as ``meet``; crowded leaves are dealt into parts by a hash."""
+    return dealt(with_leaf(nodes, count, seed, trees), "leaf", F.xxhash64("node", "tree", F.lit(seed))).drop("tree")
+
+
+def across_leaves(nodes: DataFrame, count: int, seed: int, trees: int) -> DataFrame:
+    """``nodes`` with a ``meet`` such that any two of a leaf that lie in different components meet, however crowded it is.
+
+    Leaves of more than ``PART`` rows become pairs of parts. A component with more rows than
+    that has parts of its own, which need not meet each other; the rest share mixed parts. Rows
+    of crowded leaves are ``full``: their first lists came from a part of the leaf only.
+    """
+    leaves = materialise(with_leaf(nodes, count, seed, trees).select("node", "component", "full", "leaf"), "leaves")
+    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("least"), F.max("component").alias("most"))
+    marked = leaves.join(sizes.filter("least < most").select("leaf", "rows"), "leaf").withColumn("full", F.col("full") | (F.col("rows") > MEET))
+    whole = marked.filter(F.col("rows") <= PART).select("node", "full", F.col("leaf").alias("meet"))
+    large = marked.filter(F.col("rows") > PART)
+    cells = large.groupBy("leaf", "component").agg(F.count(F.lit(1)).alias("rows"))
+    own = cells.filter(F.col("rows") > PART).select("leaf", "component", F.ceil(F.col("rows") / PART).alias("own_parts"))
+    rest = cells.filter(F.col("rows") <= PART).groupBy("leaf").agg(F.ceil(F.sum("rows") / PART).alias("rest_parts"))
+    key = F.xxhash64("leaf", F.col("owner").isNull(), "owner", "part")
+    parts = own.select("leaf", F.col("component").alias("owner"), "own_parts").unionAll(
+        rest.select("leaf", F.lit(None).cast("bigint"), "rest_parts")).select(
+        "leaf", "owner", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("own_parts") - 1)).alias("part")).select(
+        "leaf", "owner", key.alias("key"))
+    parts = materialise(parts, "leaf_parts")
+    others = parts.select("leaf", F.col("owner").alias("other_owner"), F.col("key").alias("other"))
+    apart = F.col("owner").isNull() | ~F.col("owner").eqNullSafe(F.col("other_owner"))
+    pairs = parts.join(others, "leaf").filter((F.col("key") <= F.col("other")) & apart).withColumn("meet", F.xxhash64("key", "other"))
+    sides = pairs.select("key", "meet").unionAll(pairs.select("other", "meet")).distinct()
+    placed = large.join(own, ["leaf", "component"], "left").join(rest, "leaf", "left").withColumn(
+        "owner", F.when(F.col("own_parts").isNotNull(), F.col("component"))).withColumn(
+        "part", F.pmod(F.xxhash64("node", F.lit("part")), F.coalesce("own_parts", "rest_parts")))
+    met = placed.select("node", "full", key.alias("key")).join(sides, "key").select("node", "full", "meet")
+    return whole.unionAll(met).join(nodes.select("node", "component", "embedding"), "node")
+
+
 
 
 def dealt(rows: DataFrame, group: str, draw: Column) -> DataFrame:
@@ -293,7 +339,7 @@ def find_links(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             # after a failed audit every list may have gaps, not only the saturated ones
             flagged = known.withColumn("full", F.lit(True)) if missed else known.join(
                 full.withColumn("full", F.lit(True)), "node", "left").withColumn("full", F.coalesce("full", F.lit(False)))
-            leaves = in_leaves(flagged.select("node", "embedding", "component", "full"), count, search, trees)
+            leaves = across_leaves(flagged.select("node", "embedding", "component", "full"), count, search, trees)
             past = compared(leaves, functools.partial(beyond, threshold=threshold)).select("u", "v")
             more = materialise(past.unionByName(missing).distinct(), "links_beyond")
         quiet = quiet + 1 if more.isEmpty() else 0

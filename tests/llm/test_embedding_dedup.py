@@ -89,3 +89,20 @@ def test_trees_follow_their_depth():
     for count in (100, 51_000, 15_000_000, 10**9):
         apart = 1 - (1 - np.arccos(0.95) / np.pi) ** e.depth(count)
         assert apart ** e.trees_for(count, 0.95) <= 0.01 + 1e-9
+
+
+def test_one_pair_joins_two_groups_larger_than_a_part(frame, monkeypatch):
+    """All lists are full of the own group, and the pair is unlikely to meet where leaves are cut into parts of ``MEET``."""
+    monkeypatch.setattr(e, "MEET", 24)
+    monkeypatch.setattr(e, "PART", 100, raising=False)
+    monkeypatch.setattr(e, "AUDITED", 4)
+    r = np.random.default_rng(8)
+    at = lambda angle: np.array([np.cos(angle), np.sin(angle), *[0] * 8])
+    rows = [(i, (at(a) + r.standard_normal(10) * 1e-3).tolist()) for i, a in enumerate([0] * 1000 + [0.36] * 1000)]
+    rows += [(5000, at(0.03).tolist()), (5001, at(0.33).tolist())]
+    got = e.near_duplicates(frame(rows, "vec_id bigint, embedding array<double>")).collect()
+    x = np.array([v for _, v in rows])
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    linked = x @ x.T >= e.THRESHOLD
+    assert linked[:1000, 1000:2000].sum() == linked[2000, 1000:2000].sum() == linked[2001, :1000].sum() == 0 and linked[2000, 2001]
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, int(n) - 1, 0) for (i, _), n in zip(rows, linked.sum(axis=1))}
