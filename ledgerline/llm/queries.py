@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embedding_dedup, mixing, packing, pii, quality_rules, sharding, simhash, substring_dedup, token_counts, url_filter
-from ledgerline.llm.common import read
+from ledgerline.llm import (
+    embedding_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_counts,
+    url_filter,
+    whitening,
+)
+from ledgerline.llm.common import WORD, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +85,37 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; by a hash of its id, a tenth of the documents repeats a stretch of its words to the end."""
+    words, n = F.col("words"), F.size("words")
+    share = (F.col("hash") / 10).cast("bigint")
+    cut = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("hash")).select(
+        "doc_id", "text", share.alias("g"),
+        F.when(F.col("hash") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"))).alias("words")).select(
+        "*", F.when(n > 0, F.col("g") % n).cast("int").alias("a")).select(
+        "*", F.expr("1 + (size(words) - a) div (3 + g % 8)").cast("int").alias("p"))
+    rest = n - F.col("a")
+    stretch = F.slice(words, F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(stretch, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), F.col("a")), repeated), " ")
+    return cut.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse(with_planted_runs(read(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_groups": op1_embedding_groups,
@@ -84,6 +128,8 @@ def queries() -> dict[str, Query]:
         "op8_shard_lookup": op8_shard_lookup,
         "op9_quality_rules": op9_quality_rules,
         "op10_source_mixing": op10_source_mixing,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_embedding_whitening": op12_embedding_whitening,
     }
 
 
