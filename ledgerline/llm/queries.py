@@ -19,6 +19,7 @@ from ledgerline.llm import (
     substring_dedup,
     token_counts,
     url_filter,
+    warc,
     whitening,
 )
 from ledgerline.llm.common import WORD, read
@@ -116,6 +117,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+def op13_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embedding_groups": op1_embedding_groups,
@@ -130,6 +135,7 @@ def queries() -> dict[str, Query]:
         "op10_source_mixing": op10_source_mixing,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_warc_archives": op13_warc_archives,
     }
 
 
@@ -214,7 +220,16 @@ chosen AS (SELECT *, least(3, epochs + CASE WHEN rest > 0 AND upto - words / 2 <
 SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, source, copies FROM chosen
 """
 
+OP13_SQL = """
+WITH payloads AS (SELECT page_id, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, ''))::BIGINT AS bytes FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM payloads WHERE bytes >= 100 GROUP BY digest)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM payloads LEFT JOIN firsts USING (digest)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embedding_groups": OP1_SQL, "op2_repeated_passages": OP2_SQL,
-            "op5_url_filter": OP5_SQL, "op10_source_mixing": OP10_SQL}
+    return {"op1_embedding_groups": OP1_SQL, "op2_repeated_passages": OP2_SQL, "op5_url_filter": OP5_SQL,
+            "op10_source_mixing": OP10_SQL, "op13_warc_archives": OP13_SQL}
