@@ -328,6 +328,24 @@ _SEGMENTS = f"""SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score, rfm
     clv_tier, churn_risk FROM rfm_segments"""
 
 
+#: credits and debits as intervals of the money received so far, joined where they overlap
+_LAYERING = """
+    WITH flows AS (
+      SELECT customer_id, transaction_date AS day, sum(CASE WHEN transaction_type = 'Credit' THEN amount_gbp ELSE 0 END) AS credits,
+             sum(CASE WHEN transaction_type = 'Debit' THEN amount_gbp ELSE 0 END) AS debits
+      FROM fact_transactions WHERE transaction_type IN ('Credit', 'Debit') AND amount_gbp > 0 GROUP BY ALL),
+    totals AS (SELECT *, sum(credits) OVER w AS paid_in, sum(debits) OVER w AS paid_out FROM flows
+               WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+    spending AS (SELECT *, paid_out + least(0, min(paid_in - paid_out) OVER (PARTITION BY customer_id ORDER BY day)) AS used FROM totals),
+    lines AS (SELECT *, lag(used, 1, 0) OVER (PARTITION BY customer_id ORDER BY day) AS used_before FROM spending),
+    matched AS (
+      SELECT c.customer_id, c.day, least(c.paid_in, d.used) - greatest(c.paid_in - c.credits, d.used_before) AS size
+      FROM lines c JOIN lines d ON c.customer_id = d.customer_id AND d.used > c.paid_in - c.credits AND d.used_before < c.paid_in
+      WHERE c.credits > 0 AND d.used > d.used_before AND d.day - c.day <= 3)
+    SELECT f.customer_id, f.day, any_value(f.credits) AS credits, coalesce(sum(size), 0) AS passed
+    FROM flows f LEFT JOIN matched o ON o.customer_id = f.customer_id AND o.day = f.day WHERE f.credits > 0 GROUP BY ALL"""
+
+
 def _structuring(step: str) -> str:
     severity = """CASE WHEN rolling_count >= 5 AND rolling_total > 40000 THEN 'Critical'
         WHEN rolling_count >= 3 AND rolling_total > 25000 THEN 'High'
@@ -524,6 +542,14 @@ QUERIES = {
                rolling_count::bigint AS rolling_7d_txn_count FROM rolling_rows""",
     "aml_structuring_alerts": _structuring("rolling_rows"),
     "aml_structuring_calendar": _structuring("rolling_days"),
+    "aml_layering_daily": f"""
+        SELECT customer_id, day::varchar AS transaction_date, credits::double AS credits_gbp, passed::double AS passed_on_gbp,
+               {_rounded('passed * 10000', 'credits * 100', 2)}::double AS passed_on_pct FROM ({_LAYERING})""",
+    "aml_layering": f"""
+        SELECT customer_id, customer_segment, risk_rating, region, day::varchar AS transaction_date, credits::double AS credits_gbp,
+               passed::double AS passed_on_gbp, {_rounded('passed * 10000', 'credits * 100', 2)}::double AS passed_on_pct,
+               'Layering - Credits passed on' AS alert_type
+        FROM ({_LAYERING}) JOIN dim_customers USING (customer_id) WHERE credits >= 5000 AND passed >= 0.8 * credits""",
     "velocity_baseline": """
         SELECT customer_id, avg_spend AS avg_daily_spend, round(sd_spend, 4) AS stddev_daily_spend,
                p75::double AS p75_daily_spend, p95::double AS p95_daily_spend FROM baseline""",

@@ -306,6 +306,8 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
             "customer_id", "transaction_date", "rolling_7d_total_gbp", "rolling_7d_txn_count"),
         "aml_structuring_alerts": lambda s: aml.aml_structuring(s.transactions, s.customers),
         "aml_structuring_calendar": lambda s: aml.aml_structuring(s.transactions, s.customers, calendar=True),
+        "aml_layering_daily": lambda s: aml.layering_daily(s.transactions),
+        "aml_layering": lambda s: aml.aml_layering(s.transactions, s.customers),
         "velocity_baseline": lambda s: _rounded(aml.velocity_baseline(s.transactions, AS_OF), "stddev_daily_spend", 4),
         "aml_velocity_alerts": lambda s: aml.aml_velocity(s.transactions, AS_OF),
         "aml_round_amount_alerts": lambda s: aml.aml_round_amount(s.transactions, AS_OF),

@@ -195,6 +195,81 @@ def aml_round_amount(
     return _finish(out, run_ts, sort, F.desc("total_exposure_gbp"), "customer_id", "amount_gbp")
 
 
+# ------------------------------------------------------------------- layering
+
+
+def layering_daily(txn: DataFrame, days: int = rules.LAYERING_DAYS) -> DataFrame:
+    """Per customer and day with credits: how much of them was paid on within ``days`` days, oldest money first.
+
+    A customer's flows are first summed by day, a day's credits before its debits, so a
+    customer has at most as many rows as the calendar, whatever the number of transactions.
+    Running totals turn each day's credits into an interval of the money ever received. What
+    debits have used of it by a day is the total paid out, lowered by what exceeded the money
+    there was: the least running balance so far, where that is negative. So each day's debits
+    are an interval of the same line. Both kinds of interval follow one another, so the ends
+    of all of them cut the line into pieces that belong to the last credit and the last debit
+    begun before: one ordered window, without forming pairs of credits and debits.
+
+    Rows without a positive amount or with another type are left out.
+    """
+    amount, kind, day = F.col("amount_gbp"), F.col("transaction_type"), F.col("transaction_date")
+
+    def total(of: str) -> Column:
+        return F.sum(F.when(kind == of, amount).otherwise(0)).cast("decimal(28,2)")
+
+    flows = txn.filter(kind.isin("Credit", "Debit") & (amount > 0)).groupBy("customer_id", "transaction_date").agg(
+        total("Credit").alias("credits"), total("Debit").alias("debits"))
+    own = W.partitionBy("customer_id")
+    by_day = own.orderBy("transaction_date")
+    upto = by_day.rowsBetween(W.unboundedPreceding, 0)
+    running = flows.withColumns({
+        "paid_in": F.sum("credits").over(upto).cast("decimal(28,2)"),
+        "paid_out": F.sum("debits").over(upto).cast("decimal(28,2)"),
+    })
+    lowest = F.min(F.col("paid_in") - F.col("paid_out")).over(upto)
+    used = running.withColumn("used", (F.col("paid_out") + F.least(lowest, F.lit(0))).cast("decimal(28,2)")).withColumns({
+        "used_before": F.coalesce(F.lag("used").over(by_day), F.lit(0).cast("decimal(28,2)")),
+        "used_in_all": F.max("used").over(own),
+    })
+
+    def cut(at: Column, credit_day: Column, debit_day: Column, received: Column, where: Column) -> Column:
+        return F.when(where, F.struct(at.cast("decimal(28,2)").alias("at"), credit_day.alias("credit_day"),
+                                      debit_day.alias("debit_day"), received.alias("received")))
+
+    no_day, nothing = F.lit(None).cast("date"), F.lit(None).cast("decimal(28,2)")
+    spent = F.col("used") > F.col("used_before")
+    cuts = F.array_compact(F.array(
+        cut(F.col("paid_in") - F.col("credits"), day, no_day, F.col("credits"), F.col("credits") > 0),
+        cut(F.col("used_before"), no_day, day, nothing, spent),
+        cut(F.col("used"), no_day, no_day, nothing, spent),
+    ))
+    line = own.orderBy("at")
+    pieces = used.select("customer_id", "used_in_all", F.inline(cuts)).withColumns({
+        "credit_day": F.max("credit_day").over(line),
+        "debit_day": F.max("debit_day").over(line),
+        "size": F.lead("at").over(line) - F.col("at"),
+    })
+    in_time = (F.col("at") < F.col("used_in_all")) & (F.datediff("debit_day", "credit_day") <= days)
+    return pieces.groupBy("customer_id", F.col("credit_day").alias("transaction_date")).agg(
+        F.sum("received").cast("decimal(38,2)").alias("credits_gbp"),
+        F.sum(F.when(in_time, F.col("size")).otherwise(0)).cast("decimal(38,2)").alias("passed_on_gbp"),
+    ).withColumn("passed_on_pct", round_ratio(F.col("passed_on_gbp") * 100 * 100, F.col("credits_gbp") * 100, 2))
+
+
+def aml_layering(
+    txn: DataFrame, customers: DataFrame, days: int = rules.LAYERING_DAYS, run_ts: Column | None = None, sort: bool = True
+) -> DataFrame:
+    """Days whose large credits were mostly paid on within a few days."""
+    credits, passed = F.col("credits_gbp"), F.col("passed_on_gbp")
+    hits = layering_daily(txn, days).filter(
+        (credits >= rules.LAYERING_MIN_CREDITS) & (passed * 100 >= credits * rules.LAYERING_MIN_SHARE_PCT))
+    who = customers.select("customer_id", "customer_segment", "risk_rating", "region")
+    out = hits.join(who, "customer_id").select(
+        "customer_id", "customer_segment", "risk_rating", "region", "transaction_date", "credits_gbp", "passed_on_gbp",
+        "passed_on_pct", F.lit(rules.LAYERING_ALERT).alias("alert_type"))
+    return _finish(out, run_ts, sort, F.desc("passed_on_gbp"), "customer_id", "transaction_date")
+
+
 # ------------------------------------------------------- documented extensions
 
 

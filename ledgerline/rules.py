@@ -44,6 +44,10 @@ VELOCITY_SEVERITY = [(10, "Critical"), (5, "High"), (3, "Medium")]  # ratio abov
 VELOCITY_ALERT = "Velocity - Unusual daily spend spike"
 
 # --- repeated round amounts
+LAYERING_DAYS = 3
+LAYERING_MIN_CREDITS, LAYERING_MIN_SHARE_PCT = Decimal("5000"), 80
+LAYERING_ALERT = "Layering - Credits passed on"
+
 ROUND_DAYS, ROUND_STEP, ROUND_MIN_COUNT = 30, 100, 5
 ROUND_LOW, ROUND_HIGH = Decimal("500"), Decimal("10000")  # low inclusive, high exclusive
 ROUND_SEVERITY = [  # count at least, total above
