@@ -71,28 +71,57 @@ def fee_income(
     )
 
 
-def _count_columns(counted: Column) -> list[Column]:
-    """Account figures over the rows where ``counted`` holds; NULL when there are none."""
-    def of(name: str) -> Column:
-        return F.when(counted, F.col(name))
+#: what a group adds up; sums of money keep the type that a sum over the rows has
+_MONEY_SUM = "decimal(28,2)"
 
-    in_arrears = F.when(counted, F.when(F.col("days_in_arrears") > 0, 1).otherwise(0))
+
+def _per_account(star: DataFrame, keys: list[str], counted: Column, paid: Column) -> DataFrame:
+    """One row per group, customer and account, with its sums; the account figures only over rows where ``counted`` holds.
+
+    Repeated rows of an account meet here, while rows are still combined where they lie, so
+    the next step can count accounts and customers without a second copy of every row.
+    """
+    def of(value: Column) -> Column:
+        return F.when(counted, value)
+
+    balance = F.col("balance_gbp")
+    return star.groupBy(*keys, "customer_id", "account_id").agg(
+        F.sum("interest_charged_gbp").alias("charged"),
+        F.sum("interest_earned_gbp").alias("earned"),
+        F.sum(paid).alias("paid"),
+        F.max(counted).alias("counted"),
+        F.sum(of(F.when(F.col("days_in_arrears") > 0, 1).otherwise(0))).alias("in_arrears"),
+        F.sum(of(balance)).alias("balance"),
+        F.count(of(balance)).alias("balances"),
+        F.sum(of(F.abs(balance))).alias("book"),
+    )
+
+
+def _total(column: str) -> Column:
+    return F.sum(column).cast(_MONEY_SUM)
+
+
+def _count_columns() -> list[Column]:
+    """Account figures from :func:`_per_account`; NULL when the group has no counted row.
+
+    An account that two customers share in a month counts for each of them.
+    """
     none = F.lit(0)
     return [
-        # (account_id, snapshot_month) is the declared key, so a month's accounts needn't be made distinct
-        F.nullif(F.count(of("account_id")), none).alias("active_accounts"),
-        F.nullif(F.count_distinct(of("customer_id")), none).alias("active_customers"),
-        F.sum(in_arrears).alias("accounts_in_arrears"),
-        F.sum(of("balance_gbp")).alias("balance_total_gbp"),
-        F.count(of("balance_gbp")).alias("balance_count"),
-        F.sum(F.abs(of("balance_gbp"))).alias("total_book_gbp"),
+        F.nullif(F.count(F.when(F.col("counted"), F.col("account_id"))), none).alias("active_accounts"),
+        F.nullif(F.count_distinct(F.when(F.col("counted"), F.col("customer_id"))), none).alias("active_customers"),
+        F.sum("in_arrears").alias("accounts_in_arrears"),
+        _total("balance").alias("balance_total_gbp"),
+        F.sum("balances").alias("balance_count"),
+        _total("book").alias("total_book_gbp"),
     ]
 
 
 def account_counts(accounts: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Active accounts and customers, arrears, average balance and book."""
     active = accounts.filter(F.col("account_status") == "Active")
-    counts = account_star(active, products, customers).groupBy(*GROUP).agg(*_count_columns(F.lit(True)))
+    each = _per_account(account_star(active, products, customers), GROUP, F.lit(True), F.lit(None).cast("decimal(18,2)"))
+    counts = each.groupBy(*GROUP).agg(*_count_columns())
     return counts.withColumn(
         "avg_balance_gbp", safe_ratio(F.col("balance_total_gbp"), F.col("balance_count"))
     ).drop("balance_total_gbp", "balance_count")
@@ -146,9 +175,11 @@ def monthly_pnl(
     paid = F.when(known, F.col("fees_charged_gbp") * F.coalesce("txn_count", F.lit(0)).cast("decimal(18,0)"))
     star = account_star(accounts, products, customers).join(
         monthly_transaction_counts(txn), ["customer_id", "snapshot_month"], "left")
-    book_side = star.groupBy(*GROUP_FAMILY).agg(
-        *_interest_sums(), F.coalesce(F.sum(paid), F.lit(0)).alias("fee_income_gbp"),
-        *_count_columns((F.col("account_status") == "Active") & known))
+    each = _per_account(star, GROUP_FAMILY, (F.col("account_status") == "Active") & known, paid)
+    book_side = each.groupBy(*GROUP_FAMILY).agg(
+        _total("charged").alias("interest_income_gbp"), _total("earned").alias("interest_cost_gbp"),
+        (_total("charged") - _total("earned")).alias("net_interest_gbp"),
+        F.coalesce(F.sum("paid"), F.lit(0)).alias("fee_income_gbp"), *_count_columns())
     net, fee, book = F.col("net_interest_gbp"), F.col("fee_income_gbp"), F.col("total_book_gbp")
     history = W.partitionBy("product_type", "region", "customer_segment").orderBy("snapshot_month", "product_family")
     two_families = F.lag("snapshot_month").over(history) == F.col("snapshot_month")
@@ -231,16 +262,15 @@ def executive_summary_from_base(
         txn.filter(month_of(F.col("transaction_date")) == F.lit(first)))
     star = account_star(month, products, customers).join(
         active_in_month, ["customer_id", "snapshot_month"], "left")
-    active = F.col("account_status") == "Active"
-    balance = F.abs("balance_gbp")
     fee = F.when(F.col("txn_count").isNotNull(), F.col("fees_charged_gbp"))
-    sums = star.agg(
-        F.sum("interest_charged_gbp").alias("charged"), F.sum("interest_earned_gbp").alias("earned"),
-        F.coalesce(F.sum(fee), F.lit(0)).alias("fees"),
-        F.count_distinct(F.when(active, F.col("customer_id"))).alias("customers"),
-        F.count(F.when(active, F.col("account_id"))).alias("accounts"),
-        F.sum(F.when(active, balance)).alias("book"),
-        F.sum(F.when(active & (F.col("days_in_arrears") > 0), 1).otherwise(0)).alias("arrears"),
+    each = _per_account(star, [], F.col("account_status") == "Active", fee)
+    sums = each.agg(
+        _total("charged").alias("charged"), _total("earned").alias("earned"),
+        F.coalesce(_total("paid"), F.lit(0)).alias("fees"),
+        F.count_distinct(F.when(F.col("counted"), F.col("customer_id"))).alias("customers"),
+        F.count(F.when(F.col("counted"), F.col("account_id"))).alias("accounts"),
+        _total("book").alias("book"),
+        F.sum("in_arrears").alias("arrears"),
     )
     net = F.col("charged") - F.col("earned")
     return sums.select(

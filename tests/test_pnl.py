@@ -148,3 +148,20 @@ def test_view_equals_its_parts_joined(spark, sf_small):
     assert view.exceptAll(parts).count() == 0 and parts.exceptAll(view).count() == 0
     unknown = view.filter("region is null")
     assert unknown.count() > 0 and unknown.filter("active_accounts is not null or fee <> 0").count() == 0
+
+
+def test_repeated_account_rows_count_once(spark):
+    """An account that was landed twice is still one account of one customer, in every report."""
+    once = [dict(account_id="A1", balance_gbp=10, days_in_arrears=5), dict(account_id="A2", balance_gbp=20),
+            dict(account_id="A3", account_status="Dormant")]
+    for rows in (once, once + once[:1] * 3, once * 2):
+        args = accounts(spark, rows), dim_products(spark), customers(spark, [{}])
+        txn = transactions(spark, [{}])
+        [counts] = pnl.account_counts(*args).collect()
+        [view] = pnl.monthly_pnl(*args, txn).collect()
+        [base] = pnl.executive_summary_from_base(*args, txn, AS_OF).collect()
+        assert (counts.active_accounts, counts.active_customers) == (2, 1)
+        assert (view.active_accounts, view.active_customers) == (2, 1)
+        assert (base.total_active_accounts, base.total_active_customers) == (2, 1)
+    plan = pnl.account_counts(*args)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "ObjectHash" not in plan
