@@ -8,33 +8,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import rules
-from ledgerline.functions import distinct_months, first_match, years_apart
+from ledgerline.functions import first_match, years_apart
 from ledgerline.functions.dates import months_before
 from ledgerline.operators.ntile import with_ntile
 from ledgerline.session import materialise
 from ledgerline.sources.storage import replace_snapshot
 
 
+#: months from the window's start that one long holds as bits
+_MASK_MONTHS = 63
+
+
 def rfm_raw(txn: DataFrame, as_of: date) -> DataFrame:
     """Activity per customer over the last twelve months, flagged transactions left out.
 
     Recency counts from the day before ``as_of``, so a customer active on ``as_of`` has -1.
+
+    Rows are first grouped by customer and merchant, then by customer, each step a hash
+    aggregation. Months are bits of a long, which groups merge. The window has no end, so a
+    month more than five years past its start is possible: such a row comes a second time,
+    carrying nothing but that month, and its months are counted as merchants are.
     """
     start = months_before(as_of, rules.RFM_WINDOW_MONTHS)
     day = F.col("transaction_date")
     spend = F.when(F.col("transaction_type") == "Debit", F.col("amount_gbp")).otherwise(0)
-    return (
+    month = (F.year(day) - start.year) * 12 + F.month(day) - start.month
+    fits = month < _MASK_MONTHS
+    nothing = F.lit(None)
+
+    def part(merchant: Column, far_month: Column, own: bool) -> Column:
+        return F.struct(
+            merchant.cast("string").alias("merchant_name"), far_month.cast("int").alias("far_month"),
+            (day if own else nothing).cast("date").alias("day"),
+            (spend if own else nothing).cast("decimal(18,2)").alias("spend"),
+            F.lit(1 if own else 0).alias("n"),
+            # the shift is by the low six bits only, so months that don't fit set no bit at all
+            F.when(F.lit(own) & fits, F.call_function("shiftleft", F.lit(1).cast("bigint"), month)).otherwise(
+                F.lit(0).cast("bigint")).alias("months"))
+
+    own = part(F.col("merchant_name"), nothing, True)
+    parts = F.when(fits, F.array(own)).otherwise(F.array(own, part(nothing, month, False)))
+    visits = (
         txn.filter((day >= F.lit(start)) & (F.col("is_flagged") == F.lit(False)))
-        .groupBy("customer_id")
-        .agg(
-            F.datediff(F.lit(as_of - timedelta(days=1)), F.max(day)).alias("recency_days"),
-            distinct_months(day).alias("frequency_months"),
-            F.round(F.sum(spend), 2).alias("monetary_gbp"),
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.count_distinct("merchant_name").alias("unique_merchants"),
-            F.max(day).alias("last_transaction_date"),
-            F.min(day).alias("first_transaction_date"),
-        )
+        .select("customer_id", F.inline(parts))
+        .groupBy("customer_id", "merchant_name", "far_month")
+        .agg(F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.bit_or("months").alias("months"),
+             F.max("day").alias("last"), F.min("day").alias("first"))
+    )
+    return visits.groupBy("customer_id").agg(
+        F.datediff(F.lit(as_of - timedelta(days=1)), F.max("last")).alias("recency_days"),
+        (F.bit_count(F.bit_or("months")) + F.count("far_month")).cast("bigint").alias("frequency_months"),
+        F.round(F.sum("spend").cast("decimal(28,2)"), 2).alias("monetary_gbp"),
+        F.sum("n").alias("total_transactions"),
+        F.count("merchant_name").alias("unique_merchants"),
+        F.max("last").alias("last_transaction_date"),
+        F.min("first").alias("first_transaction_date"),
     )
 
 

@@ -69,3 +69,15 @@ def test_refresh_replaces_snapshot(spark, tmp_path):
     second = rfm.refresh_mv_customer_rfm(
         transactions(spark, [dict(customer_id="C1"), dict(customer_id="C2")]), who, AS_OF, path, stamp)
     assert second.count() == 2
+
+
+def test_raw_counts_months_and_merchants_by_hash_aggregation(spark):
+    """Also months long after the window's start, a missing merchant, and no sorting or copying of all rows."""
+    days = [date(2024, 1, 3), date(2024, 1, 9), date(2024, 12, 1), date(2029, 2, 1), date(2029, 3, 1), date(2041, 3, 1), date(2041, 3, 9)]
+    rows = [dict(transaction_date=d, merchant_name=m, amount_gbp=1) for d, m in zip(days, ["A", "B", None, "A", "C", "C", None])]
+    df = rfm.rfm_raw(transactions(spark, rows), AS_OF)
+    [r] = df.collect()
+    assert (r.frequency_months, r.unique_merchants, r.total_transactions, r.monetary_gbp) == (5, 3, 7, 7)
+    assert (r.first_transaction_date, r.last_transaction_date) == (days[0], days[-1])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("ObjectHash", "SortAggregate", "Expand", "Sort "))
