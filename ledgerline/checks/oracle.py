@@ -204,6 +204,32 @@ STEPS = {
               FROM fact_transactions LEFT JOIN ref_merchant_categories ON mcc_code = merchant_category_code
               WHERE transaction_date >= {AS_OF} - 30)
         WHERE abroad OR risky GROUP BY customer_id""",
+    "geo_moves": f"""
+        SELECT c.*, customer_segment, lag(country) OVER (PARTITION BY customer_id ORDER BY day, country) AS previous,
+               day - lag(day) OVER (PARTITION BY customer_id ORDER BY day, country) AS days_since
+        FROM (SELECT customer_id, transaction_date AS day, merchant_country AS country, count(*) AS payments, sum(amount_gbp) AS amount
+              FROM fact_transactions WHERE transaction_date >= {AS_OF} - 365 AND merchant_country IS NOT NULL GROUP BY ALL) c
+        JOIN (SELECT customer_id, customer_segment FROM dim_customers) USING (customer_id)""",
+    "geo_steps": f"""
+        SELECT day, customer_segment, CASE WHEN days_since = 0 THEN 'same day' WHEN days_since <= 3 THEN '1-3 days'
+                                           WHEN days_since <= 14 THEN '4-14 days' ELSE '15+ days' END AS gap,
+               previous, country, 1 AS n FROM geo_moves WHERE previous IS NOT NULL
+        UNION ALL SELECT day, customer_segment, 'same day', country, country, payments - 1 FROM geo_moves WHERE payments > 1""",
+    "geo_scored": f"""
+        SELECT m.*, (coalesce((SELECT sum(n) FROM geo_steps l WHERE l.day < {AS_OF} - 30 AND l.customer_segment = m.customer_segment AND l.gap = m.gap
+                               AND l.previous = m.previous AND l.country = m.country), 0)::double
+                     + 10.0::double * ((coalesce(p.n, 0)::double * 249.0::double + 1.0::double)
+                                       / ((coalesce(t.n, 0)::double + 1.0::double) * 249.0::double)))
+                    / (coalesce(s.n, 0)::double + 10.0::double) AS probability
+        FROM (SELECT *, CASE WHEN days_since = 0 THEN 'same day' WHEN days_since <= 3 THEN '1-3 days'
+                             WHEN days_since <= 14 THEN '4-14 days' ELSE '15+ days' END AS gap
+              FROM geo_moves WHERE previous IS NOT NULL AND day >= {AS_OF} - 30) m
+        LEFT JOIN (SELECT customer_segment, gap, previous, sum(n) AS n FROM geo_steps WHERE day < {AS_OF} - 30 GROUP BY ALL) s
+               USING (customer_segment, gap, previous)
+        LEFT JOIN (SELECT customer_segment, country, sum(payments) AS n FROM geo_moves WHERE day < {AS_OF} - 30 GROUP BY ALL) p
+               USING (customer_segment, country)
+        LEFT JOIN (SELECT customer_segment, sum(payments) AS n FROM geo_moves WHERE day < {AS_OF} - 30 GROUP BY ALL) t
+               USING (customer_segment)""",
     "holdings": """
         SELECT customer_id, string_agg(DISTINCT product_type, ',' ORDER BY product_type) AS held_products,
                bool_or(product_type = 'Current Account') AS has_current_account,
@@ -565,6 +591,17 @@ QUERIES = {
     "aml_high_risk_exposure": """
         SELECT * REPLACE (foreign_gbp::double AS foreign_gbp, high_risk_category_gbp::double AS high_risk_category_gbp)
         FROM exposure""",
+    "geo_transitions": """
+        SELECT customer_segment, gap, previous AS previous_country, country AS merchant_country, sum(n)::bigint AS moves
+        FROM geo_steps GROUP BY ALL""",
+    "geo_scores": """
+        SELECT customer_id, customer_segment, day::varchar AS transaction_date, previous AS previous_country,
+               country AS merchant_country, gap, days_since::bigint AS days_since, payments, amount::double AS amount_gbp, probability
+        FROM geo_scored""",
+    "aml_geographic_anomaly": """
+        SELECT customer_id, customer_segment, day::varchar AS transaction_date, previous AS previous_country,
+               country AS merchant_country, gap, payments, amount::double AS amount_gbp, probability,
+               'Geographic anomaly' AS alert_type FROM geo_scored WHERE probability < 0.1""",
     "aml_flag_summary": f"""
         SELECT alert_type, count(*) AS alerts, sum(n)::bigint AS transactions, sum(value)::double AS value_gbp
         FROM (SELECT 'Structuring - Sub-threshold credits' AS alert_type, txn_count AS n, daily_total_gbp AS value
@@ -572,7 +609,7 @@ QUERIES = {
               WHERE rolling_count >= 2 AND rolling_total > 10000 AND transaction_date >= {AS_OF} - 30
               UNION ALL SELECT 'Velocity - Unusual daily spend spike', txn_count, daily_spend FROM velocity
               UNION ALL SELECT 'Round-amount repetition', n, total FROM round_groups
-              UNION ALL SELECT 'Geographic anomaly', foreign_txns, foreign_gbp FROM exposure WHERE foreign_txns > 0)
+              UNION ALL SELECT 'Geographic anomaly', payments, amount FROM geo_scored WHERE probability < 0.1)
         GROUP BY alert_type""",
     # ---- profit and loss
     "pnl_net_interest": f"""

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.operators.groups import latest_per_key
-from ledgerline.plans import aml, churn, churn_model, cross_sell, pnl, rfm
+from ledgerline.plans import aml, churn, churn_model, cross_sell, geography, pnl, rfm
 from ledgerline.session import materialise, scratch_path
 from ledgerline.sources import dimensions, order_star, staging, storage
 from ledgerline.sources.order_star import AS_OF, Star
@@ -313,7 +313,10 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "aml_round_amount_alerts": lambda s: aml.aml_round_amount(s.transactions, AS_OF),
         "aml_round_amount_exact": lambda s: aml.aml_round_amount(s.transactions, AS_OF, exact=True),
         "aml_high_risk_exposure": lambda s: aml.high_risk_exposure(s.transactions, s.merchant_categories, AS_OF),
-        "aml_flag_summary": lambda s: aml.aml_flag_summary(s.transactions, s.customers, s.merchant_categories, AS_OF),
+        "geo_transitions": lambda s: geography.transition_counts(geography.country_moves(s.transactions, s.customers, AS_OF)),
+        "geo_scores": lambda s: geography.geographic_scores(s.transactions, s.customers, AS_OF),
+        "aml_geographic_anomaly": lambda s: geography.aml_geographic_anomaly(s.transactions, s.customers, AS_OF),
+        "aml_flag_summary": lambda s: aml.aml_flag_summary(s.transactions, s.customers, AS_OF),
         # profit and loss
         "pnl_net_interest": lambda s: pnl.net_interest(s.accounts, s.products, s.customers),
         "pnl_fee_income": lambda s: pnl.fee_income(s.accounts, s.products, s.customers, s.transactions),

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from ledgerline import rules
 from ledgerline.functions import first_match, round_ratio, safe_ratio
+from ledgerline.plans.geography import aml_geographic_anomaly
 
 # ---------------------------------------------------------------- structuring
 
@@ -295,8 +296,8 @@ def high_risk_exposure(txn: DataFrame, categories: DataFrame, as_of: date, sort:
     return _finish(out, None, sort, F.desc("foreign_gbp"), "customer_id")
 
 
-def aml_flag_summary(txn: DataFrame, customers: DataFrame, categories: DataFrame, as_of: date) -> DataFrame:
-    """Alerts, transactions and value of each alert type over the last thirty days."""
+def aml_flag_summary(txn: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
+    """Alerts, transactions and value of each alert type over the last thirty days. Runs the job of the geographic scores."""
     since = _days_before(as_of, rules.ROUND_DAYS)
     structuring = aml_structuring(txn, customers, sort=False).filter(F.col("transaction_date") >= since).select(
         "alert_type", F.col("txn_count").alias("n"), F.col("daily_total_gbp").alias("value"))
@@ -304,9 +305,8 @@ def aml_flag_summary(txn: DataFrame, customers: DataFrame, categories: DataFrame
         "alert_type", F.col("txn_count").alias("n"), F.col("todays_spend_gbp").alias("value"))
     rounded = aml_round_amount(txn, as_of, sort=False).select(
         "alert_type", F.col("frequency_30d").alias("n"), F.col("total_exposure_gbp").alias("value"))
-    abroad = high_risk_exposure(txn, categories, as_of, sort=False).filter("foreign_txns > 0").select(
-        F.lit("Geographic anomaly").alias("alert_type"), F.col("foreign_txns").alias("n"),
-        F.col("foreign_gbp").alias("value"))
+    abroad = aml_geographic_anomaly(txn, customers, as_of, sort=False).select(
+        "alert_type", F.col("payments").alias("n"), F.col("amount_gbp").alias("value"))
     return (
         structuring.unionByName(velocity).unionByName(rounded).unionByName(abroad)
         .groupBy("alert_type")

@@ -56,6 +56,14 @@ ROUND_SEVERITY = [  # count at least, total above
 ]
 ROUND_ALERT = "Round-amount repetition"
 
+# --- geographic anomaly: a country against the one before
+GEO_HISTORY_DAYS, GEO_RECENT_DAYS = 365, 30
+GEO_GAPS, GEO_GAP_OTHER = [(0, "same day"), (3, "1-3 days"), (14, "4-14 days")], "15+ days"  # days at most
+GEO_COUNTRIES = 249  # codes of ISO 3166-1
+GEO_PRIOR, GEO_MAX_PROBABILITY = 10, 0.1
+GEO_NO_SEGMENT = "Unknown"
+GEO_ALERT = "Geographic anomaly"
+
 SEVERITY_OTHER = "Low"
 
 # --- churn

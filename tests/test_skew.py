@@ -22,7 +22,7 @@ SMALL_PARTITIONS = {
 NAMES = [
     "rfm_segments", "churn_labels", "churn_txn_features", "churn_account_features", "ml_churn_features",
     "product_holdings", "cross_sell", "structuring_daily", "structuring_transaction_ids", "aml_structuring_alerts",
-    "aml_structuring_calendar", "aml_layering_daily", "aml_velocity_alerts", "aml_round_amount_alerts", "aml_high_risk_exposure",
+    "aml_structuring_calendar", "aml_layering_daily", "geo_transitions", "aml_geographic_anomaly", "aml_velocity_alerts", "aml_round_amount_alerts", "aml_high_risk_exposure",
     "pnl_net_interest", "pnl_fee_income", "pnl_fee_income_dedup", "pnl_account_counts", "v_monthly_pnl",
     "executive_summary_from_base", "mcc_category",
 ]
