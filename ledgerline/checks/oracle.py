@@ -477,6 +477,7 @@ QUERIES = {
     "rfm_scored": f"SELECT customer_id, {_RFM_DATES}, r_score, f_score, m_score FROM rfm_scored",
     "rfm_segments": _SEGMENTS,
     "mv_customer_rfm": _SEGMENTS.replace("churn_risk FROM", "churn_risk, '2024-12-31 00:00:00' AS computed_at FROM"),
+    "mv_customer_rfm_next_day": _SEGMENTS.replace("churn_risk FROM", "churn_risk, '2024-12-31 00:00:00' AS computed_at FROM"),
     "rfm_segment_summary": """
         SELECT rfm_segment, sum(n)::bigint AS customers, sum(spend)::double / sum(n) AS avg_monetary_gbp,
                arg_min(churn_risk, (-n, churn_risk)) AS churn_risk

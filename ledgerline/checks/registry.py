@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,7 +69,16 @@ def _pnl(s: Star, **kw) -> DataFrame:
 
 
 def _mv_customer_rfm(s: Star) -> DataFrame:
-    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, scratch_path(s.spark, "mv_customer_rfm"), run_stamp())
+    return rfm.refresh_mv_customer_rfm(s.transactions, s.customers, AS_OF, "mv_customer_rfm", run_stamp())
+
+
+def _mv_customer_rfm_next_day(s: Star) -> DataFrame:
+    """Refreshed for the day before, then for the day itself, which reads that day's transactions only."""
+    kept, before = scratch_path(s.spark, "customer_activity"), AS_OF - timedelta(days=1)
+    for day, since in ((before, None), (AS_OF, before)):
+        out = rfm.refresh_mv_customer_rfm(
+            s.transactions, s.customers, day, "mv_customer_rfm_daily", run_stamp(), kept, since)
+    return out
 
 
 def _rfm_scored(s: Star) -> DataFrame:
@@ -281,6 +290,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "rfm_scored": _rfm_scored,
         "rfm_segments": lambda s: rfm.rfm_segments(s.transactions, s.customers, AS_OF),
         "mv_customer_rfm": _mv_customer_rfm,
+        "mv_customer_rfm_next_day": _mv_customer_rfm_next_day,
         "rfm_segment_summary": lambda s: rfm.rfm_segment_summary(
             rfm.rfm_segments(s.transactions, s.customers, AS_OF, sort=False)),
         # churn

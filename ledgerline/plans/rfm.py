@@ -11,50 +11,64 @@ from ledgerline import rules
 from ledgerline.functions import first_match, years_apart
 from ledgerline.functions.dates import months_before
 from ledgerline.operators.ntile import with_ntile
+from ledgerline.schemas import ACTIVITY
 from ledgerline.session import materialise
-from ledgerline.sources.storage import replace_snapshot
+from ledgerline.sources.storage import replace_partitions, replace_snapshot
 
 
 #: months from the window's start that one long holds as bits
 _MASK_MONTHS = 63
 
 
+def _unflagged(txn: DataFrame, as_of: date) -> DataFrame:
+    """The window's transactions as ``customer_id, transaction_date, merchant_name, spend, n``."""
+    spend = F.when(F.col("transaction_type") == "Debit", F.col("amount_gbp")).otherwise(0)
+    return txn.filter(
+        (F.col("transaction_date") >= F.lit(_window_start(as_of))) & (F.col("is_flagged") == F.lit(False))
+    ).select("customer_id", "transaction_date", "merchant_name", spend.cast("decimal(18,2)").alias("spend"),
+             F.lit(1).cast("bigint").alias("n"))
+
+
+def _window_start(as_of: date) -> date:
+    return months_before(as_of, rules.RFM_WINDOW_MONTHS)
+
+
 def rfm_raw(txn: DataFrame, as_of: date) -> DataFrame:
     """Activity per customer over the last twelve months, flagged transactions left out.
 
     Recency counts from the day before ``as_of``, so a customer active on ``as_of`` has -1.
+    """
+    return _per_customer(_unflagged(txn, as_of), as_of)
+
+
+def _per_customer(rows: DataFrame, as_of: date) -> DataFrame:
+    """The figures of :func:`rfm_raw` from transactions or from sums of them by day and merchant.
 
     Rows are first grouped by customer and merchant, then by customer, each step a hash
     aggregation. Months are bits of a long, which groups merge. The window has no end, so a
     month more than five years past its start is possible: such a row comes a second time,
     carrying nothing but that month, and its months are counted as merchants are.
     """
-    start = months_before(as_of, rules.RFM_WINDOW_MONTHS)
-    day = F.col("transaction_date")
-    spend = F.when(F.col("transaction_type") == "Debit", F.col("amount_gbp")).otherwise(0)
+    start, day = _window_start(as_of), F.col("transaction_date")
     month = (F.year(day) - start.year) * 12 + F.month(day) - start.month
     fits = month < _MASK_MONTHS
     nothing = F.lit(None)
+    types = {f.name: f.dataType for f in rows.schema}
 
-    def part(merchant: Column, far_month: Column, own: bool) -> Column:
+    def part(far_month: Column, own: bool) -> Column:
+        names = ("merchant_name", "transaction_date", "spend", "n")
         return F.struct(
-            merchant.cast("string").alias("merchant_name"), far_month.cast("int").alias("far_month"),
-            (day if own else nothing).cast("date").alias("day"),
-            (spend if own else nothing).cast("decimal(18,2)").alias("spend"),
-            F.lit(1 if own else 0).alias("n"),
+            *[(F.col(c) if own else nothing).cast(types[c]).alias(c) for c in names],
+            far_month.cast("int").alias("far_month"),
             # the shift is by the low six bits only, so months that don't fit set no bit at all
             F.when(F.lit(own) & fits, F.call_function("shiftleft", F.lit(1).cast("bigint"), month)).otherwise(
                 F.lit(0).cast("bigint")).alias("months"))
 
-    own = part(F.col("merchant_name"), nothing, True)
-    parts = F.when(fits, F.array(own)).otherwise(F.array(own, part(nothing, month, False)))
-    visits = (
-        txn.filter((day >= F.lit(start)) & (F.col("is_flagged") == F.lit(False)))
-        .select("customer_id", F.inline(parts))
-        .groupBy("customer_id", "merchant_name", "far_month")
-        .agg(F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.bit_or("months").alias("months"),
-             F.max("day").alias("last"), F.min("day").alias("first"))
-    )
+    own = part(nothing, True)
+    parts = F.when(fits, F.array(own)).otherwise(F.array(own, part(month, False)))
+    visits = rows.select("customer_id", F.inline(parts)).groupBy("customer_id", "merchant_name", "far_month").agg(
+        F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.bit_or("months").alias("months"),
+        F.max("transaction_date").alias("last"), F.min("transaction_date").alias("first"))
     return visits.groupBy("customer_id").agg(
         F.datediff(F.lit(as_of - timedelta(days=1)), F.max("last")).alias("recency_days"),
         (F.bit_count(F.bit_or("months")) + F.count("far_month")).cast("bigint").alias("frequency_months"),
@@ -66,6 +80,27 @@ def rfm_raw(txn: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def refresh_activity(txn: DataFrame, as_of: date, path: str, since: date | None = None) -> DataFrame:
+    """Bring the stored sums by customer, day and merchant up to date; returns all of them.
+
+    Only days after ``since``, the as-of date of the refresh before, are read from the facts
+    and replaced; ``None`` reads the whole window. Days that were changed later than that are
+    read again by passing an earlier ``since``. Expired days stay until
+    :func:`ledgerline.sources.storage.expire_path` removes them; readers filter by day.
+    """
+    rows = _unflagged(txn, as_of)
+    if since is not None:
+        rows = rows.filter(F.col("transaction_date") > F.lit(since))
+    daily = rows.groupBy("customer_id", "transaction_date", "merchant_name").agg(
+        F.sum("spend").alias("spend"), F.sum("n").alias("n"))
+    return replace_partitions(daily, ACTIVITY, path)
+
+
+def rfm_raw_from_activity(activity: DataFrame, as_of: date) -> DataFrame:
+    """:func:`rfm_raw` from the stored sums: days that have left the window are pruned, no fact is read."""
+    return _per_customer(activity.filter(F.col("transaction_date") >= F.lit(_window_start(as_of))), as_of)
+
+
 def rfm_scored(raw: DataFrame) -> DataFrame:
     """Quintile scores 1 to 5; ties go by ``customer_id``. The most recent customers score 5.
 
@@ -113,7 +148,11 @@ def rfm_profiles(scored: DataFrame, customers: DataFrame, as_of: date) -> DataFr
 
 def prepare_rfm(txn: DataFrame, as_of: date, folder: str | None = None) -> DataFrame:
     """The scored activity, stored below ``folder``. Runs the jobs: the tiles' ends are looked up in stored rows."""
-    return materialise(rfm_scored(materialise(rfm_raw(txn, as_of), "rfm_raw", folder)), "rfm_scored", folder)
+    return _prepared(rfm_raw(txn, as_of), folder)
+
+
+def _prepared(raw: DataFrame, folder: str | None = None) -> DataFrame:
+    return materialise(rfm_scored(materialise(raw, "rfm_raw", folder)), "rfm_scored", folder)
 
 
 def rfm_segments(
@@ -131,10 +170,18 @@ def rfm_segments(
 
 
 def refresh_mv_customer_rfm(
-    txn: DataFrame, customers: DataFrame, as_of: date, path: str, run_ts: Column | None = None
+    txn: DataFrame, customers: DataFrame, as_of: date, name: str, run_ts: Column | None = None,
+    activity_path: str | None = None, since: date | None = None,
 ) -> DataFrame:
-    """Daily snapshot of the segmentation, so readers need not scan twelve months again."""
-    return replace_snapshot(rfm_segments(txn, customers, as_of, run_ts, sort=False), path)
+    """Daily snapshot of the segmentation behind the view ``name``, so readers need not scan twelve months again.
+
+    With ``activity_path`` the refresh doesn't either: sums by day are kept there, and only
+    the days after ``since`` are read from the facts (see :func:`refresh_activity`).
+    """
+    scored = None
+    if activity_path is not None:
+        scored = _prepared(rfm_raw_from_activity(refresh_activity(txn, as_of, activity_path, since), as_of))
+    return replace_snapshot(rfm_segments(txn, customers, as_of, run_ts, sort=False, scored=scored), name)
 
 
 def rfm_segment_summary(segments: DataFrame) -> DataFrame:

@@ -211,6 +211,18 @@ EXECUTIVE_SUMMARY = Table(
     ),
 )
 
+ACTIVITY = Table(
+    name="customer_activity",
+    comment="Unflagged transactions summed by customer, day and merchant; what the segmentation needs of them",
+    key=("customer_id", "transaction_date", "merchant_name"),
+    partition_by=("transaction_date",),
+    cluster_by=("customer_id",),
+    schema=_schema(
+        ("customer_id", _STR, _REQ), ("transaction_date", _DATE, _REQ), ("merchant_name", _STR),
+        ("spend", T.DecimalType(28, 2)), ("n", _INT),
+    ),
+)
+
 STAR = {t.name: t for t in (
     CUSTOMERS, PRODUCTS, TRANSACTIONS, ACCOUNTS, DATES, MERCHANT_CATEGORIES,
 )}

@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -5,9 +6,10 @@ from frames import AS_OF, customers, transactions
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.plans import rfm
 from ledgerline.session import materialise
-from ledgerline.sources import order_star
+from ledgerline.sources import order_star, storage
 
 
 def test_raw_edges(spark):
@@ -61,8 +63,8 @@ def test_partitioning_does_not_matter(spark, sf_small):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_refresh_replaces_snapshot(spark, tmp_path):
-    who, path = customers(spark, [{}]), str(tmp_path / "mv")
+def test_refresh_replaces_snapshot(spark):
+    who, path = customers(spark, [{}]), "mv_test_refresh"
     stamp = F.lit(AS_OF).cast("timestamp")
     first = rfm.refresh_mv_customer_rfm(transactions(spark, [{}]), who, AS_OF, path, stamp)
     assert first.count() == 1 and "computed_at" in first.columns
@@ -81,3 +83,28 @@ def test_raw_counts_months_and_merchants_by_hash_aggregation(spark):
     assert (r.first_transaction_date, r.last_transaction_date) == (days[0], days[-1])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(step in plan for step in ("ObjectHash", "SortAggregate", "Expand", "Sort "))
+
+
+def test_daily_refresh_reads_the_new_day_only(spark, tmp_path):
+    """Equal to the whole window each day, also when days expire, a refresh is repeated and rows lie in the future."""
+    r = random.Random(11)
+    kept, rows = str(tmp_path / "activity"), []
+    for _ in range(1500):
+        day = AS_OF - timedelta(days=r.choice([r.randint(-3, 5), r.randint(0, 372)]))
+        rows.append(dict(customer_id=f"C{r.randint(0, 60)}", transaction_date=day, amount_gbp=r.randint(1, 900),
+                         merchant_name=r.choice(["A", "B", "C", None]), transaction_type=r.choice(["Debit", "Credit"]),
+                         is_flagged=r.choice([False, False, False, True, None])))
+    txn = transactions(spark, rows)
+    since = None
+    for day in (AS_OF - timedelta(days=2), AS_OF - timedelta(days=1), AS_OF, AS_OF):
+        given = txn if since is None else txn.filter(F.col("transaction_date") > F.lit(since))  # all that it may need
+        got = rfm.rfm_raw_from_activity(rfm.refresh_activity(given, day, kept, since), day)
+        wanted = rfm.rfm_raw(txn, day)
+        assert got.schema.names == wanted.schema.names
+        assert sorted(got.collect()) == sorted(wanted.collect())
+        since = day - timedelta(days=1) if day == AS_OF else day
+    path = str(tmp_path / "facts")
+    stored = storage.write_table(txn, schemas.TRANSACTIONS, path)
+    rows_read = rfm._unflagged(stored, AS_OF).filter(F.col("transaction_date") > F.lit(AS_OF - timedelta(days=1)))
+    plan = rows_read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan and "(transaction_date#" in plan
