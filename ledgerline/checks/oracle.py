@@ -612,6 +612,24 @@ QUERIES = {
               UNION ALL SELECT 'Round-amount repetition', n, total FROM round_groups
               UNION ALL SELECT 'Geographic anomaly', payments, amount FROM geo_scored WHERE probability < 0.1)
         GROUP BY alert_type""",
+    # ---- mergeable state
+    "active_customer_totals": """
+        SELECT snapshot_month::varchar AS snapshot_month, 'group' AS level, product_type, region, customer_segment,
+               count(DISTINCT customer_id) AS active_customers FROM account_rows WHERE account_status = 'Active' GROUP BY ALL
+        UNION ALL SELECT snapshot_month::varchar, 'region', NULL, region, NULL, count(DISTINCT customer_id)
+        FROM account_rows WHERE account_status = 'Active' GROUP BY ALL
+        UNION ALL SELECT snapshot_month::varchar, 'bank', NULL, NULL, NULL, count(DISTINCT customer_id)
+        FROM account_rows WHERE account_status = 'Active' GROUP BY ALL""",
+    "accounts_by_period": f"""
+        SELECT p::bigint AS period_days, channel, count(DISTINCT account_id) AS exact_accounts, true AS within_bounds
+        FROM fact_transactions JOIN (VALUES (7), (30), (90), (365)) v(p)
+             ON transaction_date BETWEEN {AS_OF} - (p - 1) AND {AS_OF} GROUP BY ALL""",
+    "spend_baselines": f"""
+        SELECT p::bigint AS period_days, customer_segment, q::double AS quantile, count(*) AS customer_days, true AS within_bound
+        FROM (SELECT DISTINCT customer_id, transaction_date FROM fact_transactions WHERE transaction_type = 'Debit')
+        JOIN (SELECT customer_id, customer_segment FROM dim_customers) USING (customer_id)
+        JOIN (VALUES (7), (30), (90), (365)) v(p) ON transaction_date BETWEEN {AS_OF} - (p - 1) AND {AS_OF}
+        CROSS JOIN (VALUES (0.5), (0.75), (0.95)) w(q) GROUP BY ALL""",
     # ---- profit and loss
     "pnl_net_interest": f"""
         SELECT {_GROUP}, income::double AS interest_income_gbp, cost::double AS interest_cost_gbp,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerline import schemas
 from ledgerline.operators.groups import latest_per_key
-from ledgerline.plans import aml, churn, churn_model, cross_sell, geography, pnl, rfm
+from ledgerline.plans import aml, churn, churn_model, cross_sell, geography, mergeable, pnl, rfm
 from ledgerline.session import materialise, scratch_path
 from ledgerline.sources import dimensions, order_star, staging, storage
 from ledgerline.sources.order_star import AS_OF, Star
@@ -135,6 +135,40 @@ def _approx_distinct_accounts(s: Star) -> DataFrame:
                           (F.abs(F.col("approx") - F.col("exact_accounts")) <= bound).alias("within_bound"))
 
 
+def _active_customer_totals(s: Star) -> DataFrame:
+    """Half of the customers are numbered first, the others later, as they would be when they join."""
+    early = s.customers.filter(F.pmod(F.xxhash64("customer_id"), F.lit(2)) == 0)
+    first = materialise(mergeable.customer_numbers(early), "customer_numbers")
+    numbers = materialise(mergeable.customer_numbers(s.customers, first), "customer_numbers")
+    stored = materialise(
+        mergeable.active_customer_bitmaps(s.accounts, s.products, s.customers, numbers), "active_customer_bitmaps")
+    return mergeable.active_customer_totals(stored)
+
+
+def _accounts_by_period(s: Star) -> DataFrame:
+    """Exact distinct accounts per period and channel, and whether they lie within the sketches' bounds."""
+    stored = materialise(mergeable.account_sketches(s.transactions), "account_sketches")
+    exact = s.transactions.select("channel", "account_id", F.explode(mergeable.periods_of(AS_OF)).alias("period_days")).groupBy(
+        "period_days", "channel").agg(F.count_distinct("account_id").alias("exact_accounts"))
+    inside = F.col("exact_accounts").between(F.col("at_least"), F.col("at_most"))
+    return mergeable.accounts_by_period(stored, AS_OF).join(exact, ["period_days", "channel"]).select(
+        "period_days", "channel", "exact_accounts", inside.alias("within_bounds"))
+
+
+def _spend_baselines(s: Star) -> DataFrame:
+    """Customer days per period and segment, and whether each quantile's rank is within the sketches' bound."""
+    spend = materialise(mergeable.daily_spend(s.transactions, s.customers), "daily_spend")
+    stored = materialise(mergeable.spend_sketches(spend), "spend_sketches")
+    found = mergeable.spend_baselines(stored, AS_OF).withColumnRenamed("spend", "estimate")
+    rows = spend.select("customer_segment", "spend", F.explode(mergeable.periods_of(AS_OF)).alias("period_days"))
+    keys = ["period_days", "customer_segment", "quantile", "customer_days"]
+    ranked = found.join(rows, ["period_days", "customer_segment"]).groupBy(*keys).agg(
+        (F.count_if(F.col("spend") < F.col("estimate")) / F.col("customer_days")).alias("below"),
+        (F.count_if(F.col("spend") <= F.col("estimate")) / F.col("customer_days")).alias("upto"))
+    off = F.col("quantile").between(F.col("below") - mergeable.KLL_BOUND, F.col("upto") + mergeable.KLL_BOUND)
+    return ranked.select(*keys, off.alias("within_bound"))
+
+
 def _dim_date(s: Star) -> DataFrame:
     """The whole calendar with each day's number of transactions."""
     daily = s.transactions.groupBy(F.col("transaction_date").alias("date_id")).agg(F.count(F.lit(1)).alias("transactions"))
@@ -342,6 +376,9 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "mcc_category": _mcc_category,
         "approx_distinct_merchants": _approx_distinct_merchants,
         "approx_distinct_accounts": _approx_distinct_accounts,
+        "active_customer_totals": _active_customer_totals,
+        "accounts_by_period": _accounts_by_period,
+        "spend_baselines": _spend_baselines,
         "staging_validate": _staging_validate,
         "storage_accounts": _storage_accounts,
         "staging_to_core": _staging_to_core,
