@@ -696,6 +696,12 @@ QUERIES = {
         UNION ALL SELECT 'check:amount_positive', count(*) FILTER (amount_gbp <= 0) FROM fact_transactions
         UNION ALL SELECT 'unique:transaction_id', count(*) - count(DISTINCT (l_orderkey, l_linenumber))
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "staging_reload": """
+        SELECT load::bigint AS load, snapshot_month::varchar AS what, count(*) AS rows
+        FROM fact_accounts CROSS JOIN (VALUES (1), (2)) v(load) GROUP BY ALL
+        UNION ALL SELECT 1, 'rejected unique:account_id,snapshot_month', count(*) FROM fact_accounts WHERE snapshot_month = DATE '2024-11-01'
+        UNION ALL SELECT 2, 'rejected unique:account_id,snapshot_month', count(*) + count(*) FILTER (snapshot_month = DATE '2024-11-01')
+        FROM fact_accounts""",
     "staging_to_core": """
         SELECT outcome, what, count(*) AS rows
         FROM (SELECT CASE WHEN len(broken) = 0 THEN 'stored' ELSE 'rejected' END AS outcome,

@@ -207,6 +207,22 @@ def _staging_to_core(s: Star) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
+def _staging_reload(s: Star) -> DataFrame:
+    """The accounts land with one month twice and are loaded two times over: what each load stores and rejects."""
+    landed, core = scratch_path(s.spark, "landed_accounts"), scratch_path(s.spark, "core_accounts")
+    again = s.accounts.filter("snapshot_month = DATE '2024-11-01'")
+    s.accounts.unionByName(again).select(schemas.ACCOUNTS.schema.names).write.option("header", True).csv(landed)
+    out = []
+    for load in (1, 2):
+        stored, rejected = staging.load(s.spark, schemas.ACCOUNTS, landed, core, append=load == 2)
+        out += [stored.groupBy(F.col("snapshot_month").cast("string").alias("what")).count(),
+                rejected.select(F.explode("broken_rules").alias("rule")).groupBy(F.concat(F.lit("rejected "), "rule").alias("what")).count()]
+        if load == 1:
+            out = [materialise(df, "first_load") for df in out]
+    counted = [df.select(F.lit(1 + i // 2).alias("load"), "what", F.col("count").alias("rows")) for i, df in enumerate(out)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
 def _retention(s: Star) -> DataFrame:
     kept = storage.retained(s.transactions, schemas.TRANSACTIONS, date(2029, 6, 30))
     return kept.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("transactions"))
@@ -402,6 +418,7 @@ def star_queries() -> dict[str, Callable[[Star], DataFrame]]:
         "staging_validate": _staging_validate,
         "storage_accounts": _storage_accounts,
         "staging_to_core": _staging_to_core,
+        "staging_reload": _staging_reload,
         "retention_transactions": _retention,
     }
 
