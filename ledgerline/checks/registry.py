@@ -116,23 +116,32 @@ def _mcc_category(s: Star) -> DataFrame:
         F.count(F.lit(1)).alias("transactions"), F.sum("amount_gbp").alias("amount_gbp"))
 
 
+#: the estimates' relative standard error
+APPROX_ERROR = 0.01
+
+
+def _distinct_per_channel(txn: DataFrame, column: str) -> DataFrame:
+    """Exact and estimated number of values per channel.
+
+    Values are reduced to one row each first: an exact count beside the estimate in one step
+    would keep a sketch for every value. A repeated value doesn't change a sketch.
+    """
+    return txn.select("channel", column).distinct().groupBy("channel").agg(
+        F.count(column).alias("exact"), F.approx_count_distinct(column, APPROX_ERROR).alias("approx"))
+
+
 def _approx_distinct_merchants(s: Star) -> DataFrame:
-    error = 0.01
-    exact, approx = F.col("exact_merchants"), F.col("approx_merchants")
-    return s.transactions.groupBy("channel").agg(
-        F.count_distinct("merchant_name").alias("exact_merchants"),
-        F.approx_count_distinct("merchant_name", error).alias("approx_merchants"),
-    ).select("channel", "exact_merchants", (F.abs(approx - exact) <= exact * 3 * error).alias("within_error"))
+    exact, approx = F.col("exact"), F.col("approx")
+    return _distinct_per_channel(s.transactions, "merchant_name").select(
+        "channel", exact.alias("exact_merchants"), (F.abs(approx - exact) <= exact * 3 * APPROX_ERROR).alias("within_error"))
 
 
 def _approx_distinct_accounts(s: Star) -> DataFrame:
     """The estimate of thousands of accounts per channel, held against three standard errors."""
-    error = 0.01
-    counted = s.transactions.groupBy("channel").agg(
-        F.count_distinct("account_id").alias("exact_accounts"), F.approx_count_distinct("account_id", error).alias("approx"))
-    bound = F.floor(F.col("exact_accounts") * 3 * error)
-    return counted.select("channel", "exact_accounts", bound.alias("bound"),
-                          (F.abs(F.col("approx") - F.col("exact_accounts")) <= bound).alias("within_bound"))
+    exact, bound = F.col("exact"), F.floor(F.col("exact") * 3 * APPROX_ERROR)
+    return _distinct_per_channel(s.transactions, "account_id").select(
+        "channel", exact.alias("exact_accounts"), bound.alias("bound"),
+        (F.abs(F.col("approx") - exact) <= bound).alias("within_bound"))
 
 
 def _active_customer_totals(s: Star) -> DataFrame:

@@ -38,6 +38,13 @@ def test_catalogue_join_does_not_shuffle_accounts(star):
     assert "BroadcastHashJoin [product_id" in plan and "hashpartitioning(product_id" not in plan
 
 
+@pytest.mark.parametrize("name", ["approx_distinct_accounts", "approx_distinct_merchants"])
+def test_estimates_keep_one_sketch_per_channel(star, name):
+    plan = QUERIES[name](star)._jdf.queryExecution().executedPlan().toString()
+    sketches = [line for line in plan.splitlines() if "approx_count_distinct" in line and "keys=[" in line]
+    assert sketches and all(re.search(r"keys=\[channel#\d+\]", line) for line in sketches)
+
+
 def test_summaries_do_not_sort_their_inputs(star):
     plan = QUERIES["aml_flag_summary"](star)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1
