@@ -45,6 +45,12 @@ def test_estimates_keep_one_sketch_per_channel(star, name):
     assert sketches and all(re.search(r"keys=\[channel#\d+\]", line) for line in sketches)
 
 
+def test_snapshots_are_spread_before_they_multiply(star):
+    """Twelve wide rows come of each narrow one; the step before must not be merged by the narrow rows' bytes."""
+    plan = star.accounts._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan[plan.index("Generate explode"):]
+
+
 def test_summaries_do_not_sort_their_inputs(star):
     plan = QUERIES["aml_flag_summary"](star)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1
