@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.plans.pnl import account_star
+from ledgerline.plans.pnl import spread_account_star
 from ledgerline.session import materialise
 
 #: windows that order the new customers to be numbered
@@ -53,7 +53,8 @@ def active_customer_bitmaps(
     """
     number = F.col("customer_number")
     return (
-        account_star(accounts.filter(F.col("account_status") == "Active"), products, customers)
+        spread_account_star(
+            accounts.filter(F.col("account_status") == "Active"), products, customers, ("product_id", "snapshot_month"))
         .select("snapshot_month", "product_type", "region", "customer_segment", "customer_id").distinct()
         .join(numbers, "customer_id")
         .groupBy("snapshot_month", "product_type", "region", "customer_segment", F.bitmap_bucket_number(number).alias("bucket"))

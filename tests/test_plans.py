@@ -51,6 +51,13 @@ def test_snapshots_are_spread_before_they_multiply(star):
     assert "REPARTITION_BY_NUM" in plan[plan.index("Generate explode"):]
 
 
+def test_account_counts_group_where_they_join(star):
+    """One shuffle of the account rows, not merged by their compressed bytes; the next one sees groups only."""
+    plan = QUERIES["pnl_account_counts"](star)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(customer_id#\d+, share#\d+, \d+\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"hashpartitioning\([^)]*account_id", plan)
+
+
 def test_summaries_do_not_sort_their_inputs(star):
     plan = QUERIES["aml_flag_summary"](star)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1
