@@ -1,4 +1,5 @@
 from ledgerline.functions.columns import (
+    deviation_of_sums,
     distinct_months,
     first_match,
     hash_bucket,
@@ -6,10 +7,11 @@ from ledgerline.functions.columns import (
     month_of,
     round_ratio,
     safe_ratio,
+    square_sums,
     years_apart,
 )
 
 __all__ = [
-    "distinct_months", "first_match", "hash_bucket", "mean_of", "month_of", "round_ratio",
-    "safe_ratio", "years_apart",
+    "deviation_of_sums", "distinct_months", "first_match", "hash_bucket", "mean_of", "month_of", "round_ratio",
+    "safe_ratio", "square_sums", "years_apart",
 ]

@@ -72,3 +72,25 @@ def distinct_months(day: Column) -> Column:
     same aggregation counts another column too.
     """
     return F.size(F.collect_set(month_of(day))).cast("bigint")
+
+
+def square_sums(money: Column) -> list[Column]:
+    """What :func:`deviation_of_sums` needs of each group of a first grouping, besides its sum and count."""
+    return [
+        F.try_sum(money * money).alias("squares"), F.sum(money.cast("double") * money.cast("double")).alias("rough_squares"),
+        F.min(money).alias("least"), F.max(money).alias("greatest"),
+    ]
+
+
+def deviation_of_sums(n: Column, total: Column) -> Column:
+    """Sample deviation of a ``decimal(18,2)`` from the sums of a first grouping; NULL for fewer than two values.
+
+    The squares are summed exactly, so nothing cancels. Only where they may not fit 38 digits
+    (the greatest value times the count reaches 1e17) are they summed in double.
+    """
+    least, greatest = F.min("least"), F.max("greatest")
+    count = n.cast("double")
+    fits = F.greatest(F.abs(least), F.abs(greatest)).cast("double") * count < 1e17
+    exact = (n.cast("decimal(20,0)") * F.try_sum("squares") - total * total).cast("double") / (count * (count - 1))
+    rough = F.greatest(F.sum("rough_squares") - total.cast("double") * total.cast("double") / count, F.lit(0.0)) / (count - 1)
+    return F.when(n < 2, None).when(least == greatest, 0.0).when(fits, F.sqrt(exact)).otherwise(F.sqrt(rough))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import rules
-from ledgerline.functions import distinct_months, mean_of, safe_ratio, years_apart
-from ledgerline.functions.dates import months_before
+from ledgerline.functions import deviation_of_sums, mean_of, safe_ratio, square_sums, years_apart
+from ledgerline.functions.dates import MASK_MONTHS, month_bit, month_number, months_before
 
 
 def closes_soon(as_of: date) -> Column:
@@ -31,34 +31,75 @@ def churn_labels_all_closed(accounts: DataFrame, as_of: date) -> DataFrame:
     return per_account.groupBy("customer_id").agg(F.min("closing").cast("bigint").alias("churned"))
 
 
+def _txn_items(rows: DataFrame, start: date) -> DataFrame:
+    """The rows under what is counted of them by distinct values: each comes once under its merchant and, carrying
+    nothing else, once under its category, and under its month when that is too far off to be a bit of ``months``.
+    """
+    month = month_number(F.col("transaction_date"), start)
+    near = month < MASK_MONTHS
+    values = {f.name: f.dataType for f in rows.schema if f.name not in ("customer_id", "merchant_name", "transaction_category")}
+    nothing = F.lit(None)
+
+    def item(own: bool, **counted: Column) -> Column:
+        return F.struct(
+            *[counted.get(c, nothing).cast(kind).alias(c)
+              for c, kind in {"merchant_name": "string", "category": "string", "far_month": "int"}.items()],
+            *[(F.col(c) if own else nothing).cast(kind).alias(c) for c, kind in values.items()],
+            (month_bit(month) if own else F.lit(0).cast("bigint")).alias("months"),
+            F.lit(int(own)).cast("bigint").alias("n"))
+
+    own, category = item(True, merchant_name=F.col("merchant_name")), item(False, category=F.col("transaction_category"))
+    items = F.when(near, F.array(own, category)).otherwise(F.array(own, category, item(False, far_month=month)))
+    return rows.select("customer_id", F.inline(items))
+
+
 def churn_txn_features(txn: DataFrame, as_of: date) -> DataFrame:
-    """Six months of unflagged debits per customer."""
+    """Six months of unflagged debits per customer.
+
+    Two groupings, by customer and counted value, then by customer. All that they hold has a
+    fixed width, so both stay hash aggregations however many customers a task has; sets of
+    values would make them sort their rows.
+    """
     start = months_before(as_of, rules.CHURN_MONTHS)
     day, amount = F.col("transaction_date"), F.col("amount_gbp")
     is_late = day >= F.lit(months_before(as_of, rules.CHURN_TREND_MONTHS))
     channel = F.col("channel")
-    return (
-        txn.filter(
-            (day >= F.lit(start)) & (F.col("transaction_type") == "Debit") & (F.col("is_flagged") == F.lit(False))
-        )
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("txn_count_6m"),
-            F.sum(amount).alias("total_spend_6m"),
-            mean_of(amount).alias("avg_txn_amount_6m"),
-            F.stddev_samp(amount.cast("double")).alias("stddev_txn_amount"),
-            # a short list of categories: gathered, so that only merchants are counted by distinct rows
-            F.size(F.collect_set("transaction_category")).cast("bigint").alias("unique_categories"),
-            F.count_distinct("merchant_name").alias("unique_merchants"),
-            distinct_months(day).alias("active_months"),
-            F.count_if(channel == "Mobile").alias("mobile_txns"),
-            F.count_if(channel == "Branch").alias("branch_txns"),
-            F.count_if(channel == "ATM").alias("atm_txns"),
-            F.count_if("is_international").alias("intl_txns"),
-            F.datediff(F.lit(as_of), F.max(day)).alias("days_since_last_txn"),
-            F.sum(F.when(is_late, amount).otherwise(0)).alias("spend_last_3m"),
-            F.sum(F.when(is_late, 0).otherwise(amount)).alias("spend_prior_3m"),
-        )
+    rows = txn.filter(
+        (day >= F.lit(start)) & (F.col("transaction_type") == "Debit") & (F.col("is_flagged") == F.lit(False))
+    ).select(
+        "customer_id", "merchant_name", "transaction_category", "transaction_date", amount.cast("decimal(18,2)").alias("amount_gbp"),
+        *[condition.cast("int").alias(c) for c, condition in {
+            "mobile": channel == "Mobile", "branch": channel == "Branch", "atm": channel == "ATM",
+            "intl": F.col("is_international")}.items()])
+    items = _txn_items(rows, start).groupBy("customer_id", "merchant_name", "category", "far_month").agg(
+        F.sum("n").alias("n"),
+        F.count(amount).alias("amounts"),
+        F.sum(amount).alias("spend"),
+        F.sum(F.when(F.col("n") == 1, F.when(is_late, amount).otherwise(0))).alias("late"),
+        F.sum(F.when(F.col("n") == 1, F.when(is_late, 0).otherwise(amount))).alias("prior"),
+        *[F.count_if(F.col(c) == 1).alias(c) for c in ("mobile", "branch", "atm", "intl")],
+        F.max(day).alias("last"),
+        F.bit_or("months").alias("months"),
+        *square_sums(amount))
+
+    def total(column: str) -> Column:
+        return F.sum(column).cast("decimal(28,2)")
+
+    return items.groupBy("customer_id").agg(
+        F.sum("n").alias("txn_count_6m"),
+        total("spend").alias("total_spend_6m"),
+        safe_ratio(total("spend"), F.sum("amounts")).alias("avg_txn_amount_6m"),
+        deviation_of_sums(F.sum("amounts"), total("spend")).alias("stddev_txn_amount"),
+        F.count("category").alias("unique_categories"),
+        F.count("merchant_name").alias("unique_merchants"),
+        (F.bit_count(F.bit_or("months")) + F.count("far_month")).cast("bigint").alias("active_months"),
+        F.sum("mobile").alias("mobile_txns"),
+        F.sum("branch").alias("branch_txns"),
+        F.sum("atm").alias("atm_txns"),
+        F.sum("intl").alias("intl_txns"),
+        F.datediff(F.lit(as_of), F.max("last")).alias("days_since_last_txn"),
+        total("late").alias("spend_last_3m"),
+        total("prior").alias("spend_prior_3m"),
     )
 
 

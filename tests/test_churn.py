@@ -1,5 +1,6 @@
 from datetime import date, timedelta
-from decimal import Decimal
+from decimal import Decimal, localcontext
+from statistics import stdev
 
 import pytest
 from frames import AS_OF, accounts, customers, transactions
@@ -58,6 +59,49 @@ def test_trend_splits_at_three_months(spark):
     assert (r.spend_last_3m, r.spend_prior_3m, r.active_months, r.txn_count_6m) == (5, 4, 2, 3)
 
 
+def test_txn_features_count_every_value_once(spark):
+    """Repeats, no value at all, and a month too far off for a bit: against counts by distinct rows."""
+    rows = [
+        dict(customer_id=f"c{i % 3}", merchant_name=[None, "m1", "m2", "m3"][i % 4], transaction_category=[None, "m1", "x", "y", "z"][i % 5],
+             transaction_date=[AS_OF, AS_OF - timedelta(days=40), date(2031, 5, 5), date(2031, 5, 9), date(2300, 1, 1)][i % 7 % 5],
+             channel=["Mobile", None, "ATM", "Branch"][i % 4], is_international=[None, True, False][i % 3], amount_gbp=i % 11 + 1)
+        for i in range(60)] + [dict(customer_id="none", merchant_name=None, transaction_category=None)]
+    txn = transactions(spark, rows)
+    got = {r.customer_id: r for r in churn.churn_txn_features(txn, AS_OF).collect()}
+    amount = F.col("amount_gbp")
+    want = txn.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("transaction_category").alias("c"), F.count_distinct("merchant_name").alias("m"),
+        F.count_distinct(F.trunc("transaction_date", "MM")).alias("months"), F.sum(amount).alias("spend"), F.stddev_samp(amount.cast("double")).alias("sd"),
+        F.count_if(F.col("channel") == "ATM").alias("atm"), F.count_if("is_international").alias("intl"),
+        F.max("transaction_date").alias("last")).collect()
+    assert got.keys() == {r.customer_id for r in want} and len(got) == 4
+    for w in want:
+        g = got[w.customer_id]
+        assert (g.txn_count_6m, g.unique_categories, g.unique_merchants, g.active_months, g.total_spend_6m, g.atm_txns, g.intl_txns,
+                g.days_since_last_txn) == (w.n, w.c, w.m, w.months, w.spend, w.atm, w.intl, (AS_OF - w["last"]).days)
+        assert g.stddev_txn_amount == (w.sd and pytest.approx(w.sd))
+
+
+@pytest.mark.parametrize("amounts", [
+    ["1.10", "1.10", "1.10"], ["7.00"], ["9000000.01", "9000000.02", "9000000.04"], ["9999999999999999.99", "0.01"], ["9999999999999999.99"] * 200,
+    ["9999999999999999.99"] * 150 + ["9999999999999000.00"] * 150])
+def test_deviation_of_large_and_equal_amounts(spark, amounts):
+    txn = transactions(spark, [dict(merchant_name=f"m{i % 3}", amount_gbp=a) for i, a in enumerate(amounts)])
+    got = churn.churn_txn_features(txn, AS_OF).first().stddev_txn_amount
+    with localcontext(prec=80):
+        want = float(stdev(map(Decimal, amounts))) if len(amounts) > 1 else None
+    assert got == want if not want else got == pytest.approx(want, abs=1e-8 * float(max(map(Decimal, amounts))))
+
+
+def test_features_keep_no_sets(spark, sf_small):
+    """Every grouping is a hash aggregation over buffers of fixed width; sets make Spark sort the rows of larger tasks."""
+    star = order_star.load(spark, sf_small)
+    features = churn.churn_features(star.customers, star.transactions, star.accounts, AS_OF)
+    for df in (features, churn.churn_txn_features(star.transactions, AS_OF)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
 def test_latest_snapshot_compares_dates(spark):
     df = spark.createDataFrame([("2024-12-30 00:00:01",), ("2024-12-29 23:59:59",)], "t string").select(
         F.col("t").cast("timestamp").alias("feature_date"))
